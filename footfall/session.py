@@ -9,7 +9,6 @@ the setting is missing, as in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -24,6 +23,7 @@ def local_session(cpus: int | str = "*", app: str = "footfall",
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.shuffle.partitions", str(parts))
@@ -52,9 +52,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint folder."""
+    """A fresh, unique (not yet existing) path under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/footfall/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    return path
+    return f"{root}/footfall/{name}-{uuid.uuid4().hex[:12]}"

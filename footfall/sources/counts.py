@@ -35,11 +35,12 @@ def read_sensors(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def normalize_counts(raw: DataFrame) -> DataFrame:
+def normalize_counts(raw: DataFrame, keep=()) -> DataFrame:
     """Raw (text) count records -> the canonical typed fact table.
 
     Accepts any frame carrying the lower-case feed fields; missing ones become
     null. Bad timestamps, month names and numbers become null (ANSI-safe).
+    ``keep`` names extra columns (e.g. message provenance) carried through.
     """
     present = {c.lower(): c for c in raw.columns}
 
@@ -57,6 +58,7 @@ def normalize_counts(raw: DataFrame) -> DataFrame:
         clean_key(field("sensor_id")).alias("sensor_id"),
         field("sensor_name").cast("string").alias("sensor_name"),
         try_long(field("hourly_counts")).alias("hourly_counts"),
+        *[F.col(c) for c in keep],
     )
 
 

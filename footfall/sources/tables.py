@@ -24,18 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _counts(ts, sensor, measure, ident) -> list:
+def _counts(ts, sensor, measure, ident, name=None) -> list:
     t = F.col(ts).cast("timestamp")
     return [
         ident.alias("id"),
         t.alias("date_time"),
         F.year(ts).alias("year"),
-        F.date_format(t, "MM").alias("month"),
+        F.lpad(F.month(ts).cast("string"), 2, "0").alias("month"),
         F.dayofmonth(ts).alias("mdate"),
         F.date_format(t, "EEEE").alias("day"),
         F.hour(ts).alias("time"),
         F.col(sensor).cast("string").alias("sensor_id"),
-        F.lit(None).cast("string").alias("sensor_name"),
+        (F.lit(None).cast("string") if name is None else F.col(name)).alias("sensor_name"),
         measure.alias("hourly_counts"),
     ]
 
@@ -61,6 +61,7 @@ def counts_from_events(events: DataFrame) -> DataFrame:
         "ts", "user_id",
         F.round(F.col("value") * 100).cast("bigint"),
         F.col("event_id").cast("string"),
+        name="event_type",
     ))
 
 
