@@ -55,7 +55,8 @@ def enrich(result: DataFrame, sensors: DataFrame, columns=ENRICH_COLUMNS,
     """
     columns = [c for c in columns if c != KEY]
     left = result.drop(*[c for c in columns if c in result.columns])
-    return left.join(dimension_side(sensors, columns, broadcast), on=KEY, how="left")
+    joined = left.join(dimension_side(sensors, columns, broadcast), on=KEY, how="left")
+    return joined.select(*left.columns, *columns)  # keep the result's column order
 
 
 def wide_enrich(result: DataFrame, sensors: DataFrame, broadcast: bool | None = None) -> DataFrame:

@@ -1,0 +1,232 @@
+"""Hand fixtures for the semantic traps."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.functions.messages import provenance_key
+from footfall.functions.time import month_name_to_mm, month_name_to_number, parse_date_time
+from footfall.operators import change as ch
+from footfall.operators.enrich import duplicate_keys, enrich, is_subset, orphans
+from footfall.operators.rank import top_n_per_period
+from footfall.sources.counts import normalize_counts, read_counts_csv, read_counts_json, read_sensors
+from footfall.sources.messages import decode_pages, dedup_messages
+
+COUNTS_DDL = "sensor_id string, year int, hourly_counts bigint"
+
+
+def counts(spark, rows, ddl=COUNTS_DDL):
+    return spark.createDataFrame(rows, ddl)
+
+
+def sensors(spark, ids):
+    return spark.createDataFrame([(i, f"desc {i}", f"name {i}") for i in ids],
+                                 "sensor_id string, sensor_description string, sensor_name string")
+
+
+def test_null_yearly_sum_blocks_fallback(spark):
+    # T9: A has 2020 and 2022 (2022 sums to null) -> null; B falls back to 2020-2021.
+    c = counts(spark, [("A", 2020, 10), ("A", 2021, 4), ("A", 2022, None),
+                       ("B", 2020, 7), ("B", 2021, 5)])
+    got = {r.sensor_id: (r.hourly_counts, r.basis)
+           for r in ch.period_change(c, (2020, 2021, 2022)).collect()}
+    assert got == {"A": (None, "2020-2022"), "B": (2, "2020-2021")}
+    best = ch.most_decline(c, sensors(spark, ["A", "B"]), (2020, 2021, 2022)).collect()
+    assert [(r.sensor_id, r.hourly_counts) for r in best] == [("B", 2)]
+
+
+def test_join_form_equals_presence_form(spark):
+    # The reference's self-join/anti-join/union plan, written out, on random data with nulls.
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for s in range(60):
+        for y in (2020, 2021, 2022):
+            if rnd.random() < 0.7:
+                for _ in range(rnd.randint(1, 3)):
+                    rows.append((str(s), y, None if rnd.random() < 0.1 else rnd.randint(0, 99)))
+    c = counts(spark, rows)
+    t = c.groupBy("year", "sensor_id").agg(F.sum("hourly_counts").alias("v"))
+
+    def y(n):
+        return t.filter(F.col("year") == n).select("sensor_id", F.col("v").alias(f"v{n}"))
+
+    def pair(a, b):
+        return y(a).join(y(b), "sensor_id").select("sensor_id", (F.col(f"v{a}") - F.col(f"v{b}")).alias("d"))
+
+    ac, ab, bc = pair(2020, 2022), pair(2020, 2021), pair(2021, 2022)
+    joined = ac.union(ab.join(ac, "sensor_id", "left_anti")).union(bc.join(ac, "sensor_id", "left_anti"))
+    ours = ch.period_change(c, (2020, 2021, 2022)).select("sensor_id", F.col("hourly_counts").alias("d"))
+    assert joined.exceptAll(ours).isEmpty() and ours.exceptAll(joined).isEmpty()
+    assert ours.count() == joined.count()
+
+
+def test_null_key_dropped_in_change(spark):
+    # T10
+    c = counts(spark, [(None, 2020, 1), (None, 2022, 1)])
+    assert ch.period_change(c, (2020, 2021, 2022)).count() == 0
+
+
+def test_null_key_kept_in_top_n(spark):
+    # T10: ranking groups nulls like any key.
+    c = spark.createDataFrame([(2020, "01", 1, None, 5), (2020, "01", 1, "1", 3)],
+                              "year int, month string, mdate int, sensor_id string, hourly_counts bigint")
+    got = [(r.sensor_id, r.hourly_counts) for r in top_n_per_period(c, None, "day").collect()]
+    assert got == [(None, 5), ("1", 3)]
+
+
+def test_empty_extremum(spark):
+    # T17
+    c = counts(spark, [], COUNTS_DDL)
+    assert ch.most_decline(c, sensors(spark, []), (2020, 2021, 2022)).count() == 0
+    assert ch.most_growth(c, sensors(spark, []), (2021, 2022)).count() == 0
+
+
+def test_tie_at_extremum(spark):
+    # T5: both rows by default; the smaller key with ties='first'.
+    c = counts(spark, [("b", 2021, 10), ("b", 2022, 4), ("a", 2021, 7), ("a", 2022, 1)])
+    dim = sensors(spark, ["a", "b"])
+    allrows = sorted(r.sensor_id for r in ch.most_decline(c, dim, (2021, 2022)).collect())
+    assert allrows == ["a", "b"]
+    first = [r.sensor_id for r in ch.most_decline(c, dim, (2021, 2022), ties="first").collect()]
+    assert first == ["a"]
+
+
+def test_growth_sign(spark):
+    # T4: change is earlier - later; growth is the minimum (most negative).
+    c = counts(spark, [("x", 2021, 5), ("x", 2022, 50), ("y", 2021, 5), ("y", 2022, 6)])
+    got = [(r.sensor_id, r.hourly_counts) for r in ch.most_growth(c, sensors(spark, ["x", "y"])).collect()]
+    assert got == [("x", -45)]
+
+
+def test_tie_at_cutoff_uses_string_order(spark):
+    # T1: ranks 10 and 11 equal -> lower sensor_id in string order ('10' < '9').
+    rows = [(2020, "01", 1, str(i), 100 - i) for i in range(1, 9)]
+    rows += [(2020, "01", 1, "9", 50), (2020, "01", 1, "10", 50), (2020, "01", 1, "11", 1)]
+    c = spark.createDataFrame(rows, "year int, month string, mdate int, sensor_id string, hourly_counts bigint")
+    ids = [r.sensor_id for r in top_n_per_period(c, None, "day", n=9).collect()]
+    assert ids[-1] == "10" and "9" not in ids
+
+
+def test_top_n_output_order_and_enrichment(spark):
+    rows = [(2020, "02", 1, "1", 5), (2020, "01", 2, "2", 7), (2020, "01", 2, "1", 9), (2020, "01", 1, "3", 1)]
+    c = spark.createDataFrame(rows, "year int, month string, mdate int, sensor_id string, hourly_counts bigint")
+    out = top_n_per_period(c, sensors(spark, ["1", "2"]), "day").collect()
+    assert [(r.month, r.mdate, r.sensor_id) for r in out] == [("01", 1, "3"), ("01", 2, "1"), ("01", 2, "2"), ("02", 1, "1")]
+    assert out[0].sensor_name is None and out[1].sensor_name == "name 1"
+    month = top_n_per_period(c, None, "month").collect()
+    assert [(r.month, r.sensor_id, r.hourly_counts) for r in month] == [("01", "1", 9), ("01", "2", 7), ("01", "3", 1), ("02", "1", 5)]
+
+
+def test_duplicate_dimension_key_fans_out_and_is_reported(spark):
+    # T20
+    c = counts(spark, [("3", 2021, 9), ("3", 2022, 1)])
+    dim = sensors(spark, ["3", "3", "4"])
+    assert ch.most_decline(c, dim, (2021, 2022)).count() == 2
+    assert [r.sensor_id for r in duplicate_keys(dim).collect()] == ["3"]
+
+
+def test_orphans_and_subset(spark):
+    # Q-7 integrity: result keys must exist in the dimension.
+    result = counts(spark, [("1", 2020, 1), ("9", 2020, 1), (None, 2020, 1)])
+    dim = sensors(spark, ["1", "2"])
+    assert sorted(r.sensor_id or "" for r in orphans(result, dim).collect()) == ["", "9"]
+    assert not is_subset(result, dim)
+    assert is_subset(result.filter("sensor_id = '1'"), dim)
+
+
+def test_enrich_shuffle_and_broadcast_agree(spark):
+    result = counts(spark, [("1", 2020, 1), ("2", 2020, 2), ("7", 2020, 3)])
+    dim = sensors(spark, ["1", "2"])
+    a = enrich(result, dim, broadcast=True)
+    b = enrich(result, dim, broadcast=False)
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() == 3
+
+
+def test_month_names(spark):
+    # T12: all twelve names, junk and null.
+    import calendar
+
+    names = list(calendar.month_name)[1:] + ["Foo", None]
+    df = spark.createDataFrame([(n,) for n in names], "m string")
+    got = [(r.mm, r.n) for r in df.select(month_name_to_mm("m").alias("mm"),
+                                          month_name_to_number("m").alias("n")).collect()]
+    assert got == [(f"{i:02d}", i) for i in range(1, 13)] + [(None, None), (None, None)]
+
+
+def test_twelve_hour_clock_and_iso(spark):
+    # T13 and the ISO fallback.
+    df = spark.createDataFrame([("November 01, 2019 05:00:00 PM",), ("November 01, 2019 12:00:00 AM",),
+                                ("2019-11-01T17:00:00.000",), ("junk",)], "t string")
+    got = [r.h for r in df.select(F.date_format(parse_date_time("t"), "yyyy-MM-dd HH:mm").alias("h")).collect()]
+    assert got == ["2019-11-01 17:00", "2019-11-01 00:00", "2019-11-01 17:00", None]
+
+
+def test_quoted_and_bare_numbers_json(spark, tmp_path):
+    # T14
+    p = tmp_path / "c.json"
+    p.write_text(json.dumps([{"id": "1", "hourly_counts": "300", "year": "2020", "month": "March"},
+                             {"id": "2", "hourly_counts": 41, "year": 2021, "month": "Foo"}]))
+    rows = {r.id: r for r in read_counts_json(spark, str(p)).collect()}
+    assert rows["1"].hourly_counts == 300 and rows["1"].year == 2020 and rows["1"].month == "03"
+    assert rows["2"].hourly_counts == 41 and rows["2"].year == 2021 and rows["2"].month is None
+
+
+def test_two_arrays_in_one_file_reads_only_first(spark, tmp_path):
+    # T16: documented reader behaviour; the landing sink never writes this.
+    page = [{"id": "1"}, {"id": "2"}]
+    p = tmp_path / "two.json"
+    p.write_text(json.dumps(page) + json.dumps(page))
+    assert read_counts_json(spark, str(p)).count() == 2
+    # One page per line (the landing layout) reads every record.
+    q = tmp_path / "lines.json"
+    q.write_text(json.dumps(page) + "\n" + json.dumps([{"id": "3"}]) + "\n")
+    assert sorted(r.id for r in read_counts_json(spark, str(q), multi_line=False).collect()) == ["1", "2", "3"]
+
+
+def test_csv_header_order_is_checked(spark, tmp_path):
+    # SURVEY §1.4: a reordered header must fail instead of swapping columns.
+    from footfall.schemas import SENSOR_COLUMNS
+
+    cols = list(SENSOR_COLUMNS)
+    cols[0], cols[1] = cols[1], cols[0]
+    p = tmp_path / "s.csv"
+    p.write_text(",".join(cols) + "\n" + ",".join(f"v{i}" for i in range(len(cols))) + "\n")
+    with pytest.raises(Exception):
+        read_sensors(spark, str(p)).collect()
+
+
+def test_bad_integer_in_csv(spark, tmp_path):
+    from footfall.schemas import COUNT_CSV_COLUMNS
+
+    p = tmp_path / "c.csv"
+    vals = {"ID": "1", "Year": "2020", "Hourly_Counts": "abc", "Month": "June", "Sensor_ID": " 5 "}
+    p.write_text(",".join(COUNT_CSV_COLUMNS) + "\n" + ",".join(vals.get(c, "") for c in COUNT_CSV_COLUMNS) + "\n")
+    r = read_counts_csv(spark, str(p)).collect()[0]
+    assert (r.year, r.hourly_counts, r.month, r.sensor_id) == (2020, None, "06", "5")
+
+
+def test_message_delivered_twice(spark):
+    # T18: same topic/partition/offset twice, page of 2 -> 2 records.
+    page = json.dumps([{"id": "a", "hourly_counts": 1}, {"id": "b", "hourly_counts": 2}])
+    msgs = spark.createDataFrame([(None, page, "get-data", 0, 5), (None, page, "get-data", 0, 5)],
+                                 "key string, value string, topic string, partition int, offset long")
+    rows = decode_pages(dedup_messages(msgs)).collect()
+    assert sorted(r.id for r in rows) == ["a", "b"]
+    assert {r.message_id for r in rows} == {"get-data-0-5"}
+
+
+def test_provenance_key_has_no_colon(spark):
+    # T15
+    df = spark.range(1).select(provenance_key(F.lit("get-data"), F.lit(0), F.lit(5)).alias("k"))
+    assert df.first().k == "get-data-0-5"
+
+
+def test_normalize_missing_fields(spark):
+    raw = spark.createDataFrame([("x", "7")], "sensor_id string, hourly_counts string")
+    r = normalize_counts(raw).first()
+    assert r.sensor_id == "x" and r.hourly_counts == 7 and r.year is None
