@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import core, io, streams  # noqa: F401
+from . import core, io, paged, streams  # noqa: F401
 from .registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

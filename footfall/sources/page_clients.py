@@ -1,0 +1,56 @@
+"""Page clients for the ``paged`` source.
+
+``ParquetPages`` serves the feed records of the ``events`` stand-in table
+page by page, the way the open-data API serves count records: it is what
+the registered paged queries fetch from. Each fetch reads only the row
+groups that overlap the requested range.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+class ParquetPages:
+    """Pages of feed-shaped records from an ``events``-like parquet file."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def size(self) -> int:
+        import pyarrow.parquet as pq
+
+        return pq.ParquetFile(self.path).metadata.num_rows
+
+    def fetch(self, offset: int, limit: int) -> list[dict]:
+        import pyarrow.parquet as pq
+
+        pf = pq.ParquetFile(self.path)
+        groups, first, row = [], None, 0
+        for g in range(pf.metadata.num_row_groups):
+            n = pf.metadata.row_group(g).num_rows
+            if row + n > offset and row < offset + limit:
+                groups.append(g)
+                first = row if first is None else first
+            row += n
+        if not groups:
+            return []
+        cols = ["event_id", "ts", "user_id", "event_type", "value"]
+        t = pf.read_row_groups(groups, columns=cols).slice(offset - first, limit)
+        df = t.to_pandas()
+        ts = df["ts"].dt
+        counts = np.floor(df["value"].to_numpy() * 100 + 0.5)
+        out = {
+            "date_time": ts.strftime("%B %d, %Y %I:%M:%S %p"),
+            "day": ts.strftime("%A"),
+            "hourly_counts": [None if np.isnan(v) else str(int(v)) for v in counts],
+            "id": df["event_id"].astype("string"),
+            "mdate": ts.day.astype("string"),
+            "month": ts.strftime("%B"),
+            "sensor_id": df["user_id"].astype("string"),
+            "sensor_name": df["event_type"],
+            "time": ts.hour.astype("string"),
+            "year": ts.year.astype("string"),
+        }
+        frame = {k: list(v) for k, v in out.items()}
+        return [dict(zip(frame, vals)) for vals in zip(*frame.values())]
