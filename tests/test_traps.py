@@ -230,3 +230,30 @@ def test_normalize_missing_fields(spark):
     raw = spark.createDataFrame([("x", "7")], "sensor_id string, hourly_counts string")
     r = normalize_counts(raw).first()
     assert r.sensor_id == "x" and r.hourly_counts == 7 and r.year is None
+
+
+def test_kafka_option_dicts():
+    from footfall.sinks.messages import kafka_sink_options
+    from footfall.sources.messages import kafka_options
+
+    o = kafka_options("h:9092", starting="latest", max_offsets_per_trigger=100)
+    assert o["subscribe"] == "get-data" and o["startingOffsets"] == "latest"
+    assert o["maxOffsetsPerTrigger"] == "100" and o["kafka.bootstrap.servers"] == "h:9092"
+    assert kafka_options("h:9092")["startingOffsets"] == "earliest"
+    with pytest.raises(ValueError):
+        kafka_options("h:9092", starting="yesterday")
+    assert kafka_sink_options("h:9092")["topic"] == "get-data"
+
+
+def test_single_object_json_path_and_csv_sink(spark, tmp_path):
+    # SRC-8 (one stored object) and SNK-1 (one CSV part file with a header).
+    from footfall.sinks.files import write_csv
+
+    p = tmp_path / "one.json"
+    p.write_text(json.dumps([{"id": "1", "hourly_counts": 5, "sensor_id": "2"}], indent=4))
+    df = read_counts_json(spark, str(p))
+    out = tmp_path / "out"
+    write_csv(df.select("id", "sensor_id", "hourly_counts"), str(out))
+    parts = [f for f in out.iterdir() if f.name.startswith("part-")]
+    assert len(parts) == 1
+    assert parts[0].read_text().splitlines() == ["id,sensor_id,hourly_counts", "1,2,5"]
