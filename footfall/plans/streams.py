@@ -41,8 +41,9 @@ def build_inbox(spark, sf_dir) -> str:
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset")
     inbox = shared_dir(spark, "inbox")
-    msgs.write.mode("append").json(inbox)
-    msgs.write.mode("append").json(inbox)  # re-delivery of every message
+    # First delivery and a re-delivery of every message, in separate files;
+    # the second branch reuses the first one's shuffle (one encode).
+    msgs.unionByName(msgs).write.json(inbox)
     return inbox
 
 
@@ -50,7 +51,7 @@ def run_ingest(spark, sf_dir) -> str:
     """inbox -> deduplicated landing table; returns the landing path."""
     inbox = build_inbox(spark, sf_dir)
     landing = shared_dir(spark, "landing")
-    q = ing.ingest(ing.read_message_files(spark, inbox, max_files_per_trigger=2),
+    q = ing.ingest(ing.read_message_files(spark, inbox, max_files_per_trigger=4),
                    landing, shared_dir(spark, "ingest-ckpt"))
     q.awaitTermination()
     return landing

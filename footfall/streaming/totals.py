@@ -43,16 +43,20 @@ def _batch_writer(log_path: str, top_path: str | None, period: str, n: int):
     keys = period_keys(period)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        changed.write.mode("append").partitionBy("year").parquet(log_path)
-        if top_path is None:
-            return
-        spark = batch.sparkSession
-        touched = changed.select(*keys).distinct()
-        latest = current_totals(spark, log_path, period).join(touched, on=keys, how="left_semi")
-        (top_n(latest, keys, n).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*keys).parquet(top_path))
+        # The changed totals feed two writes: compute them once per batch.
+        changed = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
+        try:
+            changed.write.mode("append").partitionBy("year").parquet(log_path)
+            if top_path is None:
+                return
+            spark = batch.sparkSession
+            touched = changed.select(*keys).distinct()
+            latest = current_totals(spark, log_path, period).join(touched, on=keys, how="left_semi")
+            (top_n(latest, keys, n).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*keys).parquet(top_path))
+        finally:
+            changed.unpersist()
 
     return write
 
