@@ -9,30 +9,16 @@ the sink table as a batch DataFrame.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, IntegerType
 
-from ..schemas import COUNTS_SCHEMA
 from ..session import shared_dir
 from ..streaming import ingest as ing
 from ..streaming import totals as tot
+from ..streaming.ingest import LANDED_SCHEMA
 from . import sql as S
 from .io import EVENT_RECORDS_SQL, _event_messages, _records
 from .registry import query
 
-LANDED_SCHEMA = StructType(COUNTS_SCHEMA.fields + [
-    StructField("topic", StringType(), True),
-    StructField("partition", IntegerType(), True),
-    StructField("offset", LongType(), True),
-    StructField("message_id", StringType(), True),
-])
-
-TOP_SCHEMA = StructType([
-    StructField("year", IntegerType(), True),
-    StructField("month", StringType(), True),
-    StructField("mdate", IntegerType(), True),
-    StructField("sensor_id", StringType(), True),
-    StructField("hourly_counts", LongType(), True),
-])
+TOP_SCHEMA = tot.top_schema("day")
 
 
 def build_inbox(spark, sf_dir) -> str:
@@ -58,12 +44,13 @@ def run_ingest(spark, sf_dir) -> str:
 
 
 def run_totals(spark, sf_dir, with_top: bool):
+    """landing (as a stream, several micro-batches) -> totals [+ top-10] tables."""
     landing = run_ingest(spark, sf_dir)
-    log, top = shared_dir(spark, "totals-log"), shared_dir(spark, "top10") if with_top else None
-    counts = ing.landing_stream(spark, landing, LANDED_SCHEMA, max_files_per_trigger=8)
-    q = tot.maintain_totals_and_top_n(counts, log, shared_dir(spark, "totals-ckpt"), top_path=top)
+    totals, top = shared_dir(spark, "totals"), shared_dir(spark, "top10") if with_top else None
+    counts = ing.landing_stream(spark, landing, LANDED_SCHEMA, max_files_per_trigger=20)
+    q = tot.maintain_totals_and_top_n(counts, totals, shared_dir(spark, "totals-ckpt"), top_path=top)
     q.awaitTermination()
-    return log, top
+    return totals, top
 
 
 @query("stream_ingest_dedup", EVENT_RECORDS_SQL)
@@ -81,8 +68,8 @@ FROM e GROUP BY year, month, mdate, sensor_id
 
 @query("stream_running_sum", DAY_EVENT_TOTALS)
 def stream_running_sum(spark, sf_dir):
-    log, _ = run_totals(spark, sf_dir, with_top=False)
-    return tot.current_totals(spark, log, "day")
+    totals, _ = run_totals(spark, sf_dir, with_top=False)
+    return tot.read_totals(spark, totals, "day")
 
 
 @query("stream_top10", f"""
@@ -93,5 +80,4 @@ SELECT year, month, mdate, sensor_id, hourly_counts FROM r WHERE rn <= 10
 """)
 def stream_top10(spark, sf_dir):
     _, top = run_totals(spark, sf_dir, with_top=True)
-    return spark.read.schema(TOP_SCHEMA).parquet(top).select(
-        "year", "month", "mdate", "sensor_id", "hourly_counts")
+    return tot.read_top_n(spark, top, "day")

@@ -1,26 +1,35 @@
 """Structured Streaming ingest (STR-1..7, SNK-5).
 
 message stream (Kafka, or a file inbox of Kafka-shaped rows)
-  -> drop re-delivered messages (topic, partition, offset)      [state]
   -> decode pages -> typed count records
-  -> drop records already seen (id)                             [state]
-  -> landing table: parquet partitioned by year/month, checkpointed sink
-
-The checkpoint makes a restart resume where it stopped; the file sink's
-commit log makes the landing exactly-once; the two dedup stages make
-replays and overlapping pages harmless. Without a watermark dedup state
-grows with the number of distinct ids (late rows are kept, like the
-reference); pass ``watermark`` to bound it with
-``dropDuplicatesWithinWatermark``.
+  -> per micro-batch (``foreachBatch``):
+       dedup by id inside the batch (``min_by`` aggregation: skew-safe,
+       deterministic: the copy from the earliest message wins)
+       -> left-anti join with the landing table, read only in the day
+          partitions the batch touches
+       -> append to the landing table (parquet, partitioned by day)
+
+The landing table itself is the dedup memory: no state store grows with the
+number of ids ever seen, and a re-run of a micro-batch after a failure finds
+its rows already landed and appends nothing (idempotent). The query
+checkpoint makes a restart resume where it stopped.
+
+``mode="state"`` keeps the classic stateful form (``dropDuplicates`` on the
+provenance key and the id, optionally bounded by a watermark) for sinks that
+are not tables.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType, IntegerType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from ..sources.messages import PROVENANCE, decode_pages
+from ..schemas import COUNTS_SCHEMA
+from ..sources.messages import PROVENANCE, decode_pages, dedup_records
 
 # File-inbox form of a Kafka record (value as UTF-8 text).
 MESSAGE_FILE_SCHEMA = StructType([
@@ -31,7 +40,15 @@ MESSAGE_FILE_SCHEMA = StructType([
     StructField("offset", LongType(), True),
 ])
 
-LANDING_PARTITIONS = ["year", "month"]
+LANDED_SCHEMA = StructType(COUNTS_SCHEMA.fields + [
+    StructField("topic", StringType(), True),
+    StructField("partition", IntegerType(), True),
+    StructField("offset", LongType(), True),
+    StructField("message_id", StringType(), True),
+])
+LANDED_COLUMNS = [f.name for f in LANDED_SCHEMA.fields]
+
+LANDING_PARTITIONS = ["year", "month", "mdate"]
 
 
 def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -53,40 +70,76 @@ def trigger_args(trigger: str | None) -> dict:
 
 def dedup_stream(records: DataFrame, key: str = "id", watermark: str | None = None,
                  time_col: str = "date_time") -> DataFrame:
-    """Streaming dedup by ``key``: unbounded state, or bounded by a watermark."""
+    """Stateful streaming dedup by ``key``: unbounded, or bounded by a watermark."""
     if watermark:
         return records.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
     return records.dropDuplicates([key])
 
 
-def records_stream(messages: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Kafka-shaped stream -> deduplicated typed count records with provenance."""
-    msgs = messages.dropDuplicates(PROVENANCE)
-    records = decode_pages(msgs)
-    return dedup_stream(records, "id", watermark)
-
-
-def land(records: DataFrame, landing_path: str, checkpoint: str,
-         trigger: str | None = "availableNow", query_name: str | None = None) -> StreamingQuery:
-    """Write a record stream to the landing table (append, exactly-once)."""
-    w = (records.writeStream.format("parquet")
-         .option("path", landing_path)
-         .option("checkpointLocation", checkpoint)
-         .partitionBy(*LANDING_PARTITIONS)
-         .outputMode("append")
-         .trigger(**trigger_args(trigger)))
-    if query_name:
-        w = w.queryName(query_name)
-    return w.start()
+def _partition_filter(values: list, cols: list[str]):
+    """OR of equalities over a (small) list of partition-value tuples."""
+    def one(vals):
+        return reduce(lambda a, b: a & b,
+                      [F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)) for c, v in zip(cols, vals)])
+    return reduce(lambda a, b: a | b, [one(v) for v in values])
+
+
+def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
+    """Create an empty partitioned parquet table at ``path`` if none exists."""
+    try:
+        spark.read.schema(schema).parquet(path).limit(0).collect()
+    except Exception:  # noqa: BLE001 - path does not exist yet
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
+def land_new_records(records: DataFrame, landing_path: str, key: str = "id") -> None:
+    """Append the records of ``records`` not yet in the landing table (batch).
+
+    Only the landing partitions the batch touches are read (static partition
+    pruning from the batch's distinct partition values, a list bounded by
+    the days one batch spans).
+    """
+    spark = records.sparkSession
+    batch = dedup_records(records.select(*LANDED_COLUMNS), key).persist()
+    try:
+        parts = [tuple(r) for r in batch.select(*LANDING_PARTITIONS).distinct().collect()]
+        if not parts:
+            return
+        existing = (spark.read.schema(LANDED_SCHEMA).parquet(landing_path)
+                    .filter(_partition_filter(parts, LANDING_PARTITIONS))
+                    .select(*LANDING_PARTITIONS, key))
+        fresh = batch.join(existing, on=[*LANDING_PARTITIONS, key], how="left_anti")
+        # Rebalance on the partition columns: about one file per day, while
+        # AQE still splits a day that holds most of the batch.
+        (fresh.select(*LANDED_COLUMNS).hint("rebalance", *LANDING_PARTITIONS)
+         .write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing_path))
+    finally:
+        batch.unpersist()
 
 
 def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
-           trigger: str | None = "availableNow", watermark: str | None = None) -> StreamingQuery:
-    """messages -> dedup -> decode -> dedup -> landing table."""
-    return land(records_stream(messages, watermark), landing_path, checkpoint, trigger)
-
-
-def landing_stream(spark: SparkSession, landing_path: str, schema,
+           trigger: str | None = "availableNow", mode: str = "table",
+           watermark: str | None = None) -> StreamingQuery:
+    """messages -> decode -> dedup -> landing table (parquet, by day)."""
+    spark = messages.sparkSession
+    records = decode_pages(messages)
+    if mode == "state":
+        deduped = dedup_stream(records.dropDuplicates(PROVENANCE), "id", watermark)
+        return (deduped.select(*LANDED_COLUMNS).writeStream.format("parquet")
+                .option("path", landing_path).option("checkpointLocation", checkpoint)
+                .partitionBy(*LANDING_PARTITIONS).outputMode("append")
+                .trigger(**trigger_args(trigger)).start())
+    if mode != "table":
+        raise ValueError("mode must be 'table' or 'state'")
+    ensure_table(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS)
+    return (records.writeStream
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda df, _id: land_new_records(df, landing_path))
+            .trigger(**trigger_args(trigger))
+            .start())
+
+
+def landing_stream(spark: SparkSession, landing_path: str, schema: StructType = LANDED_SCHEMA,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Read the landing table incrementally (STR-7 hand-off to aggregates)."""
     r = spark.readStream.schema(schema)

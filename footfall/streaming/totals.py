@@ -1,16 +1,23 @@
 """Running totals and incrementally maintained rankings over a count stream.
 
-* ``running_totals``: stateful ``groupBy(period, sensor).sum`` in update
-  mode; each micro-batch emits only the keys whose total changed.
-* ``maintain_totals_and_top_n``: ``foreachBatch`` sink that appends the
-  changed totals (tagged with the batch id) to a totals log and re-ranks
-  only the periods touched by the batch, overwriting just those partitions
-  of the ranking table (dynamic partition overwrite). A ``row_number`` on
-  the stream itself is rejected by Spark, hence ranking inside the batch.
-
-Re-running a batch after a failure is harmless: the log keeps the highest
-batch id per key (same values on a replay) and the ranking overwrite is
-idempotent.
+Per micro-batch (``foreachBatch``):
+
+1. ``delta``: the batch summed per (period, sensor) — partial aggregation,
+   so a hot sensor collapses map-side.
+2. Merge: the totals table is read only in the period partitions the batch
+   touches; partitions already carrying this batch id (a re-run after a
+   failure) are skipped; ``current + delta`` is re-summed per key.
+3. The merged partitions are staged under the checkpoint folder, then
+   swapped in with dynamic partition overwrite (only touched partitions are
+   rewritten).
+4. Top-n is recomputed for the touched periods only and overwritten the
+   same way. A ``row_number`` on the stream itself is rejected by Spark,
+   hence ranking inside the batch.
+
+No state store is involved, so nothing grows with the number of keys ever
+seen: the totals table is the state, and each batch costs in proportion to
+the periods it touches. Late rows are simply merged into their period (the
+reference keeps late data too).
 """
 
 from __future__ import annotations
@@ -18,61 +25,103 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from ..operators.rank import MEASURE, period_keys, top_n
-from .ingest import trigger_args
+from ..operators.rank import MEASURE, PERIOD_KEYS, period_keys, top_n
+from ..schemas import COUNTS_SCHEMA
+from .ingest import _partition_filter, ensure_table, trigger_args
 
 KEY = "sensor_id"
+BATCH = "applied_batch"
 
 
-def running_totals(counts: DataFrame, period: str = "day") -> DataFrame:
-    """Streaming sum per (period, sensor)."""
+def totals_schema(period: str = "day") -> StructType:
+    types = {f.name: f.dataType for f in COUNTS_SCHEMA.fields}
+    keys = period_keys(period)
+    return StructType([StructField(k, types[k], True) for k in keys] + [
+        StructField(KEY, StringType(), True),
+        StructField(MEASURE, LongType(), True),
+        StructField(BATCH, LongType(), True),
+    ])
+
+
+def top_schema(period: str = "day") -> StructType:
+    return StructType([f for f in totals_schema(period).fields if f.name != BATCH])
+
+
+def period_delta(counts: DataFrame, period: str = "day") -> DataFrame:
+    """Sum per (period, sensor) of one batch of counts."""
     keys = period_keys(period)
     return counts.groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
 
 
-def current_totals(spark: SparkSession, log_path: str, period: str = "day") -> DataFrame:
-    """Latest total per key from the totals log (batch read)."""
+def read_totals(spark: SparkSession, totals_path: str, period: str = "day") -> DataFrame:
     keys = period_keys(period)
-    log = spark.read.parquet(log_path)
-    return (log.groupBy(*keys, KEY)
-            .agg(F.max_by(MEASURE, "batch_id").alias(MEASURE)))
+    return spark.read.schema(totals_schema(period)).parquet(totals_path).select(*keys, KEY, MEASURE)
 
 
-def _batch_writer(log_path: str, top_path: str | None, period: str, n: int):
+def read_top_n(spark: SparkSession, top_path: str, period: str = "day") -> DataFrame:
     keys = period_keys(period)
+    return spark.read.schema(top_schema(period)).parquet(top_path).select(*keys, KEY, MEASURE)
+
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # The changed totals feed two writes: compute them once per batch.
-        changed = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
-        try:
-            changed.write.mode("append").partitionBy("year").parquet(log_path)
-            if top_path is None:
-                return
-            spark = batch.sparkSession
-            touched = changed.select(*keys).distinct()
-            latest = current_totals(spark, log_path, period).join(touched, on=keys, how="left_semi")
-            (top_n(latest, keys, n).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*keys).parquet(top_path))
-        finally:
-            changed.unpersist()
-
-    return write
-
-
-def maintain_totals_and_top_n(counts: DataFrame, log_path: str, checkpoint: str,
+def _overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
+    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*keys).parquet(path))
+
+
+def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root: str,
+                top_path: str | None = None, period: str = "day", n: int = 10) -> None:
+    """Fold one batch of counts into the totals (and top-n) tables; idempotent."""
+    spark = counts.sparkSession
+    keys = period_keys(period)
+    delta = period_delta(counts, period).persist()
+    try:
+        touched = [tuple(r) for r in delta.select(*keys).distinct().collect()]
+        if not touched:
+            return
+        current = (spark.read.schema(totals_schema(period)).parquet(totals_path)
+                   .filter(_partition_filter(touched, keys)))
+        done = current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct()
+        todo = delta.join(done, on=keys, how="left_anti")
+        merged = (current.select(*keys, KEY, MEASURE).join(done, on=keys, how="left_anti")
+                  .unionByName(todo)
+                  .groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
+                  .withColumn(BATCH, F.lit(batch_id).cast("long")))
+        # Stage first: a job may not overwrite the partitions it is reading.
+        stage = f"{staging_root.rstrip('/')}/batch={batch_id}"
+        merged.write.mode("overwrite").parquet(stage)
+        staged = spark.read.parquet(stage).select(*[f.name for f in totals_schema(period).fields])
+        _overwrite_partitions(staged, totals_path, keys)
+        if top_path is not None:
+            _overwrite_partitions(top_n(staged.drop(BATCH), keys, n), top_path, keys)
+    finally:
+        delta.unpersist()
+
+
+def maintain_totals_and_top_n(counts: DataFrame, totals_path: str, checkpoint: str,
                               top_path: str | None = None, period: str = "day", n: int = 10,
                               trigger: str | None = "availableNow") -> StreamingQuery:
-    """Start the running-totals query feeding the log (and the top-n table)."""
-    return (running_totals(counts, period).writeStream
-            .outputMode("update")
+    """Start the streaming query that keeps totals (and top-n) per period."""
+    spark = counts.sparkSession
+    if period not in PERIOD_KEYS:
+        raise ValueError(f"unknown period {period!r}")
+    keys = period_keys(period)
+    ensure_table(spark, totals_path, totals_schema(period), keys)
+    if top_path is not None:
+        ensure_table(spark, top_path, top_schema(period), keys)
+    staging = f"{checkpoint.rstrip('/')}/staging"
+    return (counts.select(*keys, KEY, MEASURE).writeStream
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(_batch_writer(log_path, top_path, period, n))
+            .foreachBatch(lambda df, bid: merge_batch(df, bid, totals_path, staging, top_path, period, n))
             .trigger(**trigger_args(trigger))
             .start())
 
 
-def read_top_n(spark: SparkSession, top_path: str, period: str = "day") -> DataFrame:
-    keys = period_keys(period)
-    return spark.read.parquet(top_path).select(*keys, KEY, MEASURE)
+def running_totals(counts: DataFrame, period: str = "day") -> DataFrame:
+    """Stateful streaming sum per (period, sensor), for update/complete-mode sinks.
+
+    Its state holds every key ever seen; prefer ``maintain_totals_and_top_n``
+    for long-running feeds.
+    """
+    return period_delta(counts, period)

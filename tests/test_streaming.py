@@ -1,27 +1,33 @@
-"""Streaming ingest: replay across micro-batches, restart, stream/batch parity."""
+"""Streaming ingest: replay across micro-batches, restart, stream/batch parity,
+idempotent re-runs of a micro-batch."""
 
 from __future__ import annotations
 
 import json
+import os
 
 from footfall.operators.rank import top_n_per_period
-from footfall.plans.streams import LANDED_SCHEMA, TOP_SCHEMA
 from footfall.streaming import ingest as ing
 from footfall.streaming import totals as tot
+from footfall.streaming.ingest import LANDED_SCHEMA
 
 
-def _message(offset, ids):
+def _message(offset, ids, mdate=1):
     page = [{"id": str(i), "sensor_id": "s", "hourly_counts": 1, "year": 2020, "month": "May",
-             "mdate": 1, "date_time": "May 01, 2020 01:00:00 PM"} for i in ids]
+             "mdate": mdate, "date_time": "May 01, 2020 01:00:00 PM"} for i in ids]
     return json.dumps({"key": None, "value": json.dumps(page), "topic": "get-data",
                        "partition": 0, "offset": offset})
 
 
-def _run(spark, inbox, landing, ckpt):
+def _run(spark, inbox, landing, ckpt, mode="table"):
     q = ing.ingest(ing.read_message_files(spark, str(inbox), max_files_per_trigger=1),
-                   str(landing), str(ckpt))
+                   str(landing), str(ckpt), mode=mode)
     q.awaitTermination()
-    return [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] or p["batchId"] >= 0]
+    return [p["numInputRows"] for p in q.recentProgress]
+
+
+def _landed(spark, landing):
+    return spark.read.schema(LANDED_SCHEMA).parquet(str(landing))
 
 
 def test_replayed_id_across_micro_batches_and_restart(spark, tmp_path):
@@ -29,20 +35,54 @@ def test_replayed_id_across_micro_batches_and_restart(spark, tmp_path):
     inbox.mkdir()
     # ids 0, 1, 0 in three files, at three different offsets.
     for n, (off, i) in enumerate([(0, 0), (1, 1), (2, 0)]):
-        (inbox / f"m{n}.json").write_text(_message(off, [i]) + "\n")
-    _run(spark, inbox, landing, ckpt)
-    landed = spark.read.schema(LANDED_SCHEMA).parquet(str(landing))
-    assert sorted(r.id for r in landed.collect()) == ["0", "1"]
-    # One row per micro-batch file: first delivery of 0, then 1, then nothing new.
-    per_offset = {r.offset: r.id for r in landed.collect()}
-    assert per_offset == {0: "0", 1: "1"}
+        f = inbox / f"m{n}.json"
+        f.write_text(_message(off, [i]) + "\n")
+        os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))  # file source orders by mtime
+    sizes = _run(spark, inbox, landing, ckpt)
+    assert sizes == [1, 1, 1]  # three micro-batches, one record each
+    rows = _landed(spark, landing).collect()
+    # First delivery of 0, then 1, then nothing new: 0 stays from offset 0.
+    assert {r.offset: r.id for r in rows} == {0: "0", 1: "1"}
     # Restart from the checkpoint: nothing is re-read, nothing is added.
-    _run(spark, inbox, landing, ckpt)
-    assert spark.read.schema(LANDED_SCHEMA).parquet(str(landing)).count() == 2
+    assert sum(_run(spark, inbox, landing, ckpt)) == 0
+    assert _landed(spark, landing).count() == 2
     # A re-delivered message (same offset) in a new file is dropped too.
     (inbox / "m3.json").write_text(_message(1, [1]) + "\n")
     _run(spark, inbox, landing, ckpt)
-    assert spark.read.schema(LANDED_SCHEMA).parquet(str(landing)).count() == 2
+    assert _landed(spark, landing).count() == 2
+
+
+def test_stateful_mode_matches(spark, tmp_path):
+    inbox, landing = tmp_path / "inbox", tmp_path / "landing"
+    inbox.mkdir()
+    for n, (off, i) in enumerate([(0, 0), (1, 1), (2, 0), (1, 1)]):
+        (inbox / f"m{n}.json").write_text(_message(off, [i]) + "\n")
+    _run(spark, inbox, landing, tmp_path / "ckpt", mode="state")
+    assert sorted(r.id for r in _landed(spark, landing).collect()) == ["0", "1"]
+
+
+def test_rerun_of_a_batch_is_idempotent(spark, tmp_path):
+    landing = tmp_path / "landing"
+    ing.ensure_table(spark, str(landing), LANDED_SCHEMA, ing.LANDING_PARTITIONS)
+    msgs = spark.read.schema(ing.MESSAGE_FILE_SCHEMA).json(
+        spark.sparkContext.parallelize([_message(0, [1, 2]), _message(1, [2, 3], mdate=2)]))
+    from footfall.sources.messages import decode_pages
+
+    recs = decode_pages(msgs)
+    ing.land_new_records(recs, str(landing))
+    ing.land_new_records(recs, str(landing))  # same batch again
+    assert sorted(r.id for r in _landed(spark, landing).collect()) == ["1", "2", "3"]
+
+    totals, stage = tmp_path / "totals", tmp_path / "stage"
+    ing.ensure_table(spark, str(totals), tot.totals_schema(), ["year", "month", "mdate"])
+    counts = _landed(spark, landing)
+    tot.merge_batch(counts, 0, str(totals), str(stage))
+    tot.merge_batch(counts, 0, str(totals), str(stage))  # re-run of batch 0
+    got = sorted((r.mdate, r.hourly_counts) for r in tot.read_totals(spark, str(totals)).collect())
+    assert got == [(1, 2), (2, 1)]
+    tot.merge_batch(counts.filter("mdate = 2"), 1, str(totals), str(stage))  # a later batch adds
+    got = sorted((r.mdate, r.hourly_counts) for r in tot.read_totals(spark, str(totals)).collect())
+    assert got == [(1, 2), (2, 2)]
 
 
 def test_stream_top_n_equals_batch(spark, tmp_path):
@@ -61,17 +101,18 @@ def test_stream_top_n_equals_batch(spark, tmp_path):
     # replay one file completely
     (inbox / "f9.json").write_text((inbox / "f1.json").read_text())
     _run(spark, inbox, landing, tmp_path / "c1")
-    counts = ing.landing_stream(spark, str(landing), LANDED_SCHEMA, max_files_per_trigger=1)
-    log, top = tmp_path / "log", tmp_path / "top"
-    tot.maintain_totals_and_top_n(counts, str(log), str(tmp_path / "c2"), top_path=str(top), n=5).awaitTermination()
-    streamed = spark.read.schema(TOP_SCHEMA).parquet(str(top))
-    batch = top_n_per_period(spark.read.schema(LANDED_SCHEMA).parquet(str(landing)), None, "day", n=5,
+    counts = ing.landing_stream(spark, str(landing), max_files_per_trigger=1)
+    totals, top = tmp_path / "totals", tmp_path / "top"
+    q = tot.maintain_totals_and_top_n(counts, str(totals), str(tmp_path / "c2"), top_path=str(top), n=5)
+    q.awaitTermination()
+    assert len(q.recentProgress) > 1  # several merges
+    streamed = tot.read_top_n(spark, str(top))
+    batch = top_n_per_period(_landed(spark, landing), None, "day", n=5,
                              ordered=False).select(*streamed.columns)
     assert streamed.count() == batch.count() == 15
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
-    totals = tot.current_totals(spark, str(log))
-    assert totals.agg({"hourly_counts": "sum"}).first()[0] == \
-        spark.read.schema(LANDED_SCHEMA).parquet(str(landing)).agg({"hourly_counts": "sum"}).first()[0]
+    assert tot.read_totals(spark, str(totals)).agg({"hourly_counts": "sum"}).first()[0] == \
+        _landed(spark, landing).agg({"hourly_counts": "sum"}).first()[0]
 
 
 def test_trigger_args():
