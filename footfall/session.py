@@ -9,10 +9,8 @@ the setting is missing, as in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -58,30 +56,3 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/footfall/{name}-{uuid.uuid4().hex[:12]}"
 
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Ship this package to the executors' Python workers once per context.
-
-    Equivalent to ``spark-submit --py-files footfall.zip``: the zip is built
-    in the shared folder and added with ``addPyFile``.
-    """
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    root = checkpoint_root(spark)
-    local_root = root[len("file:"):] if root.startswith("file:") else None
-    target_dir = local_root if local_root is not None else tempfile.mkdtemp(prefix="footfall-zip-")
-    path = os.path.join(target_dir, f"footfall-{uuid.uuid4().hex[:8]}.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for base, _dirs, files in os.walk(pkg_dir):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(base, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
