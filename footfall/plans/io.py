@@ -133,8 +133,7 @@ def json_lines_scan(spark, sf_dir):
     path = shared_dir(spark, "pages-jsonl")
     write_pages_json(pages, path)
     # Each line is an array of records: read as text and decode like a message.
-    lines = spark.read.text(path).withColumnRenamed("value", "value")
-    return _records(decode_pages(lines))
+    return _records(decode_pages(spark.read.text(path)))
 
 
 @query("parse_datetime", """
