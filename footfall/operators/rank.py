@@ -53,14 +53,17 @@ def top_n(totals: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
 
 def top_n_per_period(counts: DataFrame, sensors: DataFrame | None = None,
                      period: str = "day", n: int = 10, ordered: bool = True,
-                     broadcast: bool | None = None) -> DataFrame:
+                     broadcast: bool | None = None, pre_aggregated: bool = False) -> DataFrame:
     """The ``n`` busiest sensors of every period, enriched from ``sensors``.
 
     Output: period keys, sensor_id, hourly_counts[, sensor_description,
     sensor_name]; ordered by period ascending then rank when ``ordered``.
+    ``pre_aggregated`` states that ``counts`` already holds one total per
+    (period, sensor), so no aggregation (and no shuffle for it) is added.
     """
     keys = period_keys(period)
-    best = top_n(period_totals(counts, period), keys, n)
+    totals = counts.select(*keys, KEY, MEASURE) if pre_aggregated else period_totals(counts, period)
+    best = top_n(totals, keys, n)
     if sensors is not None:
         best = enrich(best, sensors, broadcast=broadcast)
     if ordered:

@@ -43,3 +43,18 @@ def test_run_reports_matches_operators(spark, tmp_path):
     # Single ordered CSV: rows come back in report order.
     day = [tuple(r)[:4] for r in read("top10_per_day", expected["top10_per_day"]).collect()]
     assert day == [tuple(r)[:4] for r in expected["top10_per_day"].collect()]
+
+
+def test_shared_day_totals_give_the_same_reports(spark):
+    from footfall.plans.reports import build_reports
+
+    counts = tb.change_counts(spark, SF_SMALL)
+    sensors = tb.change_sensors(spark, SF_SMALL)
+    kw = dict(decline_years=(1998, 1999, 2000), growth_years=(1999, 2000))
+    shared = build_reports(counts, sensors, share_day_totals=True, **kw)
+    direct = build_reports(counts, sensors, share_day_totals=False, **kw)
+    for key in direct:
+        a, b = shared[key], direct[key]
+        assert a.columns == b.columns
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), key
