@@ -266,11 +266,11 @@ def mixed_sort(spark, sf_dir):
     return totals.orderBy(F.col("year").asc(), F.col("hourly_counts").desc(), F.col("sensor_id").asc())
 
 
-@query("enrich_top10_month_wide", f"""
+@query("top10_per_month_shuffle_join", f"""
 WITH r AS ({_top10_sql(["year", "month"])})
 SELECT year, month, sensor_id, hourly_counts, sensor_description, sensor_name FROM r
 """)
-def enrich_check(spark, sf_dir):
+def top10_per_month_shuffle_join(spark, sf_dir):
     # Same answer as top10_per_month, but the join is forced to a shuffle
     # join: the result must not depend on the physical join choice.
     totals = top_n_per_period(tb.day_counts(spark, sf_dir), None, period="month", ordered=False)
