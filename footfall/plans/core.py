@@ -14,7 +14,6 @@ from .registry import query
 
 TS = "date_time"  # the change stand-in derives year from this timestamp
 Y0, Y1, Y2 = S.DECLINE_YEARS
-G1, G2 = S.GROWTH_YEARS
 
 
 def _top10_sql(keys: list[str]) -> str:

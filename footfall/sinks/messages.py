@@ -40,11 +40,14 @@ def encode_pages(records: DataFrame, page_size: int = 1000, topic: str = DEFAULT
 
     Pages are runs of consecutive rows of one input partition (from
     ``monotonically_increasing_id``), so a page never exceeds ``page_size``
-    however the data is skewed; ids are stable for a deterministic input.
+    however the data is skewed. Rows are first sorted inside each partition
+    (no shuffle): partition contents are reproducible on a retry even after a
+    shuffle, their order is not, so the sort keeps page assignment stable
+    when a lost task or stage is recomputed.
     """
     cols = [c for c in COUNT_JSON_COLUMNS if c in records.columns]
     seq = F.monotonically_increasing_id()
-    paged = records.withColumn("_page", F.floor(seq / F.lit(page_size)))
+    paged = records.sortWithinPartitions(*cols).withColumn("_page", F.floor(seq / F.lit(page_size)))
     pages = paged.groupBy("_page").agg(encode_page(encode_record(*cols), pretty).alias("_json"))
     return pages.select(
         encode_utf8(F.col("_page").cast("string")).alias("key"),
