@@ -122,9 +122,9 @@ def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
            watermark: str | None = None) -> StreamingQuery:
     """messages -> decode -> dedup -> landing table (parquet, by day)."""
     spark = messages.sparkSession
-    records = decode_pages(messages)
     if mode == "state":
-        deduped = dedup_stream(records.dropDuplicates(PROVENANCE), "id", watermark)
+        # Message-level dedup must precede decoding: after it, one message is many rows.
+        deduped = dedup_stream(decode_pages(messages.dropDuplicates(PROVENANCE)), "id", watermark)
         return (deduped.select(*LANDED_COLUMNS).writeStream.format("parquet")
                 .option("path", landing_path).option("checkpointLocation", checkpoint)
                 .partitionBy(*LANDING_PARTITIONS).outputMode("append")
@@ -132,7 +132,7 @@ def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
     if mode != "table":
         raise ValueError("mode must be 'table' or 'state'")
     ensure_table(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS)
-    return (records.writeStream
+    return (decode_pages(messages).writeStream
             .option("checkpointLocation", checkpoint)
             .foreachBatch(lambda df, _id: land_new_records(df, landing_path))
             .trigger(**trigger_args(trigger))

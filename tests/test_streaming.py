@@ -55,10 +55,13 @@ def test_replayed_id_across_micro_batches_and_restart(spark, tmp_path):
 def test_stateful_mode_matches(spark, tmp_path):
     inbox, landing = tmp_path / "inbox", tmp_path / "landing"
     inbox.mkdir()
-    for n, (off, i) in enumerate([(0, 0), (1, 1), (2, 0), (1, 1)]):
-        (inbox / f"m{n}.json").write_text(_message(off, [i]) + "\n")
+    # pages of several records; the same message twice; an id repeated in a later page
+    for n, (off, ids) in enumerate([(0, [0, 5, 6]), (1, [1, 7]), (2, [0, 8]), (1, [1, 7])]):
+        f = inbox / f"m{n}.json"
+        f.write_text(_message(off, ids) + "\n")
+        os.utime(f, (1_700_000_000 + n, 1_700_000_000 + n))
     _run(spark, inbox, landing, tmp_path / "ckpt", mode="state")
-    assert sorted(r.id for r in _landed(spark, landing).collect()) == ["0", "1"]
+    assert sorted(r.id for r in _landed(spark, landing).collect()) == ["0", "1", "5", "6", "7", "8"]
 
 
 def test_rerun_of_a_batch_is_idempotent(spark, tmp_path):
