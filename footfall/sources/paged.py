@@ -94,6 +94,10 @@ class PagedStreamReader(DataSourceStreamReader):
         return {"offset": self.start}
 
     def latestOffset(self):
+        # Spark asks for the latest offset before ``initialOffset`` on a fresh
+        # query, and re-plans the last checkpointed batch (``partitions``)
+        # before asking on a restart, so ``planned`` is the current position
+        # whenever it is set, and ``start`` is it otherwise.
         available = int(_client(self.options, self.factory).size())
         if self.max_records is None:
             end = available
@@ -111,7 +115,9 @@ class PagedStreamReader(DataSourceStreamReader):
         return _rows(self.options, partition, self.factory)
 
     def commit(self, end):
-        pass  # the position lives in the query checkpoint
+        # The durable position lives in the query checkpoint; keep the
+        # reader's view in step with it.
+        self.planned = max(self.planned or 0, int(end["offset"]))
 
 
 class PagedDataSource(DataSource):
@@ -145,8 +151,11 @@ def register(spark, client=None) -> None:
 
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     if client is not None:
+        # Ship the client's own module by value unless it is an installed
+        # package (executors have those); ``__main__`` is by value anyway.
         module = sys.modules.get(getattr(client, "__module__", ""), None)
-        if module is not None and module.__name__.startswith("footfall."):
+        path = getattr(module, "__file__", "") or ""
+        if module is not None and module.__name__ != "__main__" and "site-packages" not in path:
             cloudpickle.register_pickle_by_value(module)
     source = type("PagedDataSource", (PagedDataSource,), {"client_factory": client})
     spark.dataSource.register(source)
