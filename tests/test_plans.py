@@ -60,3 +60,49 @@ def test_extremum_ties_first_is_bounded_top_1(spark):
     change = ch.period_change(tb.change_counts(spark, SF_SMALL), (1998, 1999, 2000))
     p = plan(ch.extremum(change, "max", ties="first"))
     assert "TakeOrderedAndProject" in p
+
+
+def _before_first_exchange(p: str) -> str:
+    tree = p.split("\n\n")[0]
+    lines = tree.splitlines()
+    idx = max(i for i, ln in enumerate(lines) if "Exchange" in ln)  # deepest exchange (closest to scan)
+    return "\n".join(lines[idx:])
+
+
+def test_partial_aggregation_before_the_shuffle(spark):
+    # A hot key collapses map-side: each aggregation shuffles partial results.
+    from footfall.sources.messages import dedup_records
+
+    checks = {
+        "top_n": top_n_per_period(tb.day_counts(spark, SF_SMALL), None, "day", ordered=False),
+        "change": ch.period_change(tb.change_counts(spark, SF_SMALL), (1998, 1999, 2000)),
+        "dedup": dedup_records(tb.event_counts(spark, SF_SMALL)),
+    }
+    for name, df in checks.items():
+        p = plan(df)
+        # Hash- or (for min_by over a struct) sort-based: either way map-side.
+        assert "Aggregate" in _before_first_exchange(p), name
+        assert "partial_" in p, name
+
+
+def test_hot_keys_give_exact_results(spark):
+    # One sensor, one day and one id each hold a third of all rows.
+    from pyspark.sql import functions as F
+
+    from footfall.sources.messages import dedup_records
+
+    n = 30_000
+    base = spark.range(n).select(
+        F.lit(2021).alias("year"), F.lit("03").alias("month"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 28 + 1)).cast("int").alias("mdate"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("sensor_id"),
+        F.lit(1).cast("bigint").alias("hourly_counts"),
+        F.when(F.col("id") % 3 == 0, F.lit("dup")).otherwise(F.col("id").cast("string")).alias("rid"),
+    ).repartition(16)
+    top = top_n_per_period(base, None, "day", n=3, ordered=False).collect()
+    hot = [r for r in top if r.mdate == 1]
+    assert hot[0].sensor_id == "hot" and hot[0].hourly_counts == n // 3
+    total = base.groupBy().sum("hourly_counts").first()[0]
+    assert sum(r.hourly_counts for r in ch.yearly_totals(base, [2021]).collect()) == total
+    deduped = dedup_records(base.withColumnRenamed("id", "x").withColumnRenamed("rid", "id"))
+    assert deduped.count() == n - n // 3 + 1
