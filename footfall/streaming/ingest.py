@@ -85,11 +85,12 @@ def _partition_filter(values: list, cols: list[str]):
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
-    """Create an empty partitioned parquet table at ``path`` if none exists."""
-    try:
-        spark.read.schema(schema).parquet(path).limit(0).collect()
-    except Exception:  # noqa: BLE001 - path does not exist yet
-        spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
+    """Make sure a (possibly empty) partitioned parquet table exists at ``path``.
+
+    Appending an empty frame creates the folder when missing and adds no
+    rows when the table exists, so it is safe to run on every start.
+    """
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def land_new_records(records: DataFrame, landing_path: str, key: str = "id") -> None:
