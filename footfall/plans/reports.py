@@ -41,15 +41,30 @@ def build_reports(counts: DataFrame, sensors: DataFrame, n: int = 10,
     """
     if share_day_totals:
         checkpoint_root(counts.sparkSession)
-        counts = period_totals(counts, "day").checkpoint(eager=True)
+        day = period_totals(counts, "day").checkpoint(eager=True)
+        return reports_from_day_totals(day, sensors, n, decline_years, growth_years, ties)
     return {
-        "top10_per_day": top_n_per_period(counts, sensors, "day", n, pre_aggregated=share_day_totals),
+        "top10_per_day": top_n_per_period(counts, sensors, "day", n),
         "top10_per_month": top_n_per_period(counts, sensors, "month", n),
         "most_decline": most_decline(counts, sensors, decline_years, ties=ties),
         "most_growth": most_growth(counts, sensors, growth_years, ties=ties),
     }
 
 
+def reports_from_day_totals(day_totals: DataFrame, sensors: DataFrame, n: int = 10,
+                            decline_years=(2020, 2021, 2022), growth_years=(2021, 2022),
+                            ties: str = "all") -> dict[str, DataFrame]:
+    """The four answers from a table of (year, month, mdate, sensor_id,
+    hourly_counts) day totals — a checkpointed batch aggregate or the totals
+    table the streaming job maintains — so batch and stream agree."""
+    return {
+        "top10_per_day": top_n_per_period(day_totals, sensors, "day", n, pre_aggregated=True),
+        "top10_per_month": top_n_per_period(day_totals, sensors, "month", n),
+        "most_decline": most_decline(day_totals, sensors, decline_years, ties=ties),
+        "most_growth": most_growth(day_totals, sensors, growth_years, ties=ties),
+    }
+
+
 def read_inputs(spark: SparkSession, sensors_path: str, counts_path: str,
                 counts_format: str = "json") -> tuple[DataFrame, DataFrame]:
     sensors = read_sensors(spark, sensors_path)

@@ -17,6 +17,7 @@ from ..streaming.ingest import LANDED_SCHEMA
 from . import sql as S
 from .io import EVENT_RECORDS_SQL, _event_messages, _records
 from .registry import query
+from ..operators.rank import top_n_per_period
 
 TOP_SCHEMA = tot.top_schema("day")
 
@@ -81,3 +82,17 @@ SELECT year, month, mdate, sensor_id, hourly_counts FROM r WHERE rn <= 10
 def stream_top10(spark, sf_dir):
     _, top = run_totals(spark, sf_dir, with_top=True)
     return tot.read_top_n(spark, top, "day")
+
+
+@query("stream_top10_per_month", f"""
+WITH d AS ({DAY_EVENT_TOTALS}),
+t AS (SELECT year, month, sensor_id, CAST(SUM(hourly_counts) AS BIGINT) AS hourly_counts
+      FROM d GROUP BY year, month, sensor_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY year, month
+        ORDER BY hourly_counts DESC NULLS LAST, sensor_id ASC NULLS FIRST) AS rn FROM t)
+SELECT year, month, sensor_id, hourly_counts FROM r WHERE rn <= 10
+""")
+def stream_top10_per_month(spark, sf_dir):
+    """Month ranking answered from the day totals the streaming job keeps."""
+    totals, _ = run_totals(spark, sf_dir, with_top=False)
+    return top_n_per_period(tot.read_totals(spark, totals, "day"), None, "month")
