@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -84,6 +85,35 @@ def _partition_filter(values: list, cols: list[str]):
     return reduce(lambda a, b: a | b, [one(v) for v in values])
 
 
+HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def read_touched(spark: SparkSession, path: str, schema: StructType, keys: list[str],
+                 values: list[tuple]) -> DataFrame:
+    """Rows of a partitioned parquet table in the given partitions only.
+
+    One Hadoop glob over the touched values of each partition column
+    (``year={2024}/month={01}/mdate={1,2}``) limits directory listing to
+    those folders, so the cost does not grow with the number of partitions
+    the table holds; the exact (year, month, day) filter is applied on top.
+    A glob that matches nothing yet (new partitions) reads as empty.
+    """
+    def text(v):
+        return HIVE_NULL_PARTITION if v is None else str(v)
+
+    levels = [sorted({text(v[i]) for v in values}) for i in range(len(keys))]
+    glob = path.rstrip("/") + "/" + "/".join(
+        f"{k}={{{','.join(vals)}}}" for k, vals in zip(keys, levels))
+    try:
+        df = spark.read.schema(schema).option("basePath", path).parquet(glob)
+    except AnalysisException as e:
+        cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+        if cond is not None and cond() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+    return df.filter(_partition_filter(values, keys))
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
     """Make sure a (possibly empty) partitioned parquet table exists at ``path``.
 
@@ -96,9 +126,9 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_b
 def land_new_records(records: DataFrame, landing_path: str, key: str = "id") -> None:
     """Append the records of ``records`` not yet in the landing table (batch).
 
-    Only the landing partitions the batch touches are read (static partition
-    pruning from the batch's distinct partition values, a list bounded by
-    the days one batch spans).
+    Only the landing partitions the batch touches are listed and read
+    (``read_touched``; the batch's distinct partition values are a list
+    bounded by the days one batch spans).
     """
     spark = records.sparkSession
     batch = dedup_records(records.select(*LANDED_COLUMNS), key).persist()
@@ -106,8 +136,7 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id") ->
         parts = [tuple(r) for r in batch.select(*LANDING_PARTITIONS).distinct().collect()]
         if not parts:
             return
-        existing = (spark.read.schema(LANDED_SCHEMA).parquet(landing_path)
-                    .filter(_partition_filter(parts, LANDING_PARTITIONS))
+        existing = (read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, parts)
                     .select(*LANDING_PARTITIONS, key))
         fresh = batch.join(existing, on=[*LANDING_PARTITIONS, key], how="left_anti")
         # Rebalance on the partition columns: about one file per day, while

@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.rank import MEASURE, PERIOD_KEYS, period_keys, top_n
 from ..schemas import COUNTS_SCHEMA
-from .ingest import _partition_filter, ensure_table, trigger_args
+from .ingest import ensure_table, read_touched, trigger_args
 
 KEY = "sensor_id"
 BATCH = "applied_batch"
@@ -80,8 +80,7 @@ def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root
         touched = [tuple(r) for r in delta.select(*keys).distinct().collect()]
         if not touched:
             return
-        current = (spark.read.schema(totals_schema(period)).parquet(totals_path)
-                   .filter(_partition_filter(touched, keys)))
+        current = read_touched(spark, totals_path, totals_schema(period), keys, touched)
         done = current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct()
         todo = delta.join(done, on=keys, how="left_anti")
         merged = (current.select(*keys, KEY, MEASURE).join(done, on=keys, how="left_anti")
