@@ -122,3 +122,21 @@ def test_trigger_args():
     assert ing.trigger_args(None) == {"availableNow": True}
     assert ing.trigger_args("1 hour") == {"processingTime": "1 hour"}
     assert ing.trigger_args("once") == {"once": True}
+
+
+def test_read_touched_partitions(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    schema = StructType([StructField("v", StringType()), StructField("year", IntegerType()),
+                         StructField("month", StringType())])
+    path = str(tmp_path / "t")
+    ing.ensure_table(spark, path, schema, ["year", "month"])
+    keys = ["year", "month"]
+    assert ing.read_touched(spark, path, schema, keys, [(2020, "01")]).count() == 0  # nothing yet
+    rows = [("a", 2020, "01"), ("b", 2020, "02"), ("c", 2021, "01"), ("d", None, None)]
+    spark.createDataFrame(rows, schema).write.mode("append").partitionBy(*keys).parquet(path)
+    got = ing.read_touched(spark, path, schema, keys, [(2020, "01"), (2021, "01")])
+    assert sorted(r.v for r in got.collect()) == ["a", "c"]  # (2021, "02")-style over-match filtered out
+    got = ing.read_touched(spark, path, schema, keys, [(None, None), (2020, "02"), (1999, "12")])
+    assert sorted(r.v for r in got.collect()) == ["b", "d"]
+    assert got.filter("v = 'b'").first().month == "02"  # month stays a two-digit string
