@@ -58,3 +58,20 @@ def test_shared_day_totals_give_the_same_reports(spark):
         assert a.columns == b.columns
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), key
+
+
+def test_run_reports_integrity_failure(spark, tmp_path):
+    import pytest
+
+    counts = tb.change_counts(spark, SF_SMALL)
+    sensors = tb.change_sensors(spark, SF_SMALL)
+    # A dimension that misses most sensors: the reports must be flagged.
+    write_csv(sensors.filter("sensor_id < '2'"), str(tmp_path / "sensors"), single=True)
+    write_csv(counts.selectExpr("id AS ID", "CAST(date_time AS STRING) AS Date_Time", "year AS Year",
+                                "'January' AS Month", "mdate AS Mdate", "day AS Day", "time AS Time",
+                                "sensor_id AS Sensor_ID", "sensor_name AS Sensor_Name",
+                                "hourly_counts AS Hourly_Counts"),
+              str(tmp_path / "counts"), single=False)
+    with pytest.raises(ValueError, match="not in the dimension"):
+        run_reports(spark, str(tmp_path / "sensors"), str(tmp_path / "counts"), str(tmp_path / "out"),
+                    counts_format="csv", decline_years=(1998, 1999, 2000), growth_years=(1999, 2000))
