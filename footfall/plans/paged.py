@@ -46,3 +46,19 @@ def paged_stream(spark, sf_dir):
     finally:
         q.stop()
     return _records(spark.read.parquet(sink))
+
+
+@query("paged_to_landing", EVENT_RECORDS_SQL)
+def paged_to_landing(spark, sf_dir):
+    """The whole ingestion path: pages fetched by the paged source, sent as
+    messages by the producer stream, landed by the consumer stream."""
+    from ..streaming import ingest as ing
+    from ..streaming.produce import forward_pages
+
+    register(spark, client=ParquetPages)
+    raw = spark.readStream.format(SOURCE_NAME).options(**_options(sf_dir)).load()
+    inbox = shared_dir(spark, "paged-inbox")
+    forward_pages(raw, shared_dir(spark, "producer-ckpt"), inbox=inbox, page_size=500).awaitTermination()
+    landing = shared_dir(spark, "paged-landing")
+    ing.ingest(ing.read_message_files(spark, inbox), landing, shared_dir(spark, "consumer-ckpt")).awaitTermination()
+    return _records(spark.read.schema(ing.LANDED_SCHEMA).parquet(landing))
