@@ -114,6 +114,25 @@ def read_touched(spark: SparkSession, path: str, schema: StructType, keys: list[
     return df.filter(_partition_filter(values, keys))
 
 
+def compact_partitions(spark: SparkSession, path: str, schema: StructType, keys: list[str],
+                       values: list[tuple], staging: str) -> None:
+    """Rewrite the given partitions of a table into about one file each.
+
+    Streaming appends leave one file per partition per micro-batch; this
+    maintenance step stages the partitions' rows under ``staging`` (a fresh
+    folder in the shared checkpoint area) and swaps them back with dynamic
+    partition overwrite. Rows are unchanged; only the listed partitions are
+    read and rewritten. Run it between micro-batches (e.g. from the same
+    driver after ``awaitTermination`` or on a schedule).
+    """
+    if not values:
+        return
+    read_touched(spark, path, schema, keys, values).write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(schema).parquet(staging)
+    (staged.hint("rebalance", *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
     """Make sure a (possibly empty) partitioned parquet table exists at ``path``.
 

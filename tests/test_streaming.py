@@ -140,3 +140,24 @@ def test_read_touched_partitions(spark, tmp_path):
     got = ing.read_touched(spark, path, schema, keys, [(None, None), (2020, "02"), (1999, "12")])
     assert sorted(r.v for r in got.collect()) == ["b", "d"]
     assert got.filter("v = 'b'").first().month == "02"  # month stays a two-digit string
+
+
+def test_compact_partitions_keeps_rows(spark, tmp_path):
+    import glob
+
+    path = str(tmp_path / "landing")
+    ing.ensure_table(spark, path, LANDED_SCHEMA, ing.LANDING_PARTITIONS)
+    msgs = [_message(k, [k * 10 + j for j in range(3)], mdate=1 + k % 2) for k in range(6)]
+    from footfall.sources.messages import decode_pages
+
+    for m in msgs:  # one append per message: many small files
+        recs = decode_pages(spark.read.schema(ing.MESSAGE_FILE_SCHEMA).json(spark.sparkContext.parallelize([m])))
+        ing.land_new_records(recs, path)
+    before = sorted(tuple(r) for r in _landed(spark, path).collect())
+    day1 = f"{path}/year=2020/month=05/mdate=1/*.parquet"
+    assert len(glob.glob(day1)) == 3
+    ing.compact_partitions(spark, path, LANDED_SCHEMA, ing.LANDING_PARTITIONS,
+                           [(2020, "05", 1)], str(tmp_path / "stage"))
+    assert len(glob.glob(day1)) == 1
+    assert len(glob.glob(f"{path}/year=2020/month=05/mdate=2/*.parquet")) == 3  # untouched
+    assert sorted(tuple(r) for r in _landed(spark, path).collect()) == before
