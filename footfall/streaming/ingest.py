@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
+from ..operators.enrich import fits_broadcast
 from ..schemas import COUNTS_SCHEMA
 from ..sources.messages import PROVENANCE, decode_pages, dedup_records
 
@@ -147,7 +148,8 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id") ->
 
     Only the landing partitions the batch touches are listed and read
     (``read_touched``; the batch's distinct partition values are a list
-    bounded by the days one batch spans).
+    bounded by the days one batch spans). When the batch's keys provably fit
+    a broadcast, the landed ids are only scanned, never shuffled.
     """
     spark = records.sparkSession
     batch = dedup_records(records.select(*LANDED_COLUMNS), key).persist()
@@ -155,9 +157,17 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id") ->
         parts = [tuple(r) for r in batch.select(*LANDING_PARTITIONS).distinct().collect()]
         if not parts:
             return
-        existing = (read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, parts)
-                    .select(*LANDING_PARTITIONS, key))
-        fresh = batch.join(existing, on=[*LANDING_PARTITIONS, key], how="left_anti")
+        on = [*LANDING_PARTITIONS, key]
+        existing = read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, parts).select(*on)
+        batch_keys = batch.select(*on)
+        if fits_broadcast(batch_keys):
+            # The batch is small (proven): stream the touched days' keys past
+            # the broadcast batch keys — no shuffle of the landed ids — then
+            # drop the few keys already seen.
+            seen = existing.join(F.broadcast(batch_keys), on=on, how="left_semi")
+            fresh = batch.join(F.broadcast(seen), on=on, how="left_anti")
+        else:
+            fresh = batch.join(existing, on=on, how="left_anti")
         # Rebalance on the partition columns: about one file per day, while
         # AQE still splits a day that holds most of the batch.
         (fresh.select(*LANDED_COLUMNS).hint("rebalance", *LANDING_PARTITIONS)
