@@ -81,7 +81,9 @@ def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root
         if not touched:
             return
         current = read_touched(spark, totals_path, totals_schema(period), keys, touched)
-        done = current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct()
+        # At most one row per touched partition (a list already on the
+        # driver), so broadcasting it is bounded.
+        done = F.broadcast(current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct())
         todo = delta.join(done, on=keys, how="left_anti")
         merged = (current.select(*keys, KEY, MEASURE).join(done, on=keys, how="left_anti")
                   .unionByName(todo)
