@@ -161,18 +161,3 @@ def test_compact_partitions_keeps_rows(spark, tmp_path):
     assert len(glob.glob(day1)) == 1
     assert len(glob.glob(f"{path}/year=2020/month=05/mdate=2/*.parquet")) == 3  # untouched
     assert sorted(tuple(r) for r in _landed(spark, path).collect()) == before
-
-
-def test_land_new_records_shuffle_fallback(spark, tmp_path, monkeypatch):
-    # Same answer when the batch is too big to broadcast (shuffle anti-join).
-    from footfall.sources.messages import decode_pages
-
-    monkeypatch.setattr(ing, "fits_broadcast", lambda df, *a, **k: False)
-    landing = str(tmp_path / "landing")
-    ing.ensure_table(spark, landing, LANDED_SCHEMA, ing.LANDING_PARTITIONS)
-    msgs = spark.read.schema(ing.MESSAGE_FILE_SCHEMA).json(
-        spark.sparkContext.parallelize([_message(0, [1, 2]), _message(1, [2, 3], mdate=2)]))
-    recs = decode_pages(msgs)
-    ing.land_new_records(recs, landing)
-    ing.land_new_records(recs, landing)
-    assert sorted(r.id for r in _landed(spark, landing).collect()) == ["1", "2", "3"]
