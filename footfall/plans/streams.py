@@ -48,7 +48,7 @@ def run_totals(spark, sf_dir, with_top: bool):
     """landing (as a stream, several micro-batches) -> totals [+ top-10] tables."""
     landing = run_ingest(spark, sf_dir)
     totals, top = shared_dir(spark, "totals"), shared_dir(spark, "top10") if with_top else None
-    counts = ing.landing_stream(spark, landing, LANDED_SCHEMA, max_files_per_trigger=20)
+    counts = ing.landing_stream(spark, landing, LANDED_SCHEMA, max_files_per_trigger=32)
     q = tot.maintain_totals_and_top_n(counts, totals, shared_dir(spark, "totals-ckpt"), top_path=top)
     q.awaitTermination()
     return totals, top
