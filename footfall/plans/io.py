@@ -118,11 +118,13 @@ def json_scan(spark, sf_dir):
     """Pages landed as JSON array files, read back as multi-line JSON (SRC-3/8)."""
     records = to_feed_records(tb.event_counts(spark, sf_dir))
     pages = encode_pages(records, page_size=PAGE_SIZE, pretty=True).select(
-        F.col("key").cast("string").alias("page"), F.col("value").cast("string").alias("value"))
+        F.col("value").cast("string").alias("value"))
     path = shared_dir(spark, "pages-json")
-    # One page per file: a multi-line JSON file holds exactly one array (T16).
-    pages.write.partitionBy("page").text(path)
-    return _records(read_counts_json(spark, f"{path}/page=*/*.txt", multi_line=True))
+    # One page per file, as a multi-line JSON file must hold exactly one
+    # array (T16): ``maxRecordsPerFile=1`` splits each task's output into
+    # one file per page in a flat folder (no directory per page).
+    pages.write.option("maxRecordsPerFile", 1).text(path)
+    return _records(read_counts_json(spark, path, multi_line=True))
 
 
 @query("json_lines_scan", EVENT_RECORDS_SQL)
