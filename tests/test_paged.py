@@ -100,3 +100,13 @@ def test_forward_pages_needs_one_sink(spark, tmp_path):
 
     with pytest.raises(ValueError):
         forward_pages(spark.readStream.format("rate").load(), str(tmp_path / "c"))
+
+
+def test_pages_per_partition_groups_api_calls(spark, tmp_path):
+    feed = tmp_path / "feed.jsonl"
+    _append(feed, range(23))
+    register(spark, client=FileFeed)
+    df = (spark.read.format(SOURCE_NAME).option("client.path", str(feed)).option("page_size", 5)
+          .option("pages_per_partition", 2).load())
+    assert df.rdd.getNumPartitions() == 3  # 10 + 10 + 3 records
+    assert sorted(int(r.id) for r in df.collect()) == list(range(23))
