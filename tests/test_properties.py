@@ -94,3 +94,29 @@ def test_dedup_records_keeps_earliest_copy(spark, rows):
         if i not in want or (off, v) < want[i]:
             want[i] = (off, v)
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(sensor, st.integers(2019, 2023), count), max_size=40))
+def test_present_only_and_aligned_difference_match_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "sensor_id string, year int, hourly_counts bigint")
+    years_of = defaultdict(set)
+    sums = {}
+    for s, y, c in rows:
+        if s is None:
+            continue
+        years_of[s].add(y)
+        prev = sums.get((s, y), "missing")
+        sums[(s, y)] = c if prev == "missing" else (prev if c is None else (c if prev is None else prev + c))
+
+    got = sorted(r.sensor_id for r in ch.present_only(df, present=(2020, 2021), absent=(2022,)).collect())
+    want = sorted(s for s, ys in years_of.items() if {2020, 2021} <= ys and 2022 not in ys)
+    assert got == want
+
+    got = {r.sensor_id: r.hourly_counts for r in ch.aligned_difference(df, 2020, 2022).collect()}
+    want = {}
+    for s, ys in years_of.items():
+        if 2020 in ys or 2022 in ys:
+            a, b = sums.get((s, 2020)), sums.get((s, 2022))
+            want[s] = None if a is None or b is None else a - b
+    assert got == want
