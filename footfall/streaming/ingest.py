@@ -142,7 +142,17 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_b
     spark.createDataFrame([], schema).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def land_new_records(records: DataFrame, landing_path: str, key: str = "id") -> None:
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back: a lineage cut in the shared
+    folder that survives executor loss and, unlike a cached plan, lets AQE
+    size the partitions (a small micro-batch becomes a few files, not one
+    task per shuffle partition)."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def land_new_records(records: DataFrame, landing_path: str, key: str = "id",
+                     staging: str | None = None) -> None:
     """Append the records of ``records`` not yet in the landing table (batch).
 
     Only the landing partitions the batch touches are listed and read
@@ -150,20 +160,21 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id") ->
     bounded by the days one batch spans).
     """
     spark = records.sparkSession
-    batch = dedup_records(records.select(*LANDED_COLUMNS), key).persist()
-    try:
-        parts = [tuple(r) for r in batch.select(*LANDING_PARTITIONS).distinct().collect()]
-        if not parts:
-            return
-        existing = (read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, parts)
-                    .select(*LANDING_PARTITIONS, key))
-        fresh = batch.join(existing, on=[*LANDING_PARTITIONS, key], how="left_anti")
-        # Rebalance on the partition columns: about one file per day, while
-        # AQE still splits a day that holds most of the batch.
-        (fresh.select(*LANDED_COLUMNS).hint("rebalance", *LANDING_PARTITIONS)
-         .write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing_path))
-    finally:
-        batch.unpersist()
+    if staging is None:
+        from ..session import shared_dir
+
+        staging = shared_dir(spark, "ingest-stage")
+    batch = stage(dedup_records(records.select(*LANDED_COLUMNS), key), staging)
+    parts = [tuple(r) for r in batch.select(*LANDING_PARTITIONS).distinct().collect()]
+    if not parts:
+        return
+    existing = (read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, parts)
+                .select(*LANDING_PARTITIONS, key))
+    fresh = batch.join(existing, on=[*LANDING_PARTITIONS, key], how="left_anti")
+    # Rebalance on the partition columns: about one file per day, while
+    # AQE still splits a day that holds most of the batch.
+    (fresh.select(*LANDED_COLUMNS).hint("rebalance", *LANDING_PARTITIONS)
+     .write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing_path))
 
 
 def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
@@ -181,9 +192,10 @@ def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
     if mode != "table":
         raise ValueError("mode must be 'table' or 'state'")
     ensure_table(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS)
+    staging = f"{checkpoint.rstrip('/')}/staging"
     return (decode_pages(messages).writeStream
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, _id: land_new_records(df, landing_path))
+            .foreachBatch(lambda df, bid: land_new_records(df, landing_path, staging=f"{staging}/batch={bid}"))
             .trigger(**trigger_args(trigger))
             .start())
 

@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.rank import MEASURE, PERIOD_KEYS, period_keys, top_n
 from ..schemas import COUNTS_SCHEMA
-from .ingest import ensure_table, read_touched, trigger_args
+from .ingest import ensure_table, read_touched, stage, trigger_args
 
 KEY = "sensor_id"
 BATCH = "applied_batch"
@@ -75,29 +75,25 @@ def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root
     """Fold one batch of counts into the totals (and top-n) tables; idempotent."""
     spark = counts.sparkSession
     keys = period_keys(period)
-    delta = period_delta(counts, period).persist()
-    try:
-        touched = [tuple(r) for r in delta.select(*keys).distinct().collect()]
-        if not touched:
-            return
-        current = read_touched(spark, totals_path, totals_schema(period), keys, touched)
-        # At most one row per touched partition (a list already on the
-        # driver), so broadcasting it is bounded.
-        done = F.broadcast(current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct())
-        todo = delta.join(done, on=keys, how="left_anti")
-        merged = (current.select(*keys, KEY, MEASURE).join(done, on=keys, how="left_anti")
-                  .unionByName(todo)
-                  .groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
-                  .withColumn(BATCH, F.lit(batch_id).cast("long")))
-        # Stage first: a job may not overwrite the partitions it is reading.
-        stage = f"{staging_root.rstrip('/')}/batch={batch_id}"
-        merged.write.mode("overwrite").parquet(stage)
-        staged = spark.read.parquet(stage).select(*[f.name for f in totals_schema(period).fields])
-        _overwrite_partitions(staged, totals_path, keys)
-        if top_path is not None:
-            _overwrite_partitions(top_n(staged.drop(BATCH), keys, n), top_path, keys)
-    finally:
-        delta.unpersist()
+    root = f"{staging_root.rstrip('/')}/batch={batch_id}"
+    delta = stage(period_delta(counts, period), f"{root}/delta")
+    touched = [tuple(r) for r in delta.select(*keys).distinct().collect()]
+    if not touched:
+        return
+    current = read_touched(spark, totals_path, totals_schema(period), keys, touched)
+    # At most one row per touched partition (a list already on the driver),
+    # so broadcasting it is bounded.
+    done = F.broadcast(current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct())
+    todo = delta.join(done, on=keys, how="left_anti")
+    merged = (current.select(*keys, KEY, MEASURE).join(done, on=keys, how="left_anti")
+              .unionByName(todo)
+              .groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
+              .withColumn(BATCH, F.lit(batch_id).cast("long")))
+    # Stage first: a job may not overwrite the partitions it is reading.
+    staged = stage(merged, f"{root}/merged").select(*[f.name for f in totals_schema(period).fields])
+    _overwrite_partitions(staged, totals_path, keys)
+    if top_path is not None:
+        _overwrite_partitions(top_n(staged.drop(BATCH), keys, n), top_path, keys)
 
 
 def maintain_totals_and_top_n(counts: DataFrame, totals_path: str, checkpoint: str,
