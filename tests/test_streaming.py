@@ -161,3 +161,16 @@ def test_compact_partitions_keeps_rows(spark, tmp_path):
     assert len(glob.glob(day1)) == 1
     assert len(glob.glob(f"{path}/year=2020/month=05/mdate=2/*.parquet")) == 3  # untouched
     assert sorted(tuple(r) for r in _landed(spark, path).collect()) == before
+
+
+def test_month_grain_totals_merge(spark, tmp_path):
+    rows = [(2021, "01", d, str(s), s + d) for d in (1, 2, 3) for s in range(6)]
+    rows += [(2021, "02", 1, "0", 100)]
+    counts = spark.createDataFrame(rows, "year int, month string, mdate int, sensor_id string, hourly_counts bigint")
+    totals, top = str(tmp_path / "totals"), str(tmp_path / "top")
+    ing.ensure_table(spark, totals, tot.totals_schema("month"), ["year", "month"])
+    tot.merge_batch(counts.filter("mdate = 1"), 0, totals, str(tmp_path / "s"), top, period="month", n=2)
+    tot.merge_batch(counts.filter("mdate > 1"), 1, totals, str(tmp_path / "s"), top, period="month", n=2)
+    got = sorted(tuple(r) for r in tot.read_top_n(spark, top, "month").collect())
+    want = sorted(tuple(r) for r in top_n_per_period(counts, None, "month", n=2, ordered=False).collect())
+    assert got == want == [(2021, "01", "4", 18), (2021, "01", "5", 21), (2021, "02", "0", 100)]
