@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.messages import encode_page, encode_record, encode_utf8
 from ..schemas import COUNT_JSON_COLUMNS
 
+# The feed's default topic name.
 DEFAULT_TOPIC = "get-data"
 
 
