@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.messages import encode_page, encode_record, encode_utf8
-from ..schemas import COUNT_JSON_COLUMNS
+from ..schemas import COUNT_JSON_COLUMNS, DEFAULT_TOPIC
 
-# The feed's default topic name.
-DEFAULT_TOPIC = "get-data"
 
 
 def to_feed_records(counts: DataFrame) -> DataFrame:

@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.messages import decode_page, page_records, provenance_key
+from ..schemas import DEFAULT_TOPIC
 from .counts import normalize_counts
 
 PROVENANCE = ["topic", "partition", "offset"]
 
 
-def kafka_options(bootstrap_servers: str, topic: str = "get-data", starting: str = "earliest",
+def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting: str = "earliest",
                   max_offsets_per_trigger: int | None = None, **extra) -> dict:
     """Options for ``readStream.format('kafka')`` (STR-2 start position, STR-4 throttle)."""
     if starting not in ("earliest", "latest") and not starting.startswith("{"):
