@@ -174,3 +174,37 @@ def test_month_grain_totals_merge(spark, tmp_path):
     got = sorted(tuple(r) for r in tot.read_top_n(spark, top, "month").collect())
     want = sorted(tuple(r) for r in top_n_per_period(counts, None, "month", n=2, ordered=False).collect())
     assert got == want == [(2021, "01", "4", 18), (2021, "01", "5", 21), (2021, "02", "0", 100)]
+
+
+def test_four_reports_from_streamed_totals_equal_batch(spark, tmp_path):
+    from footfall.plans.reports import build_reports, reports_from_day_totals
+
+    inbox, landing = tmp_path / "inbox", tmp_path / "landing"
+    inbox.mkdir()
+    months = ["January", "June", "December"]
+    rid = iter(range(100_000))
+    for f, year in enumerate((2020, 2021, 2022)):
+        lines = []
+        for off in range(4):
+            page = [{"id": str(next(rid)), "sensor_id": str(s), "hourly_counts": (s * 37 + year * off) % 50,
+                     "year": year, "month": months[(s + off) % 3], "mdate": 1 + (s * off) % 5,
+                     "date_time": f"{months[(s + off) % 3]} 01, {year} 01:00:00 AM"}
+                    for s in range(12) if not (year == 2022 and s == 3)]
+            lines.append(json.dumps({"key": None, "value": json.dumps(page), "topic": "t",
+                                     "partition": 0, "offset": f * 10 + off}))
+        (inbox / f"f{f}.json").write_text("\n".join(lines) + "\n")
+    (inbox / "replay.json").write_text((inbox / "f1.json").read_text())
+    _run(spark, inbox, landing, tmp_path / "c1")
+    totals = str(tmp_path / "totals")
+    tot.maintain_totals_and_top_n(ing.landing_stream(spark, str(landing), max_files_per_trigger=2),
+                                  totals, str(tmp_path / "c2")).awaitTermination()
+
+    sensors = spark.createDataFrame([(str(s), f"d{s}", f"n{s}") for s in range(12)],
+                                    "sensor_id string, sensor_description string, sensor_name string")
+    kw = dict(decline_years=(2020, 2021, 2022), growth_years=(2021, 2022))
+    streamed = reports_from_day_totals(tot.read_totals(spark, totals), sensors, **kw)
+    batch = build_reports(_landed(spark, landing), sensors, share_day_totals=False, **kw)
+    for key in batch:
+        a, b = streamed[key], batch[key]
+        assert a.count() == b.count() > 0, key
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), key
