@@ -4,7 +4,8 @@ Runs each headline query end to end (scan -> result fully computed, written
 to Spark's ``noop`` sink so nothing is collected on the driver) on
 ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` and prints ONE JSON line.
 Each query is run once to warm up, then ``$BENCH_REPEAT`` times; the median
-is reported.
+is reported. ``$BENCH_QUERIES`` (comma-separated) picks other registered
+queries than the headline set.
 """
 
 from __future__ import annotations
@@ -34,13 +35,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from footfall.plans import catalog
     from footfall.session import local_session
 
     spark = local_session(cpus, app="footfall-bench")
     times: dict[str, float] = {}
-    for name in HEADLINE:
+    for name in names:
         fn = catalog.QUERIES.get(name)
         if fn is None:
             continue
