@@ -176,3 +176,18 @@ def month_number(spark, sf_dir):
     return names.select("id", tf.month_name_to_mm("m").alias("month"),
                         tf.month_name_to_number("m").alias("month_number"),
                         tf.month_name_to_mm_via_epoch("m").alias("month_via_epoch"))
+
+
+@query("provenance_keys", """
+SELECT CAST(event_id AS VARCHAR) AS id, 'events-0-' || CAST(event_id AS VARCHAR) AS message_id
+FROM events
+""")
+def provenance_keys(spark, sf_dir):
+    """One message per event (offset = event id): decoded records carry the
+    colon-free ``topic-partition-offset`` provenance key (FN-11, T15)."""
+    records = to_feed_records(tb.event_counts(spark, sf_dir))
+    msgs = records.select(
+        F.to_json(F.array(F.struct(*records.columns))).alias("value"),
+        F.lit("events").alias("topic"), F.lit(0).alias("partition"),
+        F.col("id").cast("bigint").alias("offset"))
+    return decode_pages(msgs).select("id", "message_id")
