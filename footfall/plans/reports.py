@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.change import most_decline, most_growth
-from ..operators.enrich import ENRICH_COLUMNS, KEY, fits_broadcast, orphans
+from ..operators.enrich import ENRICH_COLUMNS, KEY, orphans, should_broadcast
 from ..operators.rank import period_totals, top_n_per_period
 from ..session import checkpoint_root
 from ..sinks.files import write_csv
@@ -54,7 +54,7 @@ def build_reports(counts: DataFrame, sensors: DataFrame, n: int = 10,
 
 def _broadcast_decision(sensors: DataFrame) -> bool:
     """One bounded size probe of the enrichment side, shared by all reports."""
-    return fits_broadcast(sensors.select(KEY, *ENRICH_COLUMNS))
+    return should_broadcast(sensors.select(KEY, *ENRICH_COLUMNS))
 
 
 def reports_from_day_totals(day_totals: DataFrame, sensors: DataFrame, n: int = 10,

@@ -106,3 +106,21 @@ def test_hot_keys_give_exact_results(spark):
     assert sum(r.hourly_counts for r in ch.yearly_totals(base, [2021]).collect()) == total
     deduped = dedup_records(base.withColumnRenamed("id", "x").withColumnRenamed("rid", "id"))
     assert deduped.count() == n - n // 3 + 1
+
+
+def test_broadcast_follows_session_threshold(spark):
+    from footfall.operators.enrich import session_broadcast_limit
+
+    dim = tb.day_sensors(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert session_broadcast_limit(spark) == 0
+        assert "broadcast" not in plan(dimension_side(dim, ["sensor_name"]).join(dim, "sensor_id")).lower()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20MB")
+        assert session_broadcast_limit(spark) == 20 << 20
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1GB")
+        assert session_broadcast_limit(spark) == 64 << 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert session_broadcast_limit(spark) == 10 << 20
