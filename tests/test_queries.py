@@ -6,16 +6,17 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as E
+from footfall.plans import catalog
 from tools.oracle_check import canon
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 def test_every_query_has_an_oracle_or_is_listed():
     # Only genuinely non-SQL queries may lack an oracle.
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(catalog.QUERIES) - set(catalog.ORACLE_SQL)
     assert missing <= {"paged_source", "paged_stream"}, missing
 
 
