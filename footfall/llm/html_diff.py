@@ -2,7 +2,7 @@
 
 Pages are ordered by (host, URL path); the partner of a page is the neighbour
 in that order, of the same host and with another path, whose path shares the
-longer prefix. Both pages become text lines (blocks), the lines are aligned by
+longer prefix (of two equally near, the one that shares more lines). Both pages become text lines (blocks), the lines are aligned by
 a longest common subsequence, and the lines shared with the partner are
 deleted: menus, notices and footers recur, articles don't.
 
@@ -195,10 +195,15 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def _partner(page: _Page, before: _Page | None, after: _Page | None) -> _Page | None:
+def _compared(page: _Page, before: _Page | None, after: _Page | None) -> tuple[_Page | None, list[int]]:
+    """The partner and the lines shared with it; of two neighbours equally near, the one that shares more lines."""
     host, path = page.key[:2]
     near = [p for p in (before, after) if p is not None and p.key[0] == host and p.key[1] != path]
-    return max(near, key=lambda p: _common(path, p.key[1]), default=None)
+    if not near:
+        return None, []
+    closest = max(_common(path, p.key[1]) for p in near)
+    found = [(p, shared_lines(page.hashes, p.hashes)) for p in near if _common(path, p.key[1]) == closest]
+    return max(found, key=lambda x: len(x[1]))
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,8 +213,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def answer(page: _Page, before: _Page | None, after: _Page | None) -> None:
         if not page.own:
             return
-        other = _partner(page, before, after)
-        shared = shared_lines(page.hashes, other.hashes) if other else []
+        other, shared = _compared(page, before, after)
         text = " ".join(kept_lines(page.lines, set(shared)))
         done.append((page.key[2], page.key[3], text, len(text), len(page.lines), len(shared), other.key[3] if other else None))
 

@@ -54,7 +54,7 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){12,}+", r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]", 0.7, r"(?i)\b(card|credit|visa|mastercard|amex|debit)\b"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, r"(?i)\b(phone|tel|call|mobile|fax|cell)\b"),
     Kind("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", 0.8, r"(?i)\b(iban|account|bank|konto|compte)\b", False),
-    Kind("national_phone", r"(?<![0-9+() -])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])", r"[0-9]{3}[\x20.-][0-9]{4}", 0.2, r"(?i)\b(phone|tel|call|mobile|fax|cell)\b", False),
+    Kind("national_phone", r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])", r"[0-9]{3}[\x20.-][0-9]{4}", 0.2, r"(?i)\b(phone|tel|call|mobile|fax|cell)\b", False),
     Kind("secret", r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{32,}+(?![A-Za-z0-9_+/=-])", r"[A-Za-z0-9_+/-]{32}", 0.2, r"(?i)\b(token|secret|password|passwd|api.?key|access.?key)\b", False),
 )
 #: Fixed value: what a context word adds to a score.

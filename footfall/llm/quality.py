@@ -1,9 +1,10 @@
 """Quality rules as weak supervision.
 
 Each rule votes good (+1), bad (-1) or abstains (0) on a document.
-Expectation-maximisation estimates, without labels, the share of junk and for
-each rule how often it votes bad on junk and on good documents. The posterior
-probability of being good replaces all-must-pass filtering.
+Expectation-maximisation estimates, without labels, the shares of good
+documents and of the kinds of junk, and for each of them how often each rule
+votes bad. The posterior probability of being good replaces all-must-pass
+filtering.
 
 The data enter EM only as counts of vote patterns: at most 3 ** len(RULES)
 of them, whatever the number of documents, counted over all rows by one
@@ -17,7 +18,6 @@ alike. An empty table gives an empty result. Extra columns are ignored by
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -133,51 +133,60 @@ def features(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class VoteModel:
-    """``junk``: prior; ``hit[r]``, ``false[r]``: how often rule r, when it votes, says bad on junk and on good documents."""
+    """Class 0 is good, class r + 1 is junk of the kind that rule r is made for.
 
-    junk: float
-    hit: tuple[float, ...]
-    false: tuple[float, ...]
+    ``share``: of each class; ``bad[c][r]``: how often rule r, when it votes, says bad on class c.
+    """
+
+    share: tuple[float, ...]
+    bad: tuple[tuple[float, ...], ...]
 
     def good(self, pattern: int) -> float:
         """Posterior probability that a document with these votes is good."""
-        score = math.log(1 - self.junk) - math.log(self.junk)
-        for r in range(len(self.hit) - 1, -1, -1):
-            pattern, vote = divmod(pattern, 3)
-            if vote == 0:
-                score += math.log(self.false[r]) - math.log(self.hit[r])
-            elif vote == 2:
-                score += math.log(1 - self.false[r]) - math.log(1 - self.hit[r])
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, score))))
-
-
-def fit(counts: dict[int, int], rounds: int = 200) -> VoteModel:
-    """EM over pattern counts.
-
-    Rules are held to be better than chance: at most one vote in ten is a false
-    alarm, bad votes are no rarer on junk than on good documents, and junk is
-    at most half. So a document without any bad vote stays good.
+        votes = np.array([[pattern // 3 ** (len(RULES) - 1 - r) % 3 - 1 for r in range(len(RULES))]])
+        return float(_posterior(votes, np.array(self.share), np.array(self.bad))[0, 0])
+
+
+def _posterior(votes: np.ndarray, share: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    log = np.log(share) + (votes == -1) @ np.log(bad).T + (votes == 1) @ np.log(1 - bad).T
+    p = np.exp(log - log.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True)
+
+
+def fit(counts: dict[int, int], rounds: int = 300) -> VoteModel:
+    """EM over pattern counts, without labels.
+
+    Junk comes in kinds that trip different rules, so there is one junk class
+    per rule; votes are independent within a class. Rules are held to be better
+    than chance: on good documents at most one vote in a hundred is a false alarm,
+    a kind's own rule finds at least half of it, no rule says bad more rarely
+    on junk than on good documents, and junk is at most half of all. So a
+    document without any bad vote stays good.
     """
     n_rules = len(RULES)
+    own = np.eye(n_rules, dtype=bool)
+    share = np.array([0.9] + [0.1 / n_rules] * n_rules)
+    bad = np.vstack([np.full(n_rules, 0.005), np.where(own, 0.9, 0.1)])
     patterns = sorted(counts)
-    if not patterns:
-        return VoteModel(0.1, (0.5,) * n_rules, (0.02,) * n_rules)
-    votes = np.array([[p // 3 ** (n_rules - 1 - r) % 3 - 1 for r in range(n_rules)] for p in patterns])
-    n = np.array([counts[p] for p in patterns], float)
-    bad, good = votes == -1, votes == 1
-    junk, hit, false = 0.1, np.full(n_rules, 0.5), np.full(n_rules, 0.02)
-    for _ in range(rounds):
-        log_j = math.log(junk) + bad @ np.log(hit) + good @ np.log(1 - hit)
-        log_g = math.log(1 - junk) + bad @ np.log(false) + good @ np.log(1 - false)
-        p = 1 / (1 + np.exp(np.clip(log_g - log_j, -700, 700)))
-        before = (junk, hit, false)
-        junk = float(np.clip((n @ p + 1) / (n.sum() + 10), 1e-6, 0.5))
-        wj, wg = n * p, n * (1 - p)
-        false = np.clip((wg @ bad + 1) / (wg @ (bad | good) + 50), 1e-6, 0.1)
-        hit = np.clip((wj @ bad + 1) / (wj @ (bad | good) + 2), np.maximum(false, 1e-3), 0.999)
-        if abs(junk - before[0]) < 1e-12 and np.abs(hit - before[1]).max() < 1e-10:
-            break
-    return VoteModel(junk, tuple(map(float, hit)), tuple(map(float, false)))
+    if patterns:
+        votes = np.array([[p // 3 ** (n_rules - 1 - r) % 3 - 1 for r in range(n_rules)] for p in patterns])
+        n = np.array([counts[p] for p in patterns], float)
+        for _ in range(rounds):
+            before = bad
+            w = n[:, None] * _posterior(votes, share, bad)
+            mass = w.sum(axis=0) + np.array([9.0] + [1.0 / n_rules] * n_rules)
+            junk = min(float(mass[1:].sum() / mass.sum()), 0.5)
+            share = np.concatenate(([1 - junk], np.maximum(junk * mass[1:] / mass[1:].sum(), 1e-9)))
+            share /= share.sum()
+            said = w.T @ (votes == -1)
+            voted = w.T @ (votes != 0)
+            false = np.clip((said[0] + 1) / (voted[0] + 100), 1e-6, 0.01)
+            hit = (said[1:] + np.where(own, 0.9, 0.1)) / (voted[1:] + 1)
+            hit = np.clip(hit, np.where(own, 0.5, np.maximum(false, 1e-4)), 0.999)
+            bad = np.vstack([false, hit])
+            if np.abs(bad - before).max() < 1e-10:
+                break
+    return VoteModel(tuple(map(float, share)), tuple(tuple(map(float, x)) for x in bad))
 
 
 def _verdicts(measured: DataFrame) -> tuple[VoteModel, dict[int, float]]:
