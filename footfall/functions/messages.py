@@ -27,10 +27,20 @@ def decode_page(col: Column | str) -> Column:
     """JSON array text or bytes -> array<struct<all-string record>> (FN-8).
 
     Quoted and bare numbers both land as text; typing happens later with
-    ``try_cast``. A malformed page yields null rather than failing.
+    ``try_cast``. A page that is not whole, valid JSON gives null, never part
+    of its records; ``strict_page`` fails instead.
     """
     # Casting binary to string decodes UTF-8; text passes through unchanged.
-    return F.from_json(_c(col).cast("string"), PAGE_SCHEMA, {"mode": "PERMISSIVE"})
+    text = _c(col).cast("string")
+    whole = F.try_parse_json(text).isNotNull()
+    return F.when(whole, F.from_json(text, PAGE_SCHEMA, {"mode": "PERMISSIVE"}))
+
+
+def strict_page(col: Column | str) -> Column:
+    """``decode_page`` that raises on a malformed page."""
+    page = decode_page(col)
+    start = F.substring(F.coalesce(_c(col).cast("string"), F.lit("null")), 1, 80)
+    return F.when(page.isNull(), F.raise_error(F.concat(F.lit("malformed page: "), start))).otherwise(page)
 
 
 def page_records(col: Column | str) -> Column:

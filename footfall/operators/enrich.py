@@ -1,10 +1,8 @@
 """Dimension enrichment and integrity checks (JN-1, JN-2, JN-6, Q-7, T20).
 
-Broadcast policy: the dimension is broadcast only after a bounded probe
-proves it is small (at most ``max_rows`` rows and a byte budget taken from
-the session's ``spark.sql.autoBroadcastJoinThreshold``, capped at 64 MiB).
-Beyond that bound the join is left to the planner (shuffle join; AQE may
-still switch to a broadcast at runtime from real shuffle sizes).
+The join is left to the planner: Spark's statistics and AQE broadcast the
+dimension if it is within ``spark.sql.autoBroadcastJoinThreshold``. The caller
+may ask for one form (``broadcast=True`` or ``False``). No job runs here.
 """
 
 from __future__ import annotations
@@ -15,62 +13,13 @@ from pyspark.sql import functions as F
 KEY = "sensor_id"
 ENRICH_COLUMNS = ("sensor_description", "sensor_name")
 
-# Defaults for the broadcast proof.
-BROADCAST_MAX_ROWS = 200_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """True when ``df`` provably has <= max_rows rows and <= max_bytes of data.
-
-    Only ``max_rows + 1`` one-number rows reach the driver (Spark's
-    incremental ``take``), so the probe itself is bounded however large the
-    input is.
-    """
-    width = F.lit(8 * len(df.columns))
-    for c in df.columns:
-        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    sample = df.select(width.alias("w")).take(max_rows + 1)
-    if len(sample) > max_rows:
-        return False
-    return sum(r["w"] for r in sample) <= max_bytes
-
-
-# Byte units accepted in ``spark.sql.autoBroadcastJoinThreshold``.
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def session_broadcast_limit(spark) -> int:
-    """Byte budget for a broadcast: the session's auto-broadcast threshold
-    (``-1`` = broadcasting disabled -> 0), capped at ``BROADCAST_MAX_BYTES``."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
-    num = raw.rstrip("bkmgt")
-    unit = raw[len(num):] or "b"
-    try:
-        limit = int(float(num) * _UNITS.get(unit, 1))
-    except ValueError:
-        limit = BROADCAST_MAX_BYTES
-    return 0 if limit < 0 else min(limit, BROADCAST_MAX_BYTES)
-
 
 def dimension_side(sensors: DataFrame, columns, broadcast: bool | None = None) -> DataFrame:
-    """The projected dimension, hinted for broadcast when proven small.
-
-    The proof respects the cluster's policy: the byte budget is the session's
-    ``spark.sql.autoBroadcastJoinThreshold`` (no broadcast when it is -1).
-    """
+    """The projected dimension, hinted only if the caller decides."""
     dim = sensors.select(KEY, *[c for c in columns if c != KEY])
     if broadcast is None:
-        broadcast = should_broadcast(dim)
-    return F.broadcast(dim) if broadcast else dim
-
-
-def should_broadcast(dim: DataFrame) -> bool:
-    """The bounded size proof against the session's broadcast budget."""
-    budget = session_broadcast_limit(dim.sparkSession)
-    return budget > 0 and fits_broadcast(dim, max_bytes=budget)
+        return dim
+    return F.broadcast(dim) if broadcast else dim.hint("merge")
 
 
 def enrich(result: DataFrame, sensors: DataFrame, columns=ENRICH_COLUMNS,

@@ -11,6 +11,7 @@ from ..operators.rank import top_n_per_period
 from ..sources import tables as tb
 from . import sql as S
 from .registry import query
+from .reports import build_reports
 
 TS = "date_time"  # the change stand-in derives year from this timestamp
 Y0, Y1, Y2 = S.DECLINE_YEARS
@@ -274,3 +275,51 @@ def top10_per_month_shuffle_join(spark, sf_dir):
     # join: the result must not depend on the physical join choice.
     totals = top_n_per_period(tb.day_counts(spark, sf_dir), None, period="month", ordered=False)
     return enrich(totals, tb.day_sensors(spark, sf_dir), broadcast=False)
+
+
+@query("customer_orphans", f"""
+WITH c AS ({S.CHANGE_COUNTS}),
+s AS ({S.DAY_SENSORS})
+SELECT DISTINCT sensor_id FROM c
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.sensor_id = c.sensor_id)
+""")
+def customer_orphans(spark, sf_dir):
+    """Keys of one fact table against the dimension of another: most of them are orphans."""
+    return orphans(tb.change_counts(spark, sf_dir), tb.day_sensors(spark, sf_dir))
+
+
+@query("duplicate_event_keys", """
+SELECT CAST(user_id AS VARCHAR) AS sensor_id, count(*) AS copies
+FROM events GROUP BY user_id HAVING count(*) > 1
+""")
+def duplicate_event_keys(spark, sf_dir):
+    """A key column that repeats: every event's user as if it were a dimension key."""
+    return duplicate_keys(tb.event_counts(spark, sf_dir))
+
+
+def _reports(spark, sf_dir, which: str):
+    """The report job's answer: from day totals written once (``build_reports``)."""
+    ranked = which.startswith("top10")
+    counts, sensors = (tb.day_counts, tb.day_sensors) if ranked else (tb.change_counts, tb.change_sensors)
+    return build_reports(counts(spark, sf_dir), sensors(spark, sf_dir),
+                         decline_years=S.DECLINE_YEARS, growth_years=S.GROWTH_YEARS)[which]
+
+
+@query("report_top10_per_day", _top10_sql(["year", "month", "mdate"]))
+def report_top10_per_day(spark, sf_dir):
+    return _reports(spark, sf_dir, "top10_per_day")
+
+
+@query("report_top10_per_month", _top10_sql(["year", "month"]))
+def report_top10_per_month(spark, sf_dir):
+    return _reports(spark, sf_dir, "top10_per_month")
+
+
+@query("report_most_decline", _extremum_sql(S.DECLINE_YEARS, "max"))
+def report_most_decline(spark, sf_dir):
+    return _reports(spark, sf_dir, "most_decline")
+
+
+@query("report_most_growth", _extremum_sql(S.GROWTH_YEARS, "min"))
+def report_most_growth(spark, sf_dir):
+    return _reports(spark, sf_dir, "most_growth")

@@ -2,11 +2,14 @@
 stand-in tables (SRC-1..5/8, SNK-1/3/4/6, FN-1..12, T14/T18/T19).
 
 Queries that write files use a fresh folder under the session's shared
-checkpoint folder (``spark.checkpoint.dir``), never a machine-local one.
+checkpoint folder (``spark.checkpoint.dir``); see ``session.checkpoint_root``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import time as tf
@@ -15,7 +18,7 @@ from ..sinks.messages import encode_pages, to_feed_records
 from ..session import shared_dir
 from ..sources import tables as tb
 from ..sources.counts import read_counts_csv, read_counts_json, read_sensors
-from ..sources.messages import decode_pages, dedup_messages, dedup_records
+from ..sources.messages import decode_pages, dedup_messages, dedup_records, page_rejects
 from ..schemas import SENSOR_COLUMNS
 from . import sql as S
 from .registry import query
@@ -134,8 +137,7 @@ def json_lines_scan(spark, sf_dir):
     pages = encode_pages(records, page_size=PAGE_SIZE).select(F.col("value").cast("string").alias("value"))
     path = shared_dir(spark, "pages-jsonl")
     write_pages_json(pages, path)
-    # Each line is an array of records: read as text and decode like a message.
-    return _records(decode_pages(spark.read.text(path)))
+    return _records(read_counts_json(spark, path, multi_line=False))
 
 
 @query("parse_datetime", """
@@ -191,3 +193,18 @@ def provenance_keys(spark, sf_dir):
         F.lit("events").alias("topic"), F.lit(0).alias("partition"),
         F.col("id").cast("bigint").alias("offset"))
     return decode_pages(msgs).select("id", "message_id")
+
+
+@query("page_rejects", """
+SELECT CAST(count(*) AS BIGINT) AS good_records, true AS one_reject_per_page FROM events
+""")
+def page_rejects_q(spark, sf_dir):
+    """Every event page is followed by a truncated twin: all records decode, every twin is a reject."""
+    pages = _event_messages(spark, sf_dir)
+    cut = pages.withColumn("value", F.expr("substring(value, 1, octet_length(value) - 2)"))
+    both = pages.unionByName(cut)
+    n = F.count(F.lit(1)).alias("n")
+    parts = [decode_pages(both, malformed="reject").agg(n), pages.agg(n), page_rejects(both).agg(n)]
+    rows = reduce(DataFrame.unionByName, [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)])
+    good, whole, rejects = (F.sum(F.when(F.col("part") == i, F.col("n"))) for i in range(3))
+    return rows.agg(good.alias("good_records"), (whole == rejects).alias("one_reject_per_page"))

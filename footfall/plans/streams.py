@@ -60,6 +60,19 @@ def stream_ingest_dedup(spark, sf_dir):
     return _records(spark.read.schema(LANDED_SCHEMA).parquet(landing))
 
 
+@query("stream_restart_replay", EVENT_RECORDS_SQL)
+def stream_restart_replay(spark, sf_dir):
+    """Ingest, stop; every message is delivered again; a restart from the same checkpoint adds nothing."""
+    inbox = build_inbox(spark, sf_dir)
+    landing, checkpoint = shared_dir(spark, "landing"), shared_dir(spark, "ingest-ckpt")
+    for _ in range(2):
+        ing.ingest(ing.read_message_files(spark, inbox), landing, checkpoint).awaitTermination()
+        again = spark.read.schema(ing.MESSAGE_FILE_SCHEMA).json(inbox).dropDuplicates(["topic", "partition", "offset"])
+        staged = ing.stage(again, shared_dir(spark, "replay"))
+        staged.write.mode("append").json(inbox)
+    return _records(spark.read.schema(LANDED_SCHEMA).parquet(landing))
+
+
 DAY_EVENT_TOTALS = f"""
 WITH e AS ({S.EVENT_RECORDS})
 SELECT year, month, mdate, sensor_id, CAST(SUM(hourly_counts) AS BIGINT) AS hourly_counts

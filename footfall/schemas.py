@@ -89,8 +89,5 @@ COUNTS_SCHEMA = StructType(
 )
 COUNT_COLUMNS = [f.name for f in COUNTS_SCHEMA.fields]
 
-# Message envelope as a Kafka source/sink presents it.
-MESSAGE_COLUMNS = ["key", "value", "topic", "partition", "offset"]
-
 # The feed's default topic name.
 DEFAULT_TOPIC = "get-data"

@@ -3,8 +3,9 @@ folder used for lineage cuts and round-trip files.
 
 The library never builds a session on its own inside operators; the caller
 owns the session. ``shared_dir`` reads ``spark.checkpoint.dir`` (the cluster's
-shared, fault-tolerant folder) and only falls back to a private folder when
-the setting is missing, as in unit tests.
+shared, fault-tolerant folder). Only a ``local[...]`` master, where one machine
+is the whole cluster, may leave it unset and gets a private folder; any other
+master without it is an error.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="footfall-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -56,3 +59,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/footfall/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged rows through the Hadoop file system it is in."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -11,25 +11,21 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, single: bool = True, mode: str = "overwrite",
-              header: bool = True) -> None:
+              header: bool = True, order_by: list | None = None) -> None:
     """Write ``df`` as CSV with a header.
 
-    ``single=True`` produces one part file (SNK-1). It uses ``coalesce(1)``,
-    which keeps the order of an already sorted frame and leaves every
-    upstream shuffle map side parallel; only the final, bounded result is
-    written by one task. Use ``single=False`` (SNK-3) for large outputs.
+    ``single=True`` produces one part file (SNK-1): the finished rows go through
+    an exchange to one task, so everything before it stays parallel. ``order_by``
+    sorts that file. The rows must fit one task; use ``single=False`` (SNK-3)
+    for large outputs.
     """
-    out = df.coalesce(1) if single else df
-    out.write.mode(mode).option("header", header).csv(path)
-
-
-def write_json_lines(df: DataFrame, path: str, mode: str = "append",
-                     partition_by: list[str] | None = None) -> None:
-    """Write ``df`` as JSON lines, optionally partitioned (landing layout)."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.json(path)
+    if single:
+        df = df.repartition(1)
+        if order_by:
+            df = df.sortWithinPartitions(*order_by)
+    elif order_by:
+        df = df.orderBy(*order_by)
+    df.write.mode(mode).option("header", header).csv(path)
 
 
 def write_pages_json(pages: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -35,6 +35,12 @@ def read_sensors(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def _month(text):
+    """A month name, or its number as in tables that were normalised before, -> MM."""
+    digits = F.when(text.rlike("^(0?[1-9]|1[0-2])$"), F.lpad(text, 2, "0"))
+    return F.coalesce(month_name_to_mm(text), digits)
+
+
 def normalize_counts(raw: DataFrame, keep=()) -> DataFrame:
     """Raw (text) count records -> the canonical typed fact table.
 
@@ -51,7 +57,7 @@ def normalize_counts(raw: DataFrame, keep=()) -> DataFrame:
         field("id").cast("string").alias("id"),
         parse_date_time(field("date_time").cast("string")).alias("date_time"),
         try_int(field("year")).alias("year"),
-        month_name_to_mm(field("month").cast("string")).alias("month"),
+        _month(field("month").cast("string")).alias("month"),
         try_int(field("mdate")).alias("mdate"),
         field("day").cast("string").alias("day"),
         try_int(field("time")).alias("time"),

@@ -7,10 +7,10 @@ with the Kafka columns ``key, value, topic, partition, offset``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.messages import decode_page, page_records, provenance_key
+from ..functions.messages import decode_page, page_records, provenance_key, strict_page
 from ..schemas import DEFAULT_TOPIC
 from .counts import normalize_counts
 
@@ -26,7 +26,7 @@ def kafka_options(bootstrap_servers: str, topic: str = DEFAULT_TOPIC, starting:
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",  # lost offsets stop the query instead of being skipped
     }
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
@@ -40,15 +40,21 @@ def read_topic(spark: SparkSession, options: dict, stream: bool = True) -> DataF
     return reader.format("kafka").options(**options).load()
 
 
-def decode_pages(messages: DataFrame, normalize: bool = True) -> DataFrame:
+def decode_pages(messages: DataFrame, normalize: bool = True, malformed: str = "raise") -> DataFrame:
     """Kafka-shaped rows -> one row per count record, with provenance.
 
     Output: the canonical count columns (``normalize=True``) or the raw text
     fields, plus whichever of ``topic, partition, offset`` the input has and,
     when all three exist, ``message_id`` (``topic-partition-offset``).
+
+    A page that is no JSON array of records fails the query; with
+    ``malformed="reject"`` it is left out here and given by ``page_rejects``.
     """
+    if malformed not in ("raise", "reject"):
+        raise ValueError("malformed must be 'raise' or 'reject'")
     prov = [c for c in PROVENANCE if c in messages.columns]
-    decoded = messages.select(*prov, decode_page("value").alias("_page"))
+    page = strict_page("value") if malformed == "raise" else decode_page("value")
+    decoded = messages.select(*prov, page.alias("_page"))
     records = decoded.select(*prov, page_records("_page"))
     if normalize:
         records = normalize_counts(records, keep=prov)
@@ -57,6 +63,12 @@ def decode_pages(messages: DataFrame, normalize: bool = True) -> DataFrame:
     return records
 
 
+def page_rejects(messages: DataFrame) -> DataFrame:
+    """Messages whose page cannot be decoded: provenance and the value as text."""
+    prov = [c for c in PROVENANCE if c in messages.columns]
+    return messages.filter(decode_page("value").isNull()).select(*prov, F.col("value").cast("string").alias("value"))
+
+
 def dedup_messages(messages: DataFrame) -> DataFrame:
     """Drop re-delivered messages: same topic/partition/offset (T18).
 
@@ -66,6 +78,17 @@ def dedup_messages(messages: DataFrame) -> DataFrame:
     return messages.dropDuplicates(PROVENANCE)
 
 
+def record_identity(records: DataFrame, key: str = "id") -> list[Column]:
+    """What makes two rows the same record: the id alone, whatever its day.
+
+    A record without an id is only the same as one with equal values in every
+    column, provenance included (a re-delivered message).
+    """
+    rest = F.to_json(F.struct(*records.columns))
+    return [F.coalesce(F.col(key).cast("string"), F.lit("")).alias("_same_id"),
+            F.when(F.col(key).isNull(), rest).otherwise(F.lit("")).alias("_same_row")]
+
+
 def dedup_records(records: DataFrame, key: str = "id") -> DataFrame:
     """One row per record id, batch side (T19: overlapping pages).
 
@@ -73,11 +96,13 @@ def dedup_records(records: DataFrame, key: str = "id") -> DataFrame:
     offset; then the smallest full row) with ``min_by`` in a grouped
     aggregation: partial aggregation keeps one candidate per id per task, so a
     hot id costs no more than any other and the choice is deterministic.
+    Records without an id are kept, except full copies (``record_identity``).
     """
     prov = [c for c in PROVENANCE if c in records.columns]
     others = [c for c in records.columns if c != key]
     if not others:
         return records.select(key).distinct()
     rank = F.struct(*[F.col(c) for c in prov], *[F.col(c) for c in others])
-    best = records.groupBy(key).agg(F.min_by(F.struct(*others), rank).alias("_r"))
+    marked = records.select("*", record_identity(records, key)[1])
+    best = marked.groupBy(key, "_same_row").agg(F.min_by(F.struct(*others), rank).alias("_r"))
     return best.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*records.columns)

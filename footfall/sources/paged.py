@@ -1,23 +1,24 @@
 """Paged API source (SRC-6 incremental, SRC-7 bulk backfill, STR-3/4).
 
 A Python Data Source named ``paged``. The user supplies a *client factory*
-as ``"module:callable"``; the client has two methods::
+as ``"module:callable"``; the client needs one method and may have another::
 
-    size() -> int                          # records available right now
-    fetch(offset, limit) -> list[dict]     # one page of feed records
+    fetch(offset, limit) -> list[dict]     # records from offset, at most limit
+    size() -> int                          # optional: records available now
 
-The driver only calls ``size()``; every page becomes one input partition
-and is fetched on an executor, so a backfill is spread over the cluster.
-The batch reader reads ``[start, size)``; the stream reader keeps its
-position in the query checkpoint (restart resumes, nothing is re-read) and
-admits at most ``max_pages_per_trigger`` pages per micro-batch (with a
-processing-time trigger; ``availableNow`` takes the first offset as its end).
+Without ``size()`` the driver finds the end by probing single records
+(doubling, then halving: a few dozen calls). Every page becomes one input
+partition and is fetched on an executor, so a backfill is spread over the
+cluster. A task goes on from the number of records it really got, so a server
+that answers with shorter pages loses nothing; an empty page before the
+planned end fails the task. The batch reader reads ``[start, end)``; the stream
+reader keeps its position in the query checkpoint (restart resumes, nothing is
+re-read), and its end never falls, even if the feed shrinks.
 
 Options: ``client`` (required), ``page_size`` (records per API call,
 default 1000), ``pages_per_partition`` (API pages fetched in sequence by one
 task, default 1 — raise it for large backfills so tasks stay coarse),
-``start`` (default 0), ``max_pages_per_trigger`` (stream, default
-unlimited); any option prefixed ``client.`` is passed to the factory as a
+``start`` (default 0); any option prefixed ``client.`` is passed to the factory as a
 keyword.
 """
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import importlib
 
+import pyarrow as pa
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -65,12 +67,39 @@ def _pages(start: int, end: int, size: int, per_partition: int = 1) -> list[Page
     return [Page(o, min(span, end - o), size) for o in range(start, end, span)]
 
 
-def _rows(options, page: Page, factory=None):
+def _end(client, start: int, known: int = 0) -> int:
+    """Number of records the feed holds; ``known`` of them are sure."""
+    size = getattr(client, "size", None)
+    if size is not None:
+        return int(size())
+
+    def has(offset: int) -> bool:
+        return bool(client.fetch(offset, 1))
+
+    low = max(start, known)  # records before ``low`` are there
+    step = 1
+    while has(low + step - 1):
+        low, step = low + step, step * 2
+    high = low + step - 1  # not there
+    while low < high:
+        mid = (low + high) // 2
+        low, high = (mid + 1, high) if has(mid) else (low, mid)
+    return low
+
+
+def _batches(options, page: Page, factory=None):
+    """One Arrow batch per API page, going on from what was returned."""
     client = _client(options, factory)
-    end = page.offset + page.limit
-    for off in range(page.offset, end, page.page_size):
-        for rec in client.fetch(off, min(page.page_size, end - off)):
-            yield tuple(None if rec.get(c) is None else str(rec.get(c)) for c in COUNT_JSON_COLUMNS)
+    at, end = page.offset, page.offset + page.limit
+    schema = pa.schema([(c, pa.string()) for c in COUNT_JSON_COLUMNS])
+    while at < end:
+        got = client.fetch(at, min(page.page_size, end - at))
+        if not got:
+            raise RuntimeError(f"paged source: empty page at {at}, before the end {end}")
+        got = got[: end - at]
+        at += len(got)
+        columns = [[None if r.get(c) is None else str(r.get(c)) for r in got] for c in COUNT_JSON_COLUMNS]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in columns], schema=schema)
 
 
 class PagedReader(DataSourceReader):
@@ -82,13 +111,13 @@ class PagedReader(DataSourceReader):
         self.per_partition = int(self.options.get("pages_per_partition", 1))
 
     def partitions(self):
-        end = int(_client(self.options, self.factory).size())
+        end = _end(_client(self.options, self.factory), self.start)
         return _pages(self.start, end, self.page_size, self.per_partition) or [Page(self.start, 0)]
 
     def read(self, partition):
         if partition.limit <= 0:
             return iter(())
-        return _rows(self.options, partition, self.factory)
+        return _batches(self.options, partition, self.factory)
 
 
 class PagedStreamReader(DataSourceStreamReader):
@@ -98,8 +127,6 @@ class PagedStreamReader(DataSourceStreamReader):
         self.page_size = int(self.options.get("page_size", 1000))
         self.start = int(self.options.get("start", 0))
         self.per_partition = int(self.options.get("pages_per_partition", 1))
-        cap = self.options.get("max_pages_per_trigger")
-        self.max_records = int(cap) * self.page_size if cap else None
         self.planned = None  # end of the last offset handed to Spark (driver side)
 
     def initialOffset(self):
@@ -110,21 +137,17 @@ class PagedStreamReader(DataSourceStreamReader):
         # query, and re-plans the last checkpointed batch (``partitions``)
         # before asking on a restart, so ``planned`` is the current position
         # whenever it is set, and ``start`` is it otherwise.
-        available = int(_client(self.options, self.factory).size())
-        if self.max_records is None:
-            end = available
-        else:
-            base = self.start if self.planned is None else self.planned
-            end = min(available, base + self.max_records)
-        self.planned = max(end, self.planned or 0)
-        return {"offset": end}
+        position = self.start if self.planned is None else self.planned
+        end = _end(_client(self.options, self.factory), self.start, position)
+        self.planned = max(end, position)
+        return {"offset": self.planned}
 
     def partitions(self, start, end):
         self.planned = max(self.planned or 0, int(end["offset"]))
         return _pages(int(start["offset"]), int(end["offset"]), self.page_size, self.per_partition)
 
     def read(self, partition):
-        return _rows(self.options, partition, self.factory)
+        return _batches(self.options, partition, self.factory)
 
     def commit(self, end):
         # The durable position lives in the query checkpoint; keep the

@@ -5,18 +5,22 @@ message stream (Kafka, or a file inbox of Kafka-shaped rows)
   -> per micro-batch (``foreachBatch``):
        dedup by id inside the batch (``min_by`` aggregation: skew-safe,
        deterministic: the copy from the earliest message wins)
-       -> left-anti join with the landing table, read only in the day
-          partitions the batch touches
+       -> left-anti join with the ids of the landing table
        -> append to the landing table (parquet, partitioned by day)
 
-The landing table itself is the dedup memory: no state store grows with the
-number of ids ever seen, and a re-run of a micro-batch after a failure finds
-its rows already landed and appends nothing (idempotent). The query
-checkpoint makes a restart resume where it stopped.
+One rule says what the same record is, in both modes and for any day: equal
+ids. A record without an id is only the same as a re-delivery of itself, i.e.
+equal in every column, provenance included (``record_identity``).
 
-``mode="state"`` keeps the classic stateful form (``dropDuplicates`` on the
-provenance key and the id, optionally bounded by a watermark) for sinks that
-are not tables.
+The landing table itself is the dedup memory: a re-run of a micro-batch after
+a failure finds its rows already landed and appends nothing (idempotent). The
+anti-join reads one column of that table per micro-batch, so take few, large
+batches. The query checkpoint makes a restart resume where it stopped.
+
+``mode="state"`` keeps the seen ids in the query's state store instead
+(``dropDuplicates`` on the provenance key and the record, optionally bounded
+by a watermark): look-ups by key, for tables too large to scan a column of
+per batch (with the RocksDB state store), and for sinks that are not tables.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..schemas import COUNTS_SCHEMA
-from ..sources.messages import PROVENANCE, decode_pages, dedup_records
+from ..sources.messages import PROVENANCE, decode_pages, dedup_records, page_rejects, record_identity
 
 # File-inbox form of a Kafka record (value as UTF-8 text).
 MESSAGE_FILE_SCHEMA = StructType([
@@ -71,18 +75,21 @@ def trigger_args(trigger: str | None) -> dict:
 
 def dedup_stream(records: DataFrame, key: str = "id", watermark: str | None = None,
                  time_col: str = "date_time") -> DataFrame:
-    """Stateful streaming dedup by ``key``: unbounded, or bounded by a watermark."""
+    """Stateful streaming dedup by record (``record_identity``): unbounded, or bounded by a watermark."""
+    marked = records.select("*", *record_identity(records, key))
     if watermark:
-        return records.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
-    return records.dropDuplicates([key])
+        marked = marked.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(SAME)
+    else:
+        marked = marked.dropDuplicates(SAME)
+    return marked.drop(*SAME)
+
+
+SAME = ["_same_id", "_same_row"]
 
 
-def _partition_filter(values: list, cols: list[str]):
-    """OR of equalities over a (small) list of partition-value tuples."""
-    def one(vals):
-        return reduce(lambda a, b: a & b,
-                      [F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)) for c, v in zip(cols, vals)])
-    return reduce(lambda a, b: a | b, [one(v) for v in values])
+def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join on keys that may be null."""
+    return left.join(right, reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys]), how)
 
 
 HIVE_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -111,26 +118,27 @@ def read_touched(spark: SparkSession, path: str, schema: StructType, keys: list[
         if cond is not None and cond() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
-    return df.filter(_partition_filter(values, keys))
+    types = StructType([schema[k] for k in keys])
+    # A row per touched partition, from a list already on the driver.
+    return null_safe(df, F.broadcast(spark.createDataFrame(values, types)), keys, "left_semi")
 
 
 def compact_partitions(spark: SparkSession, path: str, schema: StructType, keys: list[str],
-                       values: list[tuple], staging: str) -> None:
-    """Rewrite the given partitions of a table into about one file each.
+                       values: list[tuple], target: str) -> None:
+    """Copy the given partitions of a table into another one, about one file each.
 
     Streaming appends leave one file per partition per micro-batch; this
-    maintenance step stages the partitions' rows under ``staging`` (a fresh
-    folder in the shared checkpoint area) and swaps them back with dynamic
-    partition overwrite. Rows are unchanged; only the listed partitions are
-    read and rewritten. Run it between micro-batches (e.g. from the same
-    driver after ``awaitTermination`` or on a schedule).
+    maintenance step keeps a compact copy for batch readers at ``target``, whose
+    listed partitions are overwritten. The table itself is not rewritten:
+    a stream reads its files by path and would take rewritten ones as new rows.
     """
+    if target.rstrip("/") == path.rstrip("/"):
+        raise ValueError("a table that streams read must not be rewritten: give another target")
     if not values:
         return
-    read_touched(spark, path, schema, keys, values).write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(schema).parquet(staging)
-    (staged.hint("rebalance", *keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+    rows = read_touched(spark, path, schema, keys, values)
+    (rows.hint("rebalance", *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(target))
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType, partition_by: list[str]) -> None:
@@ -151,26 +159,20 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def land_new_records(records: DataFrame, landing_path: str, key: str = "id",
-                     staging: str | None = None) -> None:
+def land_new_records(records: DataFrame, landing_path: str, key: str = "id") -> None:
     """Append the records of ``records`` not yet in the landing table (batch).
 
-    Only the landing partitions the batch touches are listed and read
-    (``read_touched``; the batch's distinct partition values are a list
-    bounded by the days one batch spans).
+    One job: dedup inside the batch, anti-join with what has landed (the id
+    column alone, and whole rows only where the id is null), append.
     """
     spark = records.sparkSession
-    if staging is None:
-        from ..session import shared_dir
-
-        staging = shared_dir(spark, "ingest-stage")
-    batch = stage(dedup_records(records.select(*LANDED_COLUMNS), key), staging)
-    parts = [tuple(r) for r in batch.select(*LANDING_PARTITIONS).distinct().collect()]
-    if not parts:
-        return
-    existing = (read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, parts)
-                .select(*LANDING_PARTITIONS, key))
-    fresh = batch.join(existing, on=[*LANDING_PARTITIONS, key], how="left_anti")
+    batch = dedup_records(records.select(*LANDED_COLUMNS), key)
+    batch = batch.select("*", *record_identity(batch, key))
+    landed = spark.read.schema(LANDED_SCHEMA).parquet(landing_path).select(*LANDED_COLUMNS)
+    ids = landed.filter(F.col(key).isNotNull()).select(F.col(key).alias("_same_id"), F.lit("").alias("_same_row"))
+    nameless = landed.filter(F.col(key).isNull())
+    nameless = nameless.select(*record_identity(nameless, key))
+    fresh = batch.join(ids.unionByName(nameless), on=SAME, how="left_anti")
     # Rebalance on the partition columns: about one file per day, while
     # AQE still splits a day that holds most of the batch.
     (fresh.select(*LANDED_COLUMNS).hint("rebalance", *LANDING_PARTITIONS)
@@ -179,10 +181,16 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id",
 
 def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
            trigger: str | None = "availableNow", mode: str = "table",
-           watermark: str | None = None) -> StreamingQuery:
-    """messages -> decode -> dedup -> landing table (parquet, by day)."""
+           watermark: str | None = None, rejects_path: str | None = None) -> StreamingQuery:
+    """messages -> decode -> dedup -> landing table (parquet, by day).
+
+    A malformed page stops the query, unless ``rejects_path`` (table mode) names
+    a folder that gets such messages, one sub-folder per micro-batch.
+    """
     spark = messages.sparkSession
     if mode == "state":
+        if rejects_path is not None:
+            raise ValueError("rejects_path needs mode='table'")
         # Message-level dedup must precede decoding: after it, one message is many rows.
         deduped = dedup_stream(decode_pages(messages.dropDuplicates(PROVENANCE)), "id", watermark)
         return (deduped.select(*LANDED_COLUMNS).writeStream.format("parquet")
@@ -192,17 +200,27 @@ def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
     if mode != "table":
         raise ValueError("mode must be 'table' or 'state'")
     ensure_table(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS)
-    staging = f"{checkpoint.rstrip('/')}/staging"
-    return (decode_pages(messages).writeStream
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        if rejects_path is None:
+            land_new_records(decode_pages(batch), landing_path)
+            return
+        land_new_records(decode_pages(batch, malformed="reject"), landing_path)
+        page_rejects(batch).write.mode("overwrite").json(f"{rejects_path.rstrip('/')}/batch={batch_id}")
+
+    return (messages.writeStream
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: land_new_records(df, landing_path, staging=f"{staging}/batch={bid}"))
+            .foreachBatch(land)
             .trigger(**trigger_args(trigger))
             .start())
 
 
 def landing_stream(spark: SparkSession, landing_path: str, schema: StructType = LANDED_SCHEMA,
                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """Read the landing table incrementally (STR-7 hand-off to aggregates)."""
+    """Read the landing table incrementally (STR-7 hand-off to aggregates).
+
+    The table is append-only: see ``compact_partitions``.
+    """
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))

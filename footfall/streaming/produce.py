@@ -17,16 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sinks.messages import DEFAULT_TOPIC, encode_pages
 from .ingest import trigger_args
 
-# Offsets of the file inbox: batch id in the high bits, page in the low bits.
-PAGE_BITS = 32
-
-
 def _batch_messages(batch: DataFrame, batch_id: int, page_size: int, topic: str) -> DataFrame:
+    """Pages of a micro-batch. In a file inbox the batch stands as partition and the
+    page as offset, so no two messages share both; a topic gives its own."""
     pages = encode_pages(batch, page_size=page_size, topic=topic)
-    page_no = F.col("key").cast("string").cast("bigint")
     return pages.select(
-        "key", "value", "topic", F.lit(0).alias("partition"),
-        (F.lit(batch_id).cast("bigint") * F.lit(1 << PAGE_BITS) + page_no).alias("offset"))
+        "key", "value", "topic", F.lit(batch_id).cast("int").alias("partition"),
+        F.col("key").cast("string").cast("bigint").alias("offset"))
 
 
 def forward_pages(records: DataFrame, checkpoint: str, *, kafka: dict | None = None,

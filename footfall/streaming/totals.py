@@ -5,14 +5,20 @@ Per micro-batch (``foreachBatch``):
 1. ``delta``: the batch summed per (period, sensor) — partial aggregation,
    so a hot sensor collapses map-side.
 2. Merge: the totals table is read only in the period partitions the batch
-   touches; partitions already carrying this batch id (a re-run after a
-   failure) are skipped; ``current + delta`` is re-summed per key.
+   touches; partitions that already carry this batch of this writer (a re-run
+   after a failure) are skipped; ``current + delta`` is re-summed per key.
+   The stamp names the writer (the checkpoint) beside the batch id, so a new
+   checkpoint over an old table starts its own count. One writer at a time.
 3. The merged partitions are staged under the checkpoint folder, then
    swapped in with dynamic partition overwrite (only touched partitions are
    rewritten).
-4. Top-n is recomputed for the touched periods only and overwritten the
-   same way. A ``row_number`` on the stream itself is rejected by Spark,
-   hence ranking inside the batch.
+4. Top-n of the touched periods is ranked from the totals table as it then
+   stands, so a crash between the two writes is made good by the re-run. A
+   ``row_number`` on the stream itself is rejected by Spark, hence ranking
+   inside the batch.
+5. The staged rows are deleted.
+
+Every key may be null and is compared null-safe.
 
 No state store is involved, so nothing grows with the number of keys ever
 seen: the totals table is the state, and each batch costs in proportion to
@@ -29,10 +35,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.rank import MEASURE, PERIOD_KEYS, period_keys, top_n
 from ..schemas import COUNTS_SCHEMA
-from .ingest import ensure_table, read_touched, stage, trigger_args
+from ..session import delete_path
+from .ingest import ensure_table, null_safe, read_touched, stage, trigger_args
 
 KEY = "sensor_id"
 BATCH = "applied_batch"
+WRITER = "applied_by"
 
 
 def totals_schema(period: str = "day") -> StructType:
@@ -42,11 +50,12 @@ def totals_schema(period: str = "day") -> StructType:
         StructField(KEY, StringType(), True),
         StructField(MEASURE, LongType(), True),
         StructField(BATCH, LongType(), True),
+        StructField(WRITER, StringType(), True),
     ])
 
 
 def top_schema(period: str = "day") -> StructType:
-    return StructType([f for f in totals_schema(period).fields if f.name != BATCH])
+    return StructType([f for f in totals_schema(period).fields if f.name not in (BATCH, WRITER)])
 
 
 def period_delta(counts: DataFrame, period: str = "day") -> DataFrame:
@@ -71,29 +80,34 @@ def _overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root: str,
-                top_path: str | None = None, period: str = "day", n: int = 10) -> None:
-    """Fold one batch of counts into the totals (and top-n) tables; idempotent."""
+                top_path: str | None = None, period: str = "day", n: int = 10,
+                writer: str | None = None) -> None:
+    """Fold one batch of counts into the totals (and top-n) tables; idempotent.
+
+    ``writer`` names the sequence that ``batch_id`` counts in (default: ``staging_root``).
+    """
     spark = counts.sparkSession
     keys = period_keys(period)
+    writer = writer or staging_root
     root = f"{staging_root.rstrip('/')}/batch={batch_id}"
     delta = stage(period_delta(counts, period), f"{root}/delta")
     touched = [tuple(r) for r in delta.select(*keys).distinct().collect()]
-    if not touched:
-        return
-    current = read_touched(spark, totals_path, totals_schema(period), keys, touched)
-    # At most one row per touched partition (a list already on the driver),
-    # so broadcasting it is bounded.
-    done = F.broadcast(current.filter(F.col(BATCH) >= batch_id).select(*keys).distinct())
-    todo = delta.join(done, on=keys, how="left_anti")
-    merged = (current.select(*keys, KEY, MEASURE).join(done, on=keys, how="left_anti")
-              .unionByName(todo)
-              .groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
-              .withColumn(BATCH, F.lit(batch_id).cast("long")))
-    # Stage first: a job may not overwrite the partitions it is reading.
-    staged = stage(merged, f"{root}/merged").select(*[f.name for f in totals_schema(period).fields])
-    _overwrite_partitions(staged, totals_path, keys)
-    if top_path is not None:
-        _overwrite_partitions(top_n(staged.drop(BATCH), keys, n), top_path, keys)
+    if touched:
+        schema = totals_schema(period)
+        current = read_touched(spark, totals_path, schema, keys, touched)
+        # At most one row per touched partition (a list already on the driver),
+        # so broadcasting it is bounded.
+        done = F.broadcast(current.filter((F.col(WRITER) == writer) & (F.col(BATCH) >= batch_id)).select(*keys).distinct())
+        merged = (null_safe(current.select(*keys, KEY, MEASURE).unionByName(delta.select(*keys, KEY, MEASURE)), done, keys, "left_anti")
+                  .groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
+                  .withColumns({BATCH: F.lit(batch_id).cast("long"), WRITER: F.lit(writer)}))
+        # Stage first: a job may not overwrite the partitions it is reading.
+        staged = stage(merged, f"{root}/merged").select(*[f.name for f in schema.fields])
+        _overwrite_partitions(staged, totals_path, keys)
+        if top_path is not None:
+            now = read_touched(spark, totals_path, schema, keys, touched)
+            _overwrite_partitions(top_n(now.drop(BATCH, WRITER), keys, n), top_path, keys)
+    delete_path(spark, root)
 
 
 def maintain_totals_and_top_n(counts: DataFrame, totals_path: str, checkpoint: str,
@@ -110,15 +124,7 @@ def maintain_totals_and_top_n(counts: DataFrame, totals_path: str, checkpoint: s
     staging = f"{checkpoint.rstrip('/')}/staging"
     return (counts.select(*keys, KEY, MEASURE).writeStream
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(lambda df, bid: merge_batch(df, bid, totals_path, staging, top_path, period, n))
+            .foreachBatch(lambda df, bid: merge_batch(df, bid, totals_path, staging, top_path, period, n, checkpoint))
             .trigger(**trigger_args(trigger))
             .start())
 
-
-def running_totals(counts: DataFrame, period: str = "day") -> DataFrame:
-    """Stateful streaming sum per (period, sensor), for update/complete-mode sinks.
-
-    Its state holds every key ever seen; prefer ``maintain_totals_and_top_n``
-    for long-running feeds.
-    """
-    return period_delta(counts, period)

@@ -5,8 +5,11 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from footfall.sources.counts import normalize_counts
-from footfall.sources.paged import SOURCE_NAME, register
+from footfall.sources.paged import SOURCE_NAME, PagedStreamReader, register
 
 
 class FileFeed:
@@ -46,32 +49,79 @@ def test_backfill_reads_every_page(spark, tmp_path):
     assert {r.month for r in rows} == {"07"} and {r.hourly_counts for r in rows} == set(range(23))
 
 
-def test_stream_cap_and_resume(spark, tmp_path):
+def test_stream_resume(spark, tmp_path):
     feed, sink, ckpt = tmp_path / "feed.jsonl", tmp_path / "sink", tmp_path / "ckpt"
     _append(feed, range(10))
     register(spark, client=FileFeed)
 
     def run():
-        raw = (spark.readStream.format(SOURCE_NAME).option("client.path", str(feed))
-               .option("page_size", 2).option("max_pages_per_trigger", 2).load())
+        raw = spark.readStream.format(SOURCE_NAME).option("client.path", str(feed)).option("page_size", 2).load()
         q = (normalize_counts(raw).writeStream.format("parquet").option("path", str(sink))
-             .option("checkpointLocation", str(ckpt)).start())
-        try:
-            q.processAllAvailable()
-        finally:
-            q.stop()
-        return [p["numInputRows"] for p in q.recentProgress if p["numInputRows"]]
-
-    sizes = run()
-    assert sizes and max(sizes) <= 4  # at most two pages of two per micro-batch
-    assert spark.read.parquet(str(sink)).count() == 10
+             .option("checkpointLocation", str(ckpt)).trigger(availableNow=True).start())
+        q.awaitTermination()
+        return sum(p["numInputRows"] for p in q.recentProgress)
+
+    assert run() == 10  # everything that was there, in one run
     # New records arrive; a restart resumes at offset 10 and reads only them.
     _append(feed, range(10, 13))
-    run()
+    assert run() == 3
     got = sorted(int(r.id) for r in spark.read.parquet(str(sink)).collect())
     assert got == list(range(13))
 
 
+class ShortPages(FileFeed):
+    """A server that returns at most seven records a call and does not tell its size."""
+
+    size = None
+
+    def fetch(self, offset, limit):
+        return super().fetch(offset, min(limit, 7))
+
+
+class Shrunk(FileFeed):
+    """A feed that says it has more than it returns."""
+
+    def size(self):
+        return super().size() + 5
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 30])
+def test_short_pages_lose_nothing(spark, tmp_path, n):
+    feed = tmp_path / "feed.jsonl"
+    _append(feed, range(n))
+    register(spark, client=ShortPages)
+    df = spark.read.format(SOURCE_NAME).option("client.path", str(feed)).option("page_size", 10).load()
+    assert sorted(int(r.id) for r in df.collect()) == list(range(n))
+
+
+def test_empty_page_before_the_end_fails(spark, tmp_path):
+    feed = tmp_path / "feed.jsonl"
+    _append(feed, range(12))
+    register(spark, client=Shrunk)
+    df = spark.read.format(SOURCE_NAME).option("client.path", str(feed)).option("page_size", 10).load()
+    with pytest.raises(Exception, match="empty page at 12"):
+        df.collect()
+
+
+def test_latest_offset_never_falls(tmp_path):
+    feed = tmp_path / "feed.jsonl"
+    _append(feed, range(30))
+    reader = PagedStreamReader({"client.path": str(feed)}, FileFeed)
+    assert reader.latestOffset() == {"offset": 30}
+    feed.write_text("")
+    _append(feed, range(20))
+    assert reader.latestOffset() == {"offset": 30}
+
+
+def test_inbox_offsets_are_unique(spark):
+    from footfall.streaming.produce import _batch_messages
+
+    records = spark.range(0, 1002, 1, 501).select(F.col("id").cast("string").alias("id"))
+    both = _batch_messages(records, 0, 1000, "t").unionByName(_batch_messages(records, 1, 1000, "t"))
+    keys = both.select("topic", "partition", "offset")
+    assert keys.count() == keys.distinct().count() >= 1002
+
+
 def test_producer_stream_to_consumer(spark, tmp_path):
     # Poller -> topic (file inbox) -> consumer: every page sent twice (a
     # producer replay from scratch), every record landed once.

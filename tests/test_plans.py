@@ -6,7 +6,7 @@ import contextlib
 import io
 
 from footfall.operators import change as ch
-from footfall.operators.enrich import dimension_side, fits_broadcast
+from footfall.operators.enrich import enrich
 from footfall.operators.rank import top_n_per_period
 from footfall.sources import tables as tb
 
@@ -47,13 +47,35 @@ def test_scan_prunes_columns(spark):
     assert "l_suppkey" in schema[0] and "l_quantity" in schema[0] and "l_shipdate" in schema[0]
 
 
-def test_broadcast_only_when_proven_small(spark):
+def test_planner_chooses_the_enrich_join(spark):
     dim = tb.day_sensors(spark, SF_SMALL)
-    assert fits_broadcast(dim)
-    assert not fits_broadcast(dim, max_rows=3)
-    assert not fits_broadcast(dim, max_bytes=10)
-    small = plan(dimension_side(dim, ["sensor_name"]).join(dim, "sensor_id"))
-    assert "BroadcastHashJoin" in small or "broadcast" in small.lower()
+    totals = top_n_per_period(tb.day_counts(spark, SF_SMALL), None, "month", ordered=False)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        assert "BroadcastHashJoin" in plan(enrich(totals, dim))
+        assert "SortMergeJoin" in plan(enrich(totals, dim, broadcast=False))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "SortMergeJoin" in plan(enrich(totals, dim))
+        assert "BroadcastHashJoin" in plan(enrich(totals, dim, broadcast=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_enrich_runs_no_job(spark):
+    dim, totals = tb.day_sensors(spark, SF_SMALL), tb.day_counts(spark, SF_SMALL)
+    sc = spark.sparkContext
+    sc.setJobGroup("enrich-plan", "")
+    try:
+        enrich(totals, dim).schema
+        assert not sc.statusTracker().getJobIdsForGroup("enrich-plan")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_single_csv_exchanges_after_the_aggregate(spark):
+    change = ch.most_decline(tb.change_counts(spark, SF_SMALL), tb.change_sensors(spark, SF_SMALL), (1998, 1999, 2000))
+    tree = plan(change.repartition(1)).split("\n\n")[0]
+    assert tree.index("Exchange") < tree.index("HashAggregate")
 
 
 def test_extremum_ties_first_is_bounded_top_1(spark):
@@ -107,20 +129,3 @@ def test_hot_keys_give_exact_results(spark):
     deduped = dedup_records(base.withColumnRenamed("id", "x").withColumnRenamed("rid", "id"))
     assert deduped.count() == n - n // 3 + 1
 
-
-def test_broadcast_follows_session_threshold(spark):
-    from footfall.operators.enrich import session_broadcast_limit
-
-    dim = tb.day_sensors(spark, SF_SMALL)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert session_broadcast_limit(spark) == 0
-        assert "broadcast" not in plan(dimension_side(dim, ["sensor_name"]).join(dim, "sensor_id")).lower()
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20MB")
-        assert session_broadcast_limit(spark) == 20 << 20
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1GB")
-        assert session_broadcast_limit(spark) == 64 << 20
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert session_broadcast_limit(spark) == 10 << 20

@@ -75,3 +75,50 @@ def test_run_reports_integrity_failure(spark, tmp_path):
     with pytest.raises(ValueError, match="not in the dimension"):
         run_reports(spark, str(tmp_path / "sensors"), str(tmp_path / "counts"), str(tmp_path / "out"),
                     counts_format="csv", decline_years=(1998, 1999, 2000), growth_years=(1999, 2000))
+
+
+def test_unknown_ids_raise_after_all_reports_are_written(spark, tmp_path):
+    import pytest
+
+    counts = spark.createDataFrame(
+        [(y, m, "1", s, str(10 * y % 7 + len(s or ""))) for y in (2020, 2021, 2022) for m in ("May", "07") for s in ("a", "b", None)],
+        "year int, month string, mdate string, sensor_id string, hourly_counts string")
+    counts.write.parquet(str(tmp_path / "counts"))
+    sensors = spark.createDataFrame([("a",), ("b",)], "sensor_id string")
+    columns = [c for c in tb.day_sensors(spark, SF_SMALL).columns]
+    for name, rows in (("all", sensors), ("some", sensors.filter("sensor_id = 'a'"))):
+        full = rows.selectExpr(*[c if c == "sensor_id" else f"'x' AS {c}" for c in columns])
+        write_csv(full, str(tmp_path / name), single=True)
+    # The null sensor stays in the rankings and is no unknown id.
+    out = run_reports(spark, str(tmp_path / "all"), str(tmp_path / "counts"), str(tmp_path / "out"), counts_format="parquet")
+    day = spark.read.option("header", True).csv(out["top10_per_day"])
+    assert day.count() == 18 and day.filter("sensor_id is null").count() == 6
+    assert sorted({r.month for r in day.collect()}) == ["05", "07"]
+    with pytest.raises(ValueError, match="'b'"):
+        run_reports(spark, str(tmp_path / "some"), str(tmp_path / "counts"), str(tmp_path / "out2"), counts_format="parquet")
+    assert all((tmp_path / "out2" / name).is_dir() for name in REPORT_NAMES.values())
+
+
+def test_shared_folder_is_required_off_local_masters():
+    import pytest
+
+    from footfall.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

@@ -6,7 +6,10 @@ from __future__ import annotations
 import json
 import os
 
+import pytest
+
 from footfall.operators.rank import top_n_per_period
+from footfall.sources.messages import decode_pages
 from footfall.streaming import ingest as ing
 from footfall.streaming import totals as tot
 from footfall.streaming.ingest import LANDED_SCHEMA
@@ -156,11 +159,104 @@ def test_compact_partitions_keeps_rows(spark, tmp_path):
     before = sorted(tuple(r) for r in _landed(spark, path).collect())
     day1 = f"{path}/year=2020/month=05/mdate=1/*.parquet"
     assert len(glob.glob(day1)) == 3
-    ing.compact_partitions(spark, path, LANDED_SCHEMA, ing.LANDING_PARTITIONS,
-                           [(2020, "05", 1)], str(tmp_path / "stage"))
-    assert len(glob.glob(day1)) == 1
-    assert len(glob.glob(f"{path}/year=2020/month=05/mdate=2/*.parquet")) == 3  # untouched
+    small = str(tmp_path / "compact")
+    ing.compact_partitions(spark, path, LANDED_SCHEMA, ing.LANDING_PARTITIONS, [(2020, "05", 1), (2020, "05", 2)], small)
+    assert len(glob.glob(f"{small}/year=2020/month=05/mdate=1/*.parquet")) == 1
+    assert len(glob.glob(day1)) == 3  # the streamed table keeps its files
     assert sorted(tuple(r) for r in _landed(spark, path).collect()) == before
+    assert sorted(tuple(r) for r in _landed(spark, small).collect()) == before
+    with pytest.raises(ValueError, match="target"):
+        ing.compact_partitions(spark, path, LANDED_SCHEMA, ing.LANDING_PARTITIONS, [(2020, "05", 1)], path)
+
+
+def test_compaction_leaves_the_totals_alone(spark, tmp_path):
+    landing, totals = str(tmp_path / "landing"), str(tmp_path / "totals")
+    ing.ensure_table(spark, landing, LANDED_SCHEMA, ing.LANDING_PARTITIONS)
+    ing.land_new_records(_records(spark, _message(0, [1, 2, 3])), landing)
+
+    def run():
+        tot.maintain_totals_and_top_n(ing.landing_stream(spark, landing), totals, str(tmp_path / "c")).awaitTermination()
+        return tot.read_totals(spark, totals).agg({"hourly_counts": "sum"}).first()[0]
+
+    assert run() == 3
+    ing.compact_partitions(spark, landing, LANDED_SCHEMA, ing.LANDING_PARTITIONS, [(2020, "05", 1)], str(tmp_path / "small"))
+    assert run() == 3
+
+
+def _records(spark, *messages):
+    return decode_pages(spark.read.schema(ing.MESSAGE_FILE_SCHEMA).json(spark.sparkContext.parallelize(list(messages))))
+
+
+@pytest.mark.parametrize("mode", ["table", "state"])
+def test_one_record_rule_in_both_modes(spark, tmp_path, mode):
+    inbox, landing, ckpt = tmp_path / "inbox", tmp_path / "landing", tmp_path / "ckpt"
+    inbox.mkdir()
+
+    def put(name, offset, page):
+        (inbox / name).write_text(json.dumps({"key": None, "value": json.dumps(page), "topic": "t", "partition": 0, "offset": offset}) + "\n")
+        _run(spark, inbox, landing, ckpt, mode)
+
+    base = {"sensor_id": "s", "hourly_counts": 1, "year": 2020, "month": "May"}
+    page = [base | {"id": "1"}, base | {"mdate": 3}, base | {"mdate": 4}, base | {"hourly_counts": 2}]
+    put("a.json", 0, page)  # null mdate, and three records without an id
+    assert _landed(spark, landing).count() == 4
+    put("b.json", 0, page)  # the same message again
+    put("c.json", 1, [base | {"id": "1", "mdate": 9}])  # a known id on another day
+    assert _landed(spark, landing).count() == 4
+    put("d.json", 2, [base | {"mdate": 3}])  # another message's record without an id
+    assert _landed(spark, landing).count() == 5
+
+
+def test_malformed_pages_are_not_lost(spark, tmp_path):
+    inbox, landing, rejects = tmp_path / "inbox", tmp_path / "landing", tmp_path / "rejects"
+    inbox.mkdir()
+    good = _message(0, [1, 2])
+    torn = json.dumps(json.loads(good) | {"value": json.loads(good)["value"][:-5], "offset": 1})
+    junk = json.dumps(json.loads(good) | {"value": "junk", "offset": 2})
+    none = json.dumps(json.loads(good) | {"value": None, "offset": 3})
+    (inbox / "a.json").write_text("\n".join([good, torn, junk, none]) + "\n")
+    with pytest.raises(Exception, match="malformed page"):
+        _run(spark, inbox, landing, tmp_path / "c1")
+    ing.ingest(ing.read_message_files(spark, str(inbox)), str(landing), str(tmp_path / "c2"), rejects_path=str(rejects)).awaitTermination()
+    assert _landed(spark, landing).count() == 2
+    assert sorted(r.offset for r in spark.read.json(f"{rejects}/*").collect()) == [1, 2, 3]
+
+
+def _day(spark, *rows):
+    return spark.createDataFrame(list(rows), "year int, month string, mdate int, sensor_id string, hourly_counts bigint")
+
+
+def test_null_day_retry_and_staging(spark, tmp_path):
+    totals, stage = str(tmp_path / "totals"), tmp_path / "stage"
+    ing.ensure_table(spark, totals, tot.totals_schema(), ["year", "month", "mdate"])
+    counts = _day(spark, (2020, "05", None, "s", 5), (None, None, None, None, 1))
+    for _ in range(2):
+        tot.merge_batch(counts, 0, totals, str(stage))
+    assert sorted(r.hourly_counts for r in tot.read_totals(spark, totals).collect()) == [1, 5]
+    tot.merge_batch(counts, 1, totals, str(stage))
+    assert sorted(r.hourly_counts for r in tot.read_totals(spark, totals).collect()) == [2, 10]
+    assert not stage.exists() or not list(stage.iterdir())
+
+
+def test_new_checkpoint_over_an_old_table(spark, tmp_path):
+    totals = str(tmp_path / "totals")
+    for i, n in enumerate((5, 7)):
+        src = str(tmp_path / f"src{i}")
+        _day(spark, (2020, "05", 1, "s", n)).write.parquet(src)
+        stream = spark.readStream.schema("year int, month string, mdate int, sensor_id string, hourly_counts bigint").parquet(src)
+        tot.maintain_totals_and_top_n(stream, totals, str(tmp_path / f"c{i}")).awaitTermination()
+    assert [r.hourly_counts for r in tot.read_totals(spark, totals).collect()] == [12]
+
+
+def test_crash_between_totals_and_ranking(spark, tmp_path, monkeypatch):
+    totals, top, stage = (str(tmp_path / x) for x in ("totals", "top", "stage"))
+    for path, schema in ((totals, tot.totals_schema()), (top, tot.top_schema())):
+        ing.ensure_table(spark, path, schema, ["year", "month", "mdate"])
+    counts = _day(spark, (2020, "05", 1, "s", 5), (2020, "05", None, "t", 2))
+    tot.merge_batch(counts, 0, totals, stage)  # the ranking was never written
+    tot.merge_batch(counts, 0, totals, stage, top)
+    assert sorted(r.hourly_counts for r in tot.read_top_n(spark, top).collect()) == [2, 5]
+    assert sorted(r.hourly_counts for r in tot.read_totals(spark, totals).collect()) == [2, 5]
 
 
 def test_month_grain_totals_merge(spark, tmp_path):
