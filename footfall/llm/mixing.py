@@ -48,8 +48,8 @@ def _sized(docs: DataFrame, bins: int) -> DataFrame:
         text_key(F.col("text").cast("string")).alias("text_key"),
         source.isNull().alias("no_source"), F.coalesce(source, F.lit("")).alias("source"),
         F.regexp_count(text, F.lit(SPACED_WORD)).cast("long").alias("size"),
-    ).withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id"), 1)).withColumn(
-        "bin", F.shiftright(F.shiftright("place", 32) * bins, 31))  # bins are runs of the order by place
+    ).withColumn("place", F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")).withColumn(
+        "bin", F.shiftright(F.shiftright("place", 29) * bins, 31))  # bins are runs of the order by place
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from . import html_diff, line_dedup, mixing, pii, quality, revisits, sharding, simhash, tokens, winnow
 from .common import table
+from .oracles import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 QUERIES = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn):
@@ -26,7 +28,8 @@ def tokenizer_path() -> str:
 
 @query
 def op1_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return revisits.resolve_revisits(revisits.records_from_pages(table(spark, sf_dir, "pages")))
+    done = revisits.resolve_revisits(revisits.records_from_pages(table(spark, sf_dir, "pages")))
+    return done.withColumns({"captured": F.col("captured").cast("timestamp_ntz"), "headers": F.array_join("headers", "\n")})
 
 
 @query
@@ -68,7 +71,8 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("text_key")
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round(F.get("times", F.lit(0)), 6).alias("first_time"))
 
 
 @query

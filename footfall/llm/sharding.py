@@ -36,8 +36,8 @@ from .common import staged
 
 #: Contract values.
 SHARDS, LAW = 8, "bytes"
-#: Finer steps of each stretch a round, and bins for the numbering of slots.
-FINE, SLOT_BINS = 512, 512
+#: Finer steps of each stretch a round, and hexadecimal digits of the id hash that bin the numbering of slots.
+FINE, SLOT_BIN_DIGITS = 512, 3
 
 
 def _hash(text: Column) -> Column:
@@ -133,11 +133,11 @@ def minimax_cuts(totals: DataFrame, bin_ends: list[int], largest: int, shards: i
                 known.add(last, min(a + (cell + 1) * w - 1, b))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), slot_bins: int = SLOT_BINS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), slot_digits: int = SLOT_BIN_DIGITS) -> DataFrame:
     """Per row: doc_id, size, text_crc32, shard, slot, and the columns ``carry`` of ``docs``.
 
     Sizes are UTF-8 bytes plus 1. Only rows without texts are shuffled, unless
-    ``carry`` names them.
+    ``carry`` names them. Slots follow the bins of the id hash, then text hash and id.
     """
     spark = docs.sparkSession
     text = F.col("text").cast("string")
@@ -168,13 +168,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), sl
     keys = {r["upto"]: r["key"] for r in totals.filter(F.col("upto").isin(inner)).collect()}  # shards - 1 rows at most
     cut_keys = [keys[c] for c in cuts[:-1]]
     number = sum((F.when(F.col("key") > k, 1).otherwise(0) for k in cut_keys), F.lit(0))
-    dealt = light.withColumn("shard", number).withColumn("bin", F.pmod(F.xxhash64("doc_id", "key"), F.lit(slot_bins)))
-    counts = (
-        plain.select(number.alias("shard"), F.pmod(F.xxhash64("doc_id", "key"), F.lit(slot_bins)).alias("bin"))
-        .groupBy("shard", "bin").count()
-    )
+    slot_bin = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, slot_digits)
+    dealt = light.withColumn("shard", number).withColumn("bin", slot_bin)
+    counts = plain.select(number.alias("shard"), slot_bin.alias("bin")).groupBy("shard", "bin").count()
     first = F.sum("count").over(Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("shard", "bin", F.coalesce(first, F.lit(0)).cast("long").alias("first"))  # shards * slot_bins rows
+    offsets = counts.select("shard", "bin", F.coalesce(first, F.lit(0)).cast("long").alias("first"))  # shards * 16 ** slot_digits rows
     place = F.row_number().over(Window.partitionBy("shard", "bin").orderBy("key", "doc_id")) - 1
     return dealt.withColumn("place", place).join(F.broadcast(offsets), ["shard", "bin"]).select(
         "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), (F.col("first") + F.col("place")).alias("slot"),
