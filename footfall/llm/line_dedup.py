@@ -9,8 +9,8 @@ hashes of their lines, never the lines, past the arrays of the right shard:
 the hash gives the array place, the fingerprint says whether the line is known.
 
 A line is known by two 64-bit hashes of its key, one for the shard and place,
-one as fingerprint. A shard probed by more lines than ``PROBES`` (a very
-common line) is copied and its probes split. A task holds one shard's arrays
+one as fingerprint. A shard whose known lines occur more often than those of
+the mean shard (it has a very common line) is copied and its probes split. A task holds one shard's arrays
 at a time.
 
 Defined results: a null or empty text is one empty line. Rows with a null
@@ -32,8 +32,8 @@ from .common import IDENTITY, ascii_lower, identity, mix, staged, text_key
 
 #: Contract values.
 MIN_CHARS, MIN_DOCS = 20, 3
-#: Lines of an index shard at most on average, and probes of one copy of a shard.
-SHARD_LINES, PROBES = 1 << 16, 1 << 18
+#: Lines of an index shard at most on average, and the least load for which a shard is copied.
+SHARD_LINES, PROBES = 1 << 16, 1 << 12
 
 _BLANK = " \t\n\x0b\x0c\r"
 _GAMMA = 2
@@ -168,7 +168,8 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     of_hash = F.pmod("h", F.lit(shards)).cast("long")
     built = staged(
         shared.withColumn("shard", of_hash).groupBy("shard").applyInArrow(_build, "shard long, load long, arrays binary"), "line-index")
-    parts = (F.floor(F.col("load") / PROBES) + 1).cast("int")
+    total = built.agg(F.sum("load")).first()[0] or 0
+    parts = (F.floor(F.col("load") / max(PROBES, total // shards)) + 1).cast("int")
     copies = built.select("shard", "arrays", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     text = F.col("text").cast("string")
     probes = (
