@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept. ``run`` applies them to ``documents``; every stage is written to the
-shared folder and read again as the next one's input.
+shared folder and read again as the next one's input, which is then deleted.
+
+Defined results, besides the operators' own: null and empty texts fail the
+quality rules. Rows with a null id are told apart by their text. Repeated rows
+(equal id and text) are one document from the second stage on; the mix may
+repeat it. Null sources are mixed as one source. Extra columns are carried
+through, except that the last stage's own columns (size, text_crc32, shard,
+slot) replace columns of those names. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import mixing, quality, sharding, simhash, winnow
-from footfall.llm.common import staged, table
+from footfall.llm.common import release, staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +61,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{i}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"pipeline-{i}")
+        if i:
+            release(before)
     return docs

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import delete_path, shared_dir
 
 #: Bytes of text that one vectorised step looks at; temporaries are some forty times that.
 BLOCK = 1 << 20
@@ -33,7 +33,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    delete_path(df.sparkSession, df._staged_at)
 
 
 def text_key(text: Column) -> Column:

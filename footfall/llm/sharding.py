@@ -142,7 +142,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), sl
     spark = docs.sparkSession
     text = F.col("text").cast("string")
     light = docs.select(
-        *(F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)),
+        *(docs[f"`{c}`"].alias(f"_carry_{i}") for i, c in enumerate(carry)),
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IDENTITY, identity, pieces, staged, text_key, with_identity
+from .common import IDENTITY, identity, pieces, release, staged, text_key, with_identity
 
 #: Contract values.
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
@@ -155,10 +155,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         )
         after = staged(small, f"components-{i + 1}")
         same = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        if edges.agg(F.count(F.lit(1)), same).first() == after.agg(F.count(F.lit(1)), same).first():
-            edges = after
-            break
+        settled = edges.agg(F.count(F.lit(1)), same).first() == after.agg(F.count(F.lit(1)), same).first()
+        release(edges)
         edges = after
+        if settled:
+            break
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))

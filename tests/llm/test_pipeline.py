@@ -47,3 +47,30 @@ def test_pipeline_on_no_documents(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert not corpus_pipeline.run(spark, str(tmp_path)).count()
+
+
+def test_stages_on_awkward_rows(spark):
+    prose = " ".join(f"word{i}" for i in range(80))
+    other = " ".join(f"else{i * 7}" for i in range(90))
+    base = [(1, prose, "a"), (1, prose, "a"), (2, prose, None), (None, other, "a"), (None, other, "a"), (None, None, None),
+            (3, "", "b"), (4, None, "b"), (5, prose.upper() + " " + other, None), (6, "x " * 40000, "c"), (7, " ".join(f"third{i * 3}" for i in range(200)) + "\n" + prose, "b"),
+            (8, " ".join(f"long{i}" for i in range(60000)), "d")]
+    columns = "doc_id long, text string, source string, size string, shard string, fp int, rid int, _c string"
+    docs = spark.createDataFrame([(*r, "s", "h", 1, 2, "c") for r in base], columns)
+    want = {(1, prose), (None, other), (5, base[8][1]), (7, base[10][1]), (8, base[11][1])}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF).persist()
+        if name == "sharding":
+            assert {"doc_id", "text", "source", "fp", "rid", "_c", "size", "shard", "slot", "text_crc32"} == set(out.columns)
+            assert out.filter("fp <> 1 or rid <> 2 or _c <> 'c'").count() == 0
+        else:
+            assert out.columns == docs.columns
+        rows = [(r["doc_id"], r["text"]) for r in out.select("doc_id", "text").collect()]
+        if name == "quality rules":
+            assert set(rows) == want | {(2, prose)} and len(rows) == 8
+        elif name in ("SimHash near-dedup", "benchmark decontamination"):
+            assert sorted(rows, key=str) == sorted(want, key=str)
+        else:
+            assert set(rows) <= want and rows
+        docs = out
+        assert stage(spark, docs.limit(0), SF).count() == 0
