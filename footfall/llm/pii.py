@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 #: Characters before a span in which context words count, and the score a span needs.
 CONTEXT_CHARS, THRESHOLD = 40, 0.5
+#: Matches whose running lengths are added up together.
+RUN_BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -95,18 +97,40 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(values: Column, block: int = RUN_BLOCK) -> Column:
+    """Running totals of an array of numbers.
+
+    Each block is summed on from the total of the blocks before it. A plain
+    aggregation that appends to one array would copy it at every item.
+    """
+    def summed(items: Column, first: Column) -> Column:
+        """``first``, and the running totals that follow from it."""
+        return F.aggregate(items, F.array(first), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+
+    def over(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(block))
+        return _let(F.transform(starts, lambda i: F.slice(v, i, F.lit(block))), by_block)
+
+    def by_block(blocks: Column) -> Column:
+        firsts = summed(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x)), F.lit(0))
+        return F.flatten(F.zip_with(blocks, F.slice(firsts, 1, F.size(blocks)), lambda b, first: F.slice(summed(b, first), F.lit(2), F.size(b))))
+
+    return _let(values, over)
+
+
 def _spans(text: Column, kind: Kind, threshold: float) -> Column:
     """Array of (kind, start, end, score) of the confirmed spans of a kind, by start."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
     both = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(
         m.alias("match"), F.length(b).alias("skip"), F.length(m).alias("size"), F.right(b, F.lit(CONTEXT_CHARS)).alias("context")))
-    empty = F.array().cast("array<struct<match:string,start:int,stop:int,context:string>>")
-    placed = F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), lambda acc, x: F.struct(
-        (acc["at"] + x["skip"] + x["size"]).alias("at"),
-        F.concat(acc["out"], F.array(F.struct(
-            x["match"].alias("match"), (acc["at"] + x["skip"]).alias("start"), (acc["at"] + x["skip"] + x["size"]).alias("stop"), x["context"].alias("context")))).alias("out")),
-        lambda acc: acc["out"])
+    placed = _let(both, lambda b: F.zip_with(b, _running(F.transform(b, lambda x: x["skip"] + x["size"])), lambda x, stop: F.struct(
+        x["match"].alias("match"), (stop - x["size"]).alias("start"), stop.alias("stop"), x["context"].alias("context"))))
     scored = F.transform(F.filter(placed, lambda s: _valid(kind.name, s["match"])), lambda s: F.struct(
         F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
         F.least(F.lit(kind.score) + F.when(s["context"].rlike(kind.context), CONTEXT_GAIN).otherwise(0.0), F.lit(1.0)).alias("score")))

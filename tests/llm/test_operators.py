@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 
@@ -190,6 +191,20 @@ def test_personal_data_patterns(spark):
     same([tuple(r)[:6] for r in got], [(d, *(x := brute.pii(t))[:4], brute.sha(x[4])) for d, t in docs])
 
 
+def test_personal_data_with_very_many_matches(spark):
+    docs = [(i, "é" + x * n) for i, (x, n) in enumerate((x, n) for x in ("a@b.cd ", "1.2.3.4 😀", "x 4111111111111111\n", "+123456789012 x") for n in (127, 128, 129, 30000))]
+    got = pii.span_digest(pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string"))).collect()
+    same([tuple(r)[:6] for r in got], [(d, *(x := brute.pii(t))[:4], brute.sha(x[4])) for d, t in docs])
+
+
+def test_running_totals(spark):
+    rnd = random.Random(3)
+    values = spark.createDataFrame([([rnd.randint(0, 50) for _ in range(n)],) for n in (0, 1, 2, 3, 4, 5, 8, 9, 127, 128, 129, 1000)], "v array<int>")
+    for block in (1, 3, 128):
+        for v, total in values.select("v", pii._running(F.col("v"), block)).collect():
+            assert total == list(itertools.accumulate(v))
+
+
 def test_personal_data_further_kinds(awkward):
     found = {r["doc_id"]: r["spans"] for r in pii.span_digest(pii.personal_data(awkward)).collect()}
     assert [x.split(":")[0] for x in found[14].split(",")] == ["iban", "national_phone", "secret"]
