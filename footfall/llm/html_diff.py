@@ -30,6 +30,7 @@ import bisect
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,15 +57,21 @@ _MARKED = frozenset(
     "hidden login masthead menu modal nav navbar navigation newsletter notice notification overlay popup promo related replies search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_MARK = re.compile(r"(?:\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))|\b(hidden|aria-hidden\s*=\s*[\"']?true)\b|display\s*:\s*none", re.I)
+#: A tag that never ends runs to the end of the page, so that no text is looked through twice.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|(\Z))|<[!?][^>]*+(?:>|(\Z))", re.S)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none")
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
 def _excluded(attributes: str) -> bool:
-    for m in _MARK.finditer(attributes):
-        value = m[1] or m[2] or m[3]
-        if value is None or not _MARKED.isdisjoint(_WORDS.findall(value.lower())):
+    for m in _ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name in ("class", "id", "role"):
+            if not _MARKED.isdisjoint(_WORDS.findall(value)):
+                return True
+        elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
             return True
     return False
 
@@ -74,6 +81,7 @@ def lines_of(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     buf: list[str] = []
     stack: list[tuple[str, int]] = [("", OTHER)]
+    standing: Counter[str] = Counter()  # tags on the stack
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(buf)).split())
@@ -83,6 +91,8 @@ def lines_of(page: str) -> list[tuple[int, str]]:
 
     at = 0
     while m := _TOKEN.search(page, at):
+        if m[4] is not None or m[5] is not None:
+            break
         buf.append(page[at: m.start()])
         at = m.end()
         if m[2] is None:
@@ -99,9 +109,10 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             continue
         end_block()
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while standing[tag]:
+                last = stack.pop()[0]
+                standing[last] -= 1
+                if last == tag:
                     break
             continue
         if attributes.rstrip().endswith("/"):
@@ -114,6 +125,7 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             role = ARTICLE
         if tag in _NESTS or excluded and tag not in ("br", "hr", "input", "meta", "link"):
             stack.append((tag, role))
+            standing[tag] += 1
     buf.append(page[at:] if not page[at:].lstrip().startswith("<") else "")
     end_block()
     return out

@@ -334,6 +334,20 @@ def test_page_difference(spark):
     assert not html_diff.extract(pages.limit(0)).count()
 
 
+def test_lines_of_odd_markup():
+    def text(page):
+        return [x for _, x in html_diff.lines_of(page)]
+
+    assert text("<p title=it's>one</p><p>don't</p>") == ["one", "don't"]
+    assert text('<p title="a > b" data-x=\'>\'>one</p><p class="x>two</p>') == ["one", "two"]
+    assert text("a <b and c") == ["a <b and c"] and text("<p>x</p><br") == ["x"]
+    roles = dict((x, role) for role, x in html_diff.lines_of(
+        '<p style="overflow:hidden" title="the hidden id=ad">seen</p><p hidden>not</p><p style="display: none">nor</p><p data-id="ad">data</p><p id=ad-1>ad</p>'))
+    assert {x for x, role in roles.items() if role == html_diff.BOILER} == {"not", "nor", "ad"}
+    for page in ("<div " * 50000, "a <b and c<d " * 50000, "<div>" * 50000 + "</p>" * 50000, "<a '" * 50001, "<! " * 50000):
+        html_diff.lines_of(page)  # linear: quadratic steps would take minutes
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = {tuple(r) for r in html_diff.extract(pages).collect()}
