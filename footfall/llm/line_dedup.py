@@ -172,8 +172,10 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
     parts = (F.floor(F.col("load") / max(PROBES, total // shards)) + 1).cast("int")
     copies = built.select("shard", "arrays", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
     text = F.col("text").cast("string")
+    # The identity comes first: beside the explode it would be computed for every line.
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *identity(F.col("doc_id").cast("long"), text_key(text)), text.alias("text"))
     probes = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), *identity(F.col("doc_id").cast("long"), text_key(text)), F.posexplode(_keys(text)).alias("at", "key"))
+        rows.select("doc_id", *IDENTITY, F.posexplode(_keys(F.col("text"))).alias("at", "key"))
         .filter(F.length("key") >= min_chars)
         .select("doc_id", *IDENTITY, "at", *_hashes(F.col("key"))).withColumn("shard", of_hash)
         .join(built.select("shard", parts.alias("parts")), "shard")  # a row a shard
