@@ -6,12 +6,13 @@ These hashes are dealt to shards by their value; each shard becomes a minimal
 perfect hash (levels of collision-free slots with ranks) that indexes compact
 arrays: a 64-bit fingerprint, the count and the keeper. Documents send the
 hashes of their lines, never the lines, past the arrays of the right shard:
-the hash gives the array place, the fingerprint says whether the line is known.
+one hash gives the array place, the fingerprint says whether the line is known.
 
-A line is known by two 64-bit hashes of its key, one for the shard and place,
-one as fingerprint. A shard whose known lines occur more often than those of
-the mean shard (it has a very common line) is copied and its probes split. A task holds one shard's arrays
-at a time.
+A line is known by two 64-bit hashes of its key: one gives the place, the other
+the shard and the fingerprint, so lines clash only if both agree in part. A
+shard whose known lines occur more often than those of the mean shard (it has a
+very common line) is copied and its probes split. A task holds one shard's
+arrays at a time.
 
 Defined results: a null or empty text is one empty line. Rows with a null
 ``doc_id`` count for no document and keep no shared line. Repeated rows are
@@ -126,8 +127,8 @@ def shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
 
 def _build(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     arr = {c: table.column(c).to_numpy() for c in ("h", "fp", "n_docs", "keeper")}
-    h, first = np.unique(arr["h"], return_index=True)  # two lines of one hash: never seen; the least fingerprint would win
-    blob = build_index(h.view(np.uint64), arr["fp"][first].view(np.uint64), arr["n_docs"][first], arr["keeper"][first])
+    fp, first = np.unique(arr["fp"], return_index=True)  # two lines of one shard and place hash: never seen; one of them would stay undropped
+    blob = build_index(fp.view(np.uint64), arr["h"][first].view(np.uint64), arr["n_docs"][first], arr["keeper"][first])
     return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "load": pa.array([int(arr["n_docs"].sum())], pa.int64()), "arrays": pa.array([blob], pa.binary())})
 
 
@@ -152,7 +153,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             h = run.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
             fp = run.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
-            known, keeper = index.keeper(h, fp)
+            known, keeper = index.keeper(fp, h)
             own = run.column("doc_id")
             none = own.is_null().to_numpy(zero_copy_only=False)
             drop = known & (none | (own.fill_null(0).to_numpy(zero_copy_only=False) != keeper))
