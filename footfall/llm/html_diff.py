@@ -30,8 +30,7 @@ import bisect
 import html
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +48,17 @@ ARTICLE, OTHER, BOILER = 0, 1, 2
 #: Element names by role.
 _RAW = frozenset("script style noscript template textarea svg iframe".split())
 _BOILER = frozenset("head nav footer aside form button select dialog menu".split())
-_NESTS = _BOILER | frozenset("div section article main header ul ol dl table body figure blockquote details".split())
+#: Elements that have no content, and those whose start ends a paragraph.
+_VOID = frozenset("area base basefont br col embed frame hr img input keygen link meta param source track wbr".split())
+_BLOCKS = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main "
+    "menu nav ol p pre section table ul".split())
+#: Elements that a start tag ends without an end tag, and the elements that shield them from it.
+_ITEM = "ul ol menu dir table article section main".split()
+_IMPLIED = {
+    "li": (("li",), _ITEM), "dt": (("dt", "dd"), ["dl", *_ITEM]), "dd": (("dt", "dd"), ["dl", *_ITEM]), "td": (("td", "th"), ["table"]),
+    "th": (("td", "th"), ["table"]), "tr": (("tr",), ["table"]), "a": (("a",), ["table"])}
+_SHIELDS = {"p": "button table td th caption".split()} | {t: x for t, (_, x) in _IMPLIED.items() if t != "a"}
 _INLINE = frozenset("a abbr b bdi bdo cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
 #: Words in class, id or role that mark an element as no content.
 _MARKED = frozenset(
@@ -76,18 +85,79 @@ def _excluded(attributes: str) -> bool:
     return False
 
 
+class _Open:
+    """The open elements, where each tag stands among them, and which of them set a role."""
+
+    def __init__(self):
+        self.stack: list[str] = [""]
+        self.places: dict[str, list[int]] = {}
+        self.marks: list[tuple[int, int]] = [(0, OTHER)]
+
+    @property
+    def role(self) -> int:
+        return self.marks[-1][1]
+
+    def last(self, tag: str) -> int:
+        """Place of the last open ``tag``, 0 if there is none."""
+        at = self.places.get(tag)
+        return at[-1] if at else 0
+
+    def push(self, tag: str, role: int | None) -> None:
+        if role is not None:
+            self.marks.append((len(self.stack), role))
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(tag)
+
+    def cut(self, place: int) -> None:
+        """Ends the element at ``place`` and all that are open inside it."""
+        while len(self.stack) > place:
+            if tag := self.stack.pop():
+                self.places[tag].pop()
+        while self.marks[-1][0] >= place:
+            self.marks.pop()
+
+    def end(self, tag: str, shields: Iterable[str] = ()) -> None:
+        """Ends the last ``tag``, unless a shield is open inside it."""
+        place = self.last(tag)
+        if place and all(self.last(x) < place for x in shields):
+            self.cut(place)
+
+    def end_inline(self, tag: str) -> None:
+        """Ends the last ``tag``; blocks that were opened inside it and not ended stay open."""
+        place = self.last(tag)
+        if not place:
+            return
+        if all(x in _INLINE for x in self.stack[place + 1: place + 9]) and len(self.stack) <= place + 9:
+            self.cut(place)
+            return
+        self.places[tag].pop()
+        self.stack[place] = ""
+        i = bisect.bisect_left(self.marks, (place, -1))
+        if i < len(self.marks) and self.marks[i][0] == place:
+            del self.marks[i]
+
+
+def _self_closed(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is not part of an unquoted value."""
+    s = attributes.rstrip()
+    return s.endswith("/") and "=" not in s[max(s.rfind(c) for c in " \t\n\r\f\"'") + 1:]
+
+
 def lines_of(page: str) -> list[tuple[int, str]]:
-    """(role, text) of each block of a page in order; a block ends at every tag that is not inline."""
+    """(role, text) of each block of a page in order; a block ends at every tag that is not inline.
+
+    End tags may be left out as HTML allows: a paragraph ends at the next block,
+    an item or cell at the next one. What is left open inside an element ends with it.
+    """
     out: list[tuple[int, str]] = []
     buf: list[str] = []
-    stack: list[tuple[str, int]] = [("", OTHER)]
-    standing: Counter[str] = Counter()  # tags on the stack
+    opened = _Open()
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(buf)).split())
         buf.clear()
         if text:
-            out.append((stack[-1][1], text))
+            out.append((opened.role, text))
 
     at = 0
     while m := _TOKEN.search(page, at):
@@ -99,33 +169,43 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             continue
         tag, closing, attributes = m[2].lower(), bool(m[1]), m[3]
         if tag in _INLINE:
-            if tag == "img" or not attributes or closing:
+            excluded = not closing and bool(attributes) and _excluded(attributes)
+            if tag in _VOID or not excluded and not opened.last(tag):
                 continue
-            if not _excluded(attributes):
+            end_block()
+            if closing:
+                opened.end_inline(tag)
                 continue
+            if tag == "a":
+                opened.end_inline(tag)
+            if not _self_closed(attributes) and (excluded or opened.last(tag)):
+                opened.push(tag, BOILER if excluded else None)
+            continue
         if tag in _RAW and not closing:
-            stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else len(page)
+            whole = _self_closed(attributes)
+            if whole and tag in ("script", "style"):  # browsers don't heed the slash here
+                stop = re.compile(rf"<(/?){tag}\b", re.I).search(page, at)
+                whole = not (stop and stop[1])
+            if not whole:
+                stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                at = stop.end() if stop else len(page)
             continue
         end_block()
         if closing:
-            while standing[tag]:
-                last = stack.pop()[0]
-                standing[last] -= 1
-                if last == tag:
-                    break
+            opened.end(tag, _SHIELDS.get(tag, ()))
             continue
-        if attributes.rstrip().endswith("/"):
+        if tag in _BLOCKS:
+            opened.end("p", _SHIELDS["p"])
+        for x in _IMPLIED[tag][0] if tag in _IMPLIED else ():
+            opened.end(x, _IMPLIED[tag][1])
+        if tag in _VOID or _self_closed(attributes):
             continue
-        role = stack[-1][1]
-        excluded = bool(attributes) and _excluded(attributes)
-        if tag in _BOILER or excluded or tag == "header" and role != ARTICLE:
+        role = None
+        if tag in _BOILER or attributes and _excluded(attributes) or tag == "header" and opened.role != ARTICLE:
             role = BOILER
-        elif tag in ("article", "main") and role != BOILER:
+        elif tag in ("article", "main") and opened.role != BOILER:
             role = ARTICLE
-        if tag in _NESTS or excluded and tag not in ("br", "hr", "input", "meta", "link"):
-            stack.append((tag, role))
-            standing[tag] += 1
+        opened.push(tag, role)
     buf.append(page[at:] if not page[at:].lstrip().startswith("<") else "")
     end_block()
     return out

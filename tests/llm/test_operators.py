@@ -348,6 +348,30 @@ def test_lines_of_odd_markup():
         html_diff.lines_of(page)  # linear: quadratic steps would take minutes
 
 
+def seen(page):
+    return " ".join(x for role, x in html_diff.lines_of(page) if role != html_diff.BOILER)
+
+
+def test_text_after_marked_elements():
+    for page, text in (
+        ("<article><p>A <a class=share>x</a> B</p><p>C</p></article>", "A B C"),
+        ("<article><p>A <span class='ad'>x <span>y</span> z</span> B</p><p>C</p></article>", "A B C"),
+        ("<article><p>A <span class=ad>x</p><p>B</p></article><p>C</p>", "A B C"),
+        ("<article><a class=share><div>x</a>B</div><p>C</p></article>", "B C"),
+        ("<div>A <a class=share>x <a href=y>B</a> C</div>", "A B C"),
+        ("<article><p class=ad>x<p>B</article>", "B"), ("<article><p class=ad>x<div>B</div></article>", "B"),
+        ("<ul><li class=ad>x<li>B</ul>", "B"), ("<ul><li class=ad><ul><li>x</li></ul>y</li><li>B</li></ul>", "B"),
+        ("<dl><dt class=ad>x<dd>B</dl>", "B"), ("<table><tr><td class=ad>x<td>B<tr><td>C</table>", "B C"),
+        ('<article><svg width="1"/>A<svg/><p>B</p><svg><text>x</text></svg>C</article>', "A B C"),
+        ("<svg data-u=/x/>x</svg>A<script src=y /><p>B</p><script>x</script><script src=y />x</script>C", "A B C"),
+        ("<div data-u=/x/>A<p hidden>x</p></div>B", "A B"),
+    ):
+        assert seen(page) == text, page
+    for page in ("<a class=ad>" * 30000 + "<div>" * 30000 + "</a>" * 30000, "<li><ul>" + "<x>" * 30000 + "<li></li>" * 30000,
+                 "<p class=ad><x>" * 30000, "<span class=ad>" * 30000 + "</span>" * 30000, "<svg/><script/><style/>" * 20000):
+        html_diff.lines_of(page)  # linear: quadratic steps would take minutes
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = {tuple(r) for r in html_diff.extract(pages).collect()}
