@@ -44,6 +44,10 @@ from .common import pieces
 RANGES, COPY_SHARE = 4, 0.5
 
 ARTICLE, OTHER, BOILER = 0, 1, 2
+#: Roles of open elements only: excluded by a class word, and inside a form. Their lines are BOILER, but an article in them is one.
+_WORDED, _FORM = 3, 4
+#: Share of a page's text that isn't excluded above which a form is the page's wrapper.
+WRAPPER_SHARE = 0.5
 
 #: Element names by role.
 _RAW = frozenset("script style noscript template textarea svg iframe".split())
@@ -71,18 +75,31 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|(\Z))|<[!?][^>]*+(?:>|(\Z))", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 _UNSEEN = re.compile(r"display\s*:\s*none")
-_WORDS = re.compile(r"[a-z0-9]+")
+_PARTS = re.compile(r"[-_]+")
+#: Elements that no class word excludes, and those that nothing excludes.
+_WHOLE = frozenset("html body main article".split())
+_PAGE = frozenset("html body".split())
 
 
-def _excluded(attributes: str) -> bool:
+def _marked(word: str) -> bool:
+    """Whether all parts of a class word are marked words or numbers: ``cookie-banner`` and ``ad-1``, not ``has-sidebar``."""
+    parts = [x for x in _PARTS.split(word) if x and not x.isdigit()]
+    return bool(parts) and _MARKED.issuperset(parts)
+
+
+def _excluded(tag: str, attributes: str) -> int | None:
+    """The role by which its attributes exclude an element: BOILER if it is not seen, _WORDED by a class word."""
+    found = None
+    if tag in _PAGE:
+        return None
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id", "role"):
-            if not _MARKED.isdisjoint(_WORDS.findall(value)):
-                return True
+            if found is None and tag not in _WHOLE and any(map(_marked, value.split())):
+                found = _WORDED
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _UNSEEN.search(value):
-            return True
-    return False
+            return BOILER
+    return found
 
 
 class _Open:
@@ -97,13 +114,18 @@ class _Open:
     def role(self) -> int:
         return self.marks[-1][1]
 
+    @property
+    def outer(self) -> int:
+        """The role around the element that set the present one."""
+        return self.marks[-2][1]
+
     def last(self, tag: str) -> int:
         """Place of the last open ``tag``, 0 if there is none."""
         at = self.places.get(tag)
         return at[-1] if at else 0
 
     def push(self, tag: str, role: int | None) -> None:
-        if role is not None:
+        if role is not None and not (role == _WORDED and self.role == BOILER):
             self.marks.append((len(self.stack), role))
         self.places.setdefault(tag, []).append(len(self.stack))
         self.stack.append(tag)
@@ -148,16 +170,25 @@ def lines_of(page: str) -> list[tuple[int, str]]:
 
     End tags may be left out as HTML allows: a paragraph ends at the next block,
     an item or cell at the next one. What is left open inside an element ends with it.
+
+    An article inside a form or an element excluded by a class word is article
+    text, unless that element is itself inside an article (comments, related
+    ones). A form with most of the text that nothing else excludes wraps the
+    page: its lines have the role that they have without it.
     """
     out: list[tuple[int, str]] = []
     buf: list[str] = []
     opened = _Open()
+    forms: list[list[tuple[int, int]]] = []  # for each form, its lines and their roles without it
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(buf)).split())
         buf.clear()
         if text:
-            out.append((opened.role, text))
+            role = opened.role
+            if role == _FORM:
+                forms[-1].append((len(out), opened.outer))
+            out.append((min(role, BOILER), text))
 
     at = 0
     while m := _TOKEN.search(page, at):
@@ -169,8 +200,8 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             continue
         tag, closing, attributes = m[2].lower(), bool(m[1]), m[3]
         if tag in _INLINE:
-            excluded = not closing and bool(attributes) and _excluded(attributes)
-            if tag in _VOID or not excluded and not opened.last(tag):
+            excluded = _excluded(tag, attributes) if attributes and not closing else None
+            if tag in _VOID or excluded is None and not opened.last(tag):
                 continue
             end_block()
             if closing:
@@ -178,8 +209,8 @@ def lines_of(page: str) -> list[tuple[int, str]]:
                 continue
             if tag == "a":
                 opened.end_inline(tag)
-            if not _self_closed(attributes) and (excluded or opened.last(tag)):
-                opened.push(tag, BOILER if excluded else None)
+            if not _self_closed(attributes) and (excluded is not None or opened.last(tag)):
+                opened.push(tag, excluded)
             continue
         if tag in _RAW and not closing:
             whole = _self_closed(attributes)
@@ -200,14 +231,25 @@ def lines_of(page: str) -> list[tuple[int, str]]:
             opened.end(x, _IMPLIED[tag][1])
         if tag in _VOID or _self_closed(attributes):
             continue
-        role = None
-        if tag in _BOILER or attributes and _excluded(attributes) or tag == "header" and opened.role != ARTICLE:
+        outer, role = opened.role, _excluded(tag, attributes) if attributes else None
+        if tag == "form" and role is None and outer in (ARTICLE, OTHER):
+            role = _FORM
+            forms.append([])
+        elif tag == "form":
+            pass
+        elif tag in _BOILER or tag == "header" and outer != ARTICLE:
             role = BOILER
-        elif tag in ("article", "main") and opened.role != BOILER:
+        elif tag in ("article", "main") and role is None and outer != BOILER and (outer in (ARTICLE, OTHER) or not opened.last("article")):
             role = ARTICLE
         opened.push(tag, role)
     buf.append(page[at:] if not page[at:].lstrip().startswith("<") else "")
     end_block()
+    sizes = [sum(len(out[i][1]) for i, _ in form) for form in forms]
+    every = sum(sizes) + sum(len(x) for role, x in out if role != BOILER)
+    for form, size in zip(forms, sizes, strict=True):
+        if size > WRAPPER_SHARE * every:
+            for i, role in form:
+                out[i] = (role, out[i][1])
     return out
 
 

@@ -372,6 +372,22 @@ def test_text_after_marked_elements():
         html_diff.lines_of(page)  # linear: quadratic steps would take minutes
 
 
+def test_articles_in_marked_elements():
+    prose = "Whole clean article text"
+    for page, text in (
+        ("<body class='single has-sidebar'><article class='post comments-open'><p>A</p></article></body>", "A"),
+        ("<body class=search><main id=search><article id=comment><p>A</p></article></main></body>", "A"),
+        ("<body style='display: none'><p>A</p></body>", "A"), ("<div id='search-result'><article>A</article>B</div>", "A B"),
+        ("<div class=search><b>x</b><article>A</article>x</div>", "A"), ("<form><article>A</article></form>", "A"),
+        (f"<body><form id=aspnetForm><div>{prose}</div><div class=ad>x</div><button>x</button></form></body>", prose),
+        (f"<p>{prose}</p><form>x</form>", prose), (f"<article>{prose}<form>x</form></article>", prose),
+        ("<article>A<div class=comments><article>x</article></div></article>", "A"), ("<nav><span class=ad><article>x</article></span></nav>A", "A"),
+        ("<article hidden>x</article><div hidden><article>x</article></div>A", "A"),
+        ("<div class='cookie-banner'>x</div><div class='ad-1 has-sidebar'>x</div><div class='no-ads'>A</div>", "A"),
+    ):
+        assert seen(page) == text, page
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = {tuple(r) for r in html_diff.extract(pages).collect()}
