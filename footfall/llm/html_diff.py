@@ -11,7 +11,9 @@ an exact check follows the differencing: a shared line stays if the markup
 says that it is article text (inside ``article`` or ``main``), or, on pages
 without such markup, if most of the page's text is shared (a copy). And lines
 that the markup says are no content (menus, forms, adverts, comments) go even
-if the partner lacks them. ``differences`` has both verdicts.
+if the partner lacks them. All other lines stay if they are the page's own and
+go if they are shared, on pages with and without articles. ``kept_lines`` has
+the verdicts.
 
 To give each page its neighbours, the keys alone are range-partitioned once to
 learn each range's first and last key (a row a range on the driver). Then each
@@ -296,16 +298,11 @@ def shared_lines(a: list[int], b: list[int]) -> list[int]:
 
 def kept_lines(lines: list[tuple[int, str]], shared: set[int]) -> list[str]:
     """Differencing deletes ``shared``; the markup check puts article text back and takes marked boilerplate out."""
-    article = any(role == ARTICLE for role, _ in lines)
     open_ = [i for i, (role, _) in enumerate(lines) if role == OTHER]
     size = sum(len(lines[i][1]) for i in open_)
-    copy = 2 * sum(len(lines[i][1]) for i in open_ if i in shared) > size
-    keep = []
-    for i, (role, text) in enumerate(lines):
-        deleted = i in shared
-        if role == ARTICLE or role == OTHER and not article and (not deleted or copy):
-            keep.append(text)
-    return keep
+    article = len(open_) < sum(role != BOILER for role, _ in lines)
+    copy = not article and 2 * sum(len(lines[i][1]) for i in open_ if i in shared) > size
+    return [text for i, (role, text) in enumerate(lines) if role == ARTICLE or role == OTHER and (i not in shared or copy)]
 
 
 @dataclass

@@ -388,6 +388,15 @@ def test_articles_in_marked_elements():
         assert seen(page) == text, page
 
 
+def test_differencing_decides_unmarked_lines_beside_articles(spark):
+    def page(i):
+        return f"<div>Shared top bar</div><div>Main text of page {i} in a plain div</div><article>Card {i}</article><article>Common card</article><div>Foot</div>"
+
+    pages = spark.createDataFrame([(i, f"http://h.example/{i}", page(i)) for i in range(4)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_diff.extract(pages).collect()} == {
+        i: f"Main text of page {i} in a plain div Card {i} Common card" for i in range(4)}
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = {tuple(r) for r in html_diff.extract(pages).collect()}
