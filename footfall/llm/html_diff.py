@@ -1,24 +1,31 @@
 """Main text of web pages by differencing pages of neighbouring URLs.
 
-Pages are ordered by (host, URL path); the partner of a page is the neighbour
-in that order, of the same host and with another path, whose path shares the
-longer prefix (of two equally near, the one that shares more lines). Both pages become text lines (blocks), the lines are aligned by
-a longest common subsequence, and the lines shared with the partner are
-deleted: menus, notices and footers recur, articles don't.
+Pages are ordered by (host, URL path, canonical URL). The partners of a page are
+those of the same host next to it in that order: on each side the first one of
+another canonical URL (the query may differ, tracking parameters don't count)
+and the first one of another path, however many pages stand between. Pages
+without a URL all differ. The partner is the one whose path shares the longer
+prefix (of equally near ones, the one that shares more lines). Both pages
+become text lines (blocks), the lines are aligned by a longest common
+subsequence, and the lines shared with the partner are deleted: menus, notices
+and footers recur, articles don't.
 
 Pages can also share prose: copies of an article, or a common opening line. So
-an exact check follows the differencing: a shared line stays if the markup
-says that it is article text (inside ``article`` or ``main``), or, on pages
-without such markup, if most of the page's text is shared (a copy). And lines
-that the markup says are no content (menus, forms, adverts, comments) go even
-if the partner lacks them. All other lines stay if they are the page's own and
-go if they are shared, on pages with and without articles. ``kept_lines`` has
-the verdicts.
-
-To give each page its neighbours, the keys alone are range-partitioned once to
-learn each range's first and last key (a row a range on the driver). Then each
-page goes to its range, and the border pages also to the next range, and every
-task walks its sorted pages with three of them in memory.
+a copy is no partner if there is another one, and nothing is deleted if there is
+none. Copies are pages that are equal but for a few words, or that share nearly
+all of their text, most of it in long lines (a short article under the same long
+menus is no copy). And an exact check follows the differencing: a shared line
+stays if the markup says that it is article text (inside ``article`` or
+``main``), and lines that the markup says are no content (menus, forms, adverts,
+comments) go even if the partner lacks them. All other lines stay if they are
+the page's own and go if they are shared, on pages with and without articles.
+
+To give each page its partners, the keys alone are range-partitioned once to
+learn each range's first and last key, and the first and last of another URL and
+of another path than these (a row a range on the driver). Then each page goes to
+its range, and the partners that a range lacks also there. Every task walks its
+sorted pages; those of one path wait for the next path in a temporary file, so a
+handful of pages are in memory.
 
 Defined results: null or empty html gives an empty text. A null URL is host ""
 and path "". Equal pages are each answered. A page without a partner keeps all
@@ -30,8 +37,11 @@ from __future__ import annotations
 
 import bisect
 import html
+import pickle
 import re
+import tempfile
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -40,10 +50,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import BLOCK, pieces
+from .revisits import canonical_url
 
-#: Ranges per shuffle partition, and the share of a page's text above which a pair are copies.
-RANGES, COPY_SHARE = 4, 0.5
+#: Ranges per shuffle partition, and MB of waiting pages that a task holds in memory.
+RANGES, WAITING_MB = 4, 8
+#: Copies differ in so many words at most, or share this much of their text, most of it in lines of so many words.
+COPY_WORDS, COPY_SHARE, PROSE_WORDS = 5, 0.9, 10
 
 ARTICLE, OTHER, BOILER = 0, 1, 2
 #: Roles of open elements only: excluded by a class word, and inside a form. Their lines are BOILER, but an article in them is one.
@@ -298,11 +311,7 @@ def shared_lines(a: list[int], b: list[int]) -> list[int]:
 
 def kept_lines(lines: list[tuple[int, str]], shared: set[int]) -> list[str]:
     """Differencing deletes ``shared``; the markup check puts article text back and takes marked boilerplate out."""
-    open_ = [i for i, (role, _) in enumerate(lines) if role == OTHER]
-    size = sum(len(lines[i][1]) for i in open_)
-    article = len(open_) < sum(role != BOILER for role, _ in lines)
-    copy = not article and 2 * sum(len(lines[i][1]) for i in open_ if i in shared) > size
-    return [text for i, (role, text) in enumerate(lines) if role == ARTICLE or role == OTHER and (i not in shared or copy)]
+    return [text for i, (role, text) in enumerate(lines) if role == ARTICLE or role == OTHER and i not in shared]
 
 
 @dataclass
@@ -315,6 +324,7 @@ class _Page:
         raw = zlib.decompress(self.blob).decode()
         self.lines = [(int(x[0]), x[1:]) for x in raw.split("\n")] if raw else []
         self.hashes = [hash(x) for _, x in self.lines]
+        self.size = sum(len(x) for _, x in self.lines)
 
 
 def _common(a: str, b: str) -> int:
@@ -326,27 +336,109 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def _compared(page: _Page, before: _Page | None, after: _Page | None) -> tuple[_Page | None, list[int]]:
-    """The partner and the lines shared with it; of two neighbours equally near, the one that shares more lines."""
-    host, path = page.key[:2]
-    near = [p for p in (before, after) if p is not None and p.key[0] == host and p.key[1] != path]
-    if not near:
-        return None, []
-    closest = max(_common(path, p.key[1]) for p in near)
-    found = [(p, shared_lines(page.hashes, p.hashes)) for p in near if _common(path, p.key[1]) == closest]
-    return max(found, key=lambda x: len(x[1]))
+def _copies(a: _Page, b: _Page, shared: list[int]) -> bool:
+    """Whether two pages are equal, or nearly: see the module's text."""
+    left = Counter(a.hashes[i] for i in shared)
+
+    def own(page: _Page) -> Counter[str]:
+        """Words of the lines that the other page lacks."""
+        rest, out = left.copy(), Counter()
+        for (_, x), h in zip(page.lines, page.hashes, strict=True):
+            if rest[h]:
+                rest[h] -= 1
+            else:
+                out.update(x.split())
+        return out
+
+    if not shared:
+        return False
+    size = sum(len(a.lines[i][1]) for i in shared)
+    if size < COPY_SHARE * max(a.size, b.size):
+        return False
+    mine, others = own(a), own(b)
+    if max((mine - others).total(), (others - mine).total()) <= COPY_WORDS:
+        return True
+    return 2 * sum(len(x) for x in (a.lines[i][1] for i in shared) if len(x.split()) >= PROSE_WORDS) > size
+
+
+def _compared(page: _Page, near: list[_Page]) -> tuple[_Page | None, list[int], bool]:
+    """The partner, the lines shared with it, and whether they go: the nearest page that is no copy, or else a copy."""
+    host, path, canonical = page.key[:3]
+    by_prefix: dict[int, list[_Page]] = {}
+    for p in near:
+        if p.key[0] == host and p.key[2] != canonical:
+            by_prefix.setdefault(_common(path, p.key[1]), []).append(p)
+    copy = None
+    for _, pages in sorted(by_prefix.items(), reverse=True):
+        found = [(p, shared_lines(page.hashes, p.hashes)) for p in pages]
+        differ = [x for x in found if not _copies(page, *x)]
+        if differ:
+            return *max(differ, key=lambda x: len(x[1])), True
+        copy = copy or max(found, key=lambda x: len(x[1]))
+    return (*copy, False) if copy else (None, [], False)
+
+
+class _Waiting:
+    """Pages of one path in order, in memory up to a size and beyond it in a temporary file."""
+
+    def __init__(self):
+        self.file = tempfile.SpooledTemporaryFile(WAITING_MB << 20)
+        self.n = 0
+
+    def add(self, page: _Page) -> None:
+        pickle.dump((page.key, page.own, page.blob), self.file)
+        self.n += 1
+
+    def pages(self) -> Iterator[_Page]:
+        """All in order; several readers may take turns."""
+        at = 0
+        for _ in range(self.n):
+            self.file.seek(at)
+            page = _Page(*pickle.load(self.file))
+            at = self.file.tell()
+            yield page
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages sorted by (range, key): answer each one of the range with the pages next to it."""
-    done: list[tuple] = []
+    """Pages sorted by (range, key): answer each one of the range with the pages around it."""
 
-    def answer(page: _Page, before: _Page | None, after: _Page | None) -> None:
-        if not page.own:
-            return
-        other, shared = _compared(page, before, after)
-        text = " ".join(kept_lines(page.lines, set(shared)))
-        done.append((page.key[2], page.key[3], text, len(text), len(page.lines), len(shared), other.key[3] if other else None))
+    def rows() -> Iterator[tuple[int, _Page]]:
+        for batch in batches:
+            for part in pieces(batch, "blob"):
+                for r in part.to_pylist():
+                    yield r["area"], _Page(tuple(r[c] for c in _KEY), r["own"], r["blob"])
+
+    def answered(before: _Page | None, run: _Waiting, after: _Page | None) -> Iterator[tuple]:
+        """The pages of one path, between the last of the path before and the first of the path after."""
+        last = page = None  # the last page of another URL, and the last one
+        ahead = run.pages() if run.n > 1 else iter(())
+        following = next(ahead, None)
+        passed = 0  # pages up to ``following``
+        for i, new in enumerate(run.pages()):
+            if page is not None and page.key[2] != new.key[2]:
+                last = page
+            page = new
+            while following is not None and (passed <= i or following.key[2] == page.key[2]):
+                following, passed = next(ahead, None), passed + 1
+            if page.own:
+                other, shared, gone = _compared(page, [p for p in (before, last, following, after) if p is not None])
+                text = " ".join(kept_lines(page.lines, set(shared) if gone else set()))
+                yield page.key[3], page.key[4], text, len(text), len(page.lines), len(shared), other.key[4] if other else None
+        run.file.close()
+
+    def answers() -> Iterator[tuple]:
+        area = before = page = None
+        run = _Waiting()
+        for new_area, new in rows():
+            if page is not None and (area != new_area or page.key[:2] != new.key[:2]):
+                yield from answered(before, run, new if area == new_area else None)
+                before, run = page if area == new_area else None, _Waiting()
+            run.add(new)
+            area, page = new_area, new
+        if page is not None:
+            yield from answered(before, run, None)
+
+    done: list[tuple] = []
 
     def flush() -> pa.RecordBatch:
         cols = list(zip(*done, strict=True)) if done else [()] * 7
@@ -354,27 +446,70 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=_NAMES)
 
-    before = page = None
-    area = None
+    size = 0
+    for row in answers():
+        done.append(row)
+        size += row[3] + 100
+        if size > BLOCK:
+            yield flush()
+            size = 0
+    yield flush()
+
+
+def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one range of sorted keys: the first and last, and the first and last of another URL and of another path than these."""
+    first = last = None
+    second: list[tuple | None] = [None] * len(_LEVELS)
+    changed = second.copy()  # the last key before the present URL, and before the present path
     for batch in batches:
         for r in batch.to_pylist():
-            new = _Page((r["host"], r["path"], r["page_id"], r["url"]), r["own"], r["blob"])
-            if area != r["area"]:
-                if page is not None:
-                    answer(page, before, None)
-                area, before, page = r["area"], None, new
-                continue
-            answer(page, before, new)
-            before, page = page, new
-        yield flush()
-    if page is not None:
-        answer(page, before, None)
-    yield flush()
+            key = tuple(r[c] for c in _KEY)
+            if first is None:
+                first = key
+            else:
+                for i, n in enumerate(_LEVELS):
+                    if key[:n] != last[:n]:
+                        second[i], changed[i] = second[i] or key, last
+            last = key
+    if first is not None:
+        found = [None if k is None else dict(zip(_KEY, k, strict=True)) for k in (first, last, *second, *changed)]
+        kind = pa.struct([(c, pa.int64() if c == "page_id" else pa.string()) for c in _KEY])
+        yield pa.RecordBatch.from_arrays([pa.array([k], kind) for k in found], names=_BORDERS)
+
+
+def _wanted(borders: list[tuple]) -> dict[tuple, set[int]]:
+    """Ranges that need a page of another range, by its key. ``borders``: the keys _BORDERS of each range."""
+    out: dict[tuple, set[int]] = {}
+
+    def carry(order: Iterable[int], near: int, far: int, inner: int, n: int) -> None:
+        """On one side: the next page whose first ``n`` parts of the key differ from those at the end of a range."""
+        page = other = None  # the last page passed, and the last one that differs from it
+        for i in order:
+            b = borders[i]
+            if page is not None:
+                needed = page if page[:n] != b[near][:n] else other
+                if needed is not None and needed[0] == b[near][0]:
+                    out.setdefault(needed, set()).add(i)
+            if b[inner] is not None:
+                other = b[inner]
+            elif page is not None and page[:n] != b[far][:n]:
+                other = page
+            page = b[far]
+
+    every = range(len(borders))
+    for i, n in enumerate(_LEVELS):
+        carry(every, 0, 1, 2 + len(_LEVELS) + i, n)
+        carry(reversed(every), 1, 0, 2 + i, n)
+    return out
 
 
 _NAMES = ["page_id", "url", "text", "n_chars", "n_lines", "n_shared", "partner"]
 _RESULT = "page_id long, url string, text string, n_chars long, n_lines long, n_shared long, partner string"
 _NONE = -(1 << 63)
+_KEY = ["host", "path", "canonical", "page_id", "url"]
+#: Parts of the key that make a URL and a path, and the keys that are known of each range.
+_LEVELS = (3, 2)
+_BORDERS = ["first", "last", "second_url", "second_path", "changed_url", "changed_path"]
 
 
 def extract(pages: DataFrame, ranges: int = RANGES) -> DataFrame:
@@ -382,23 +517,27 @@ def extract(pages: DataFrame, ranges: int = RANGES) -> DataFrame:
     spark = pages.sparkSession
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     # Null ids and URLs get stand-ins in the key, so that keys compare alike everywhere.
+    no_host = F.when(url == "", F.concat(F.lit("#"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))).otherwise(url)
+    canonical = canonical_url(url)
     keyed = pages.select(
         F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"),
+        F.when(canonical.rlike("^[?]|^$"), no_host).otherwise(canonical).alias("canonical"),
         F.coalesce(F.col("page_id").cast("long"), F.lit(_NONE)).alias("page_id"), url.alias("url"),
         F.col("url").isNull().alias("no_url"), F.col("html").cast("string").alias("text"))
-    key = ["host", "path", "page_id", "url"]
+    key = _KEY
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) * ranges
-    whole = F.struct(*key)
-    borders = (
-        keyed.select(*key).repartitionByRange(n, *key).groupBy(F.spark_partition_id().alias("p"))
-        .agg(F.min(whole).alias("first"), F.max(whole).alias("last")).collect()  # a row a range
+    of_key = "struct<" + ",".join(f"{c}:{'long' if c == 'page_id' else 'string'}" for c in key) + ">"
+    found = (
+        keyed.select(*key).repartitionByRange(n, *key).sortWithinPartitions(*key)
+        .mapInArrow(_borders, ", ".join(f"{c} {of_key}" for c in _BORDERS)).collect()  # a row a range
     )
-    borders = sorted((tuple(r["first"]), tuple(r["last"])) for r in borders)
-    firsts, lasts = [b[0] for b in borders], [b[1] for b in borders]
+    borders = sorted((tuple(None if k is None else tuple(k) for k in r) for r in found), key=lambda b: b[0])
+    lasts, wanted = [b[1] for b in borders], _wanted(borders)
     names = ["area", "own", *key, "blob"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = set()  # of rows with one key, the ranges that lack them need one
         for batch in batches:
             for part in pieces(batch, "text"):
                 out = []
@@ -407,15 +546,14 @@ def extract(pages: DataFrame, ranges: int = RANGES) -> DataFrame:
                     blob = zlib.compress("\n".join(f"{role}{x}" for role, x in lines_of(r["text"] or "")).encode(), 6)
                     area = bisect.bisect_left(lasts, k)
                     out.append((area, True, *k, blob))
-                    if k == lasts[area] and area + 1 < len(lasts):
-                        out.append((area + 1, False, *k, blob))
-                    if k == firsts[area] and area:
-                        out.append((area - 1, False, *k, blob))
+                    if k in wanted and k not in sent:
+                        sent.add(k)
+                        out += ((other, False, *k, blob) for other in wanted[k])
                 cols = list(zip(*out, strict=True))
-                kinds = (pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
+                kinds = (pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
-    sent = keyed.mapInArrow(send, "area int, own boolean, host string, path string, page_id long, url string, blob binary")
+    sent = keyed.mapInArrow(send, "area int, own boolean, host string, path string, canonical string, page_id long, url string, blob binary")
     walked = sent.repartition(n, "area").sortWithinPartitions("area", *key, "own").mapInArrow(_walk, _RESULT)
     blank = F.col("page_id") == _NONE
     return walked.withColumn("page_id", F.when(~blank, F.col("page_id")))

@@ -397,6 +397,38 @@ def test_differencing_decides_unmarked_lines_beside_articles(spark):
         i: f"Main text of page {i} in a plain div Card {i} Common card" for i in range(4)}
 
 
+def test_partners_of_pages_of_one_path(spark):
+    menu = "".join(f"<div>Menu entry {i}</div>" for i in range(12))
+
+    def page(i):
+        return f"{menu}<div>Short article of its own, number {i}, with some words {i * i}</div><div>Foot</div>"
+
+    copy = f"{menu}<div>The same article under two addresses of one site</div><div>Foot</div>"
+    urls = {i: f"http://a.example/index.php?id={i // 3}" for i in range(30)}  # each captured three times
+    urls |= {i: "http://b.example/x" + "?utm_source=f" * (i % 2) for i in range(30, 60)} | {60: "http://b.example/y"} | {i: None for i in range(61, 70)}
+    rows_ = [(i, u, page(i)) for i, u in urls.items()] + [(i, f"http://c.example/{i}", copy) for i in (70, 71)]
+    pages = spark.createDataFrame(rows_, "page_id long, url string, html string")
+    got = html_diff.extract(pages).collect()
+    want = {i: f"Short article of its own, number {i}, with some words {i * i}" for i in urls}
+    full = " ".join([*(f"Menu entry {i}" for i in range(12)), "The same article under two addresses of one site Foot"])
+    assert {r["page_id"]: r["text"] for r in got} == want | {70: full, 71: full}
+    assert all(r["partner"] == "http://b.example/y" for r in got if 30 <= r["page_id"] < 60)
+    one = {tuple(r) for r in html_diff.extract(pages.repartition(5), ranges=1).collect()}
+    assert one == {tuple(r) for r in got} and len(one) == len(rows_)
+
+
+def test_long_runs_wait_in_a_file(monkeypatch):
+    import pyarrow as pa
+    import zlib
+
+    monkeypatch.setattr(html_diff, "WAITING_MB", 0)
+    blob = [zlib.compress(f"1Menu\n1Text of page {i}, in quite some words of its own".encode()) for i in range(40)]
+    cols = [[0] * 40, [True] * 40, ["h"] * 40, ["/p"] * 40, [f"h/p?{i // 4:02}" for i in range(40)], list(range(40)), [f"u{i}" for i in range(40)], blob]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["area", "own", *html_diff._KEY, "blob"])
+    out = [r for b in html_diff._walk(iter([batch])) for r in b.to_pylist()]
+    assert [r["text"] for r in out] == [f"Text of page {i}, in quite some words of its own" for i in range(40)]
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = {tuple(r) for r in html_diff.extract(pages).collect()}
