@@ -49,13 +49,21 @@ def _start(chars: str) -> str:
 
 _LOCAL = "A-Za-z0-9._%+-"
 
+#: Characters of a bank account number by country.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+#: An account number of its country's length, so that words after it and a next number are not taken in.
+_COUNTRY_IBAN = "|".join(rf"(?:{x.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, x in _IBAN_LENGTHS.items())
+
 #: The base kinds in their order, then further ones. Scores are the base confidence of each.
 KINDS = (
     Kind("email", _start(_LOCAL) + rf"[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", r"@[A-Za-z0-9-]", 0.9, r"(?i)\b(mail|email|e-mail|contact|write)\b"),
     Kind("ip", _start("0-9") + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", 0.6, r"(?i)\b(ip|host|server|address|login)\b"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9]){12,}+", r"[0-9][\x20-]?[0-9][\x20-]?[0-9][\x20-]?[0-9]", 0.7, r"(?i)\b(card|credit|visa|mastercard|amex|debit)\b"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7, r"(?i)\b(phone|tel|call|mobile|fax|cell)\b"),
-    Kind("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}\b", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", 0.8, r"(?i)\b(iban|account|bank|konto|compte)\b", False),
+    Kind("iban", rf"\b(?:{_COUNTRY_IBAN}|[A-Z]{{2}}[0-9]{{2}}(?:(?:\x20(?!(?:{_COUNTRY_IBAN})\b))?[A-Z0-9]){{11,30}})\b", r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", 0.8, r"(?i)\b(iban|account|bank|konto|compte)\b", False),
     Kind("national_phone", r"(?<![0-9+(.-])(?<!\+[0-9]{1,3}\x20)\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])", r"[0-9]{3}[\x20.-][0-9]{4}", 0.2, r"(?i)\b(phone|tel|call|mobile|fax|cell)\b", False),
     Kind("secret", r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{32,}+(?![A-Za-z0-9_+/=-])", r"[A-Za-z0-9_+/-]{32}", 0.2, r"(?i)\b(token|secret|password|passwd|api.?key|access.?key)\b", False),
 )

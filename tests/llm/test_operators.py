@@ -210,6 +210,19 @@ def test_personal_data_further_kinds(awkward):
     assert [x.split(":")[0] for x in found[14].split(",")] == ["iban", "national_phone", "secret"]
 
 
+def test_account_numbers_before_capital_words(spark):
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606"]
+    after = ["", " BIC COBADEFF", " 00 USD", " I paid", " X", " 12", ", B", " DE89 3704 0044 0532 0130 00", " AB12 " + ibans[0]]
+    docs = [(i, f"pay {x}{y}") for i, (x, y) in enumerate(itertools.product(ibans, after))]
+    docs += [(100, "pay AB12 DE89 3704 0044 0532 0130 00 X"), (101, "pay DE88 3704 0044 0532 0130 00 X"), (102, "DE89 3704 0044 0532 0130 000")]
+    got = dict(pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).select(
+        "doc_id", F.transform("spans_iban", lambda s: F.struct(s["start"], s["stop"]))).collect())
+    for i, (x, y) in enumerate(itertools.product(ibans, after)):
+        want = [(4, 4 + len(x))] + ([(len(docs[i][1]) - len(ibans[0]), len(docs[i][1]))] if y.endswith(ibans[0]) else [])
+        assert [tuple(s) for s in got[i]] == want, docs[i]
+    assert [tuple(s) for s in got[100]] == [(9, 36)] and not got[101] and not got[102]
+
+
 def test_quality_counts(docs):
     got = quality.judge(docs).select("doc_id", *quality.COUNTS, "base_failed").collect()
     same(got, [(d, *brute.quality(t)) for d, t in texts(docs)])
