@@ -165,24 +165,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_key, fingerprint (16 hex digits), component_id."""
+def _rooted(docs: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """near_duplicates with ``root``, the fingerprint that tells components apart whatever their ids."""
     found = staged(fingerprints(docs, shingle), "simhash-fingerprints")
     classes = staged(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
     tree = components(links(classes.select("fp"), max_bits))
     rooted = classes.join(tree, classes.fp == tree.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = rooted.join(named, "root").select("fp", "component_id")
+    label = rooted.join(named, "root").select("fp", "component_id", "root")
     return found.join(label, "fp").select(
-        "doc_id", "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, text_key, fingerprint (16 hex digits), component_id."""
+    return _rooted(docs, shingle, max_bits).drop("root")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of ``docs`` from each component: the one with the least doc_id (nulls last), then text key."""
-    marked = near_duplicates(docs, shingle, max_bits)
+    marked = _rooted(docs, shingle, max_bits)
     id_ = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    # Components of rows without any id are told apart by their fingerprint's text.
-    group = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
-    best = marked.groupBy("component_id", group.alias("g")).agg(F.min(id_).alias("k")).select(*identity(F.col("k.doc_id"), F.col("k.text_key"))).distinct()
+    best = marked.groupBy("root").agg(F.min(id_).alias("k")).select(*identity(F.col("k.doc_id"), F.col("k.text_key"))).distinct()
     kept = with_identity(docs).join(best, IDENTITY, "left_semi")
     return kept.dropDuplicates(IDENTITY).select(docs.columns)

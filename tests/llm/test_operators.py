@@ -173,6 +173,18 @@ def test_keep_one(awkward):
     assert len(left) == len(groups) and set(left) <= set(texts(awkward))
 
 
+def test_keep_one_by_component(spark):
+    other = " ".join(f"else{i * 7}" for i in range(90))
+    near = " ".join(f"word{i}" for i in range(4000))
+    copies = [near, near + " end", near.replace("word2000", "new")]
+    fps = [brute.fingerprint(x) for x in copies]
+    assert len(set(fps)) > 1 and len(set(brute.components([0, 1, 2], fps))) == 1
+    # Unrelated texts with one id both stay; near copies without an id are one.
+    docs = spark.createDataFrame([(1, PROSE), (1, other), *((None, x) for x in copies)], "doc_id long, text string")
+    left = texts(simhash.keep_one(docs))
+    assert len(left) == 3 and {(1, PROSE), (1, other)} < set(left) and any((None, x) in left for x in copies)
+
+
 def test_personal_data(docs):
     got = pii.span_digest(pii.personal_data(docs)).collect()
     want = {}
