@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import delete_path, shared_dir
@@ -48,6 +48,26 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+def placed(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
+    """``df`` with ``place`` (its position from 0 within ``group``, by ``order``) and ``members`` (rows of the group).
+
+    The rows are range-sorted and written, so a group of any size, and rows equal
+    in all of ``order`` too, lie over as many partitions as they need. What each
+    partition holds of a group is counted, and the counts before it are added.
+    ``group`` must not be null. ``df`` is read twice; give a staged table.
+    """
+    order = [group, *order, "_tie"]
+    run = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = staged(run.drop("_tie").withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)), name)
+    held = rows.groupBy(group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    one = Window.partitionBy(group)  # a row for each partition that holds some of the group
+    before = F.coalesce(F.sum("_n").over(one.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = held.select(group, "_part", (before - F.col("_first")).alias("_shift"), F.sum("_n").over(one).alias("members"))
+    out = rows.join(shift, [group, "_part"]).withColumn("place", F.col("_at") + F.col("_shift")).drop("_at", "_shift", "_part")
+    out._staged_at = rows._staged_at
+    return out
+
+
 #: Columns that ``with_identity`` adds.
 IDENTITY = ["_row_id", "_row_key"]
 
@@ -80,6 +100,36 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 * BLOCK) -> Iterat
         start = stop
 
 
+def group_starts(batch: pa.RecordBatch | pa.Table, keys: list[str]) -> np.ndarray:
+    """Row numbers at which a run of rows equal in ``keys`` (not null) starts."""
+    n = batch.num_rows
+    new = np.ones(n, bool)
+    if n > 1:
+        new[1:] = False
+        for k in keys:
+            column = batch.column(k)
+            new[1:] |= np.asarray(pc.not_equal(column.slice(1), column.slice(0, n - 1)))
+    return np.flatnonzero(new)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of ``batches`` anew, cut only where a run of rows equal in ``keys`` ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in keys):
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+        last = int(group_starts(batch, keys)[-1])
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)]).combine_chunks()
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end and the n + 1 offsets; null counts as empty."""
     arr = pc.fill_null(column.cast(pa.large_string()), "")

@@ -80,6 +80,14 @@ FROM d LEFT JOIN hw USING (rid) LEFT JOIN hi USING (rid)
 """
 
 
+def _crc_table() -> str:
+    """Remainder v8 of each byte b."""
+    table = "SELECT x AS b, x AS v0 FROM (SELECT unnest(range(256)) AS x)"
+    for n in range(8):
+        table = f"SELECT b, CASE WHEN v{n} % 2 = 1 THEN xor(v{n} // 2, 3988292384) ELSE v{n} // 2 END AS v{n + 1} FROM ({table})"
+    return table
+
+
 def _shards(k: int = 8) -> str:
     """The capacity by dynamic programming over group prefixes, then greedy cuts; CRC-32 byte by byte."""
     best = ["f1 AS (SELECT i, p AS v FROM t)"]
@@ -89,9 +97,7 @@ def _shards(k: int = 8) -> str:
     for n in range(1, k):
         cuts.append(f"c{n} AS (SELECT max(t.p) AS p FROM t, c{n - 1}, cap WHERE t.p <= c{n - 1}.p + cap.v)")
     number = " + ".join(f"CAST(g.p > (SELECT p FROM c{n}) AS INTEGER)" for n in range(1, k))
-    table = "SELECT x AS b, x AS v0 FROM (SELECT unnest(range(256)) AS x)"
-    for n in range(8):
-        table = f"SELECT b, CASE WHEN v{n} % 2 = 1 THEN xor(v{n} // 2, 3988292384) ELSE v{n} // 2 END AS v{n + 1} FROM ({table})"
+    table = _crc_table()
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(strlen(text), 0) + 1 AS size, coalesce(sha256(text), '') AS key, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -143,10 +149,62 @@ SELECT doc_id, size, source_size, target, CAST(t0 + t1 + t2 AS BIGINT) AS taken,
 FROM x
 """
 
+def _field(name: str) -> str:
+    text = f"CAST({name} AS VARCHAR)"
+    return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _manifest() -> str:
+    """Trees by recursion over levels, then each document's path by recursion over its siblings."""
+    leaf, head = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", "text"))), " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+    up = """
+  SELECT tree, 0 AS level, place, n, hash FROM {0}
+  UNION ALL
+  SELECT tree, level + 1, place // 3, (n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place)) FROM {1} WHERE n > 1 GROUP BY tree, level, place // 3, n"""
+    beside = """
+  SELECT tree, level, place, n,
+    coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(hash, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {0} WINDOW w AS (PARTITION BY tree, level, place // 3 ORDER BY place)"""
+    climb = """
+  SELECT rid, {2} AS tree, 0 AS level, {3} AS place, node, seen FROM {4}
+  UNION ALL
+  SELECT rid, f.tree, f.level + 1, f.place // 3, sha256(l || node || r), seen || l || r
+  FROM {0} f JOIN {1} s ON s.tree = f.tree AND s.level = f.level AND s.place = f.place WHERE s.n > 1"""
+    return f"""
+WITH RECURSIVE tab AS (SELECT list(v8 ORDER BY b) AS t FROM ({_crc_table()})),
+d AS (
+  SELECT row_number() OVER () AS rid, *, coalesce('=' || source, '') AS tree, sha256({leaf}) AS hash,
+    hex(encode(coalesce(CAST(doc_id AS VARCHAR), ''))) AS h FROM documents),
+c AS (
+  SELECT d.*, doc_id IS NOT NULL AND xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(h) // 2), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
+    lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), CAST(4294967295 AS BIGINT)) % 2 = 0 AS struck FROM d, tab),
+leaves AS (
+  SELECT rid, doc_id, tree, hash, CASE WHEN struck AND text IS NOT NULL THEN sha256({head} || strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), '')) ELSE hash END AS suspect,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, hash) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM c),
+nodes AS ({up.format("leaves", "nodes")}),
+tops AS (SELECT '' AS tree, tree AS source, hash, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM nodes WHERE n = 1),
+summit AS ({up.format("tops", "summit")}),
+beside AS ({beside.format("nodes")}),
+summit_beside AS ({beside.format("summit")}),
+starts AS (SELECT rid, tree, place, suspect AS node, '' AS seen FROM leaves),
+paths AS ({climb.format("paths", "beside", "tree", "place", "starts")}),
+ends AS (
+  SELECT rid, t.place, node, seen, t.hash AS subroot FROM paths p JOIN tops t ON t.source = p.tree
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level DESC) = 1),
+summit_paths AS ({climb.format("summit_paths", "summit_beside", "''", "place", "ends")}),
+folded AS (SELECT rid, node, seen FROM summit_paths QUALIFY row_number() OVER (PARTITION BY rid ORDER BY level DESC) = 1),
+top AS (SELECT hash AS root FROM summit WHERE n = 1)
+SELECT doc_id, hash AS leaf, subroot, root, sha256(f.seen) AS proof_sha256, f.node AS folded_root, f.node = root AS verified
+FROM leaves JOIN ends USING (rid) JOIN folded f USING (rid), top
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_revisits": _REVISITS,
     "op4_line_dedup": _LINES,
     "op5_minimax_shards": _shards(),
     "op6_winnowing": _WINDOWS,
     "op9_curriculum_mix": _MIX,
+    "op13_merkle_manifest": _manifest(),
 }

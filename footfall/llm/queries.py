@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_diff, line_dedup, mixing, pii, quality, revisits, sharding, simhash, tokens, winnow
+from . import html_diff, line_dedup, manifest, mixing, pii, quality, revisits, sharding, simhash, tokens, winnow
 from .common import table
 from .oracles import ORACLE_SQL
 
@@ -78,3 +78,13 @@ def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    struck = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.col("text").contains("\n")
+    tampered = manifest.digest_of(docs, text=F.when(struck, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text")))
+    tree = manifest.build(docs.withColumn("suspect", tampered), carry=("doc_id", "suspect"))
+    checked = manifest.verify(manifest.proofs(tree), F.col("suspect"))
+    return checked.select("doc_id", "leaf", "subroot", "root", manifest.siblings_digest().alias("proof_sha256"), "folded_root", "verified")
