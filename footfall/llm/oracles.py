@@ -149,6 +149,31 @@ SELECT doc_id, size, source_size, target, CAST(t0 + t1 + t2 AS BIGINT) AS taken,
 FROM x
 """
 
+_PHRASES = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_FOLD.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND f >= 100),
+held AS (
+  SELECT DISTINCT s.lang, s.g FROM c s JOIN c x ON x.lang = s.lang AND x.k > s.k AND contains(' ' || x.g || ' ', ' ' || s.g || ' ') AND 100 * x.a >= 100 * s.a),
+cut AS (
+  SELECT lang, g, a, j, array_to_string(w[1:j], ' ') AS x, array_to_string(w[j + 1:], ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c ANTI JOIN held USING (lang, g))),
+s AS (
+  SELECT cut.*, l.f AS l, r.f AS r, t.n, (1000::HUGEINT * a * t.n) // (l.f::HUGEINT * r.f) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.g = x JOIN f r ON r.lang = cut.lang AND r.g = y JOIN t ON t.lang = cut.lang
+  QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.g ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM s QUALIFY rank <= 2000
+"""
+
+
 def _field(name: str) -> str:
     text = f"CAST({name} AS VARCHAR)"
     return f"CASE WHEN {name} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
@@ -206,5 +231,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_minimax_shards": _shards(),
     "op6_winnowing": _WINDOWS,
     "op9_curriculum_mix": _MIX,
+    "op11_collocations": _PHRASES,
     "op13_merkle_manifest": _manifest(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_diff, line_dedup, manifest, mixing, pii, quality, revisits, secrets, sharding, simhash, tokens, winnow
+from . import html_diff, line_dedup, manifest, mixing, phrases, pii, quality, revisits, secrets, sharding, simhash, tokens, winnow
 from .common import table
 from .oracles import ORACLE_SQL
 
@@ -80,6 +80,11 @@ def op10_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_nested_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
