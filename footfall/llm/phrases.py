@@ -14,9 +14,10 @@ both (n - 1)-grams in it are. A fixed bitmap over the frequent (n - 1)-grams
 drops most others before they are counted. It only saves work: what it lets
 through by chance is counted exactly and found rare.
 
-Sizes. Words meet their ids by a join on (language, word) with one row a block
-of text and word, not one a word; the at most ``HEAD`` words that can hold over
-1 / ``HEAD`` of all words are sent along instead, so no key of the join is hot.
+Sizes. The words that each hold over 1 / ``HEAD`` of all words (fewer than
+``HEAD``, whatever the data's size) are sent to the tasks with their ids. All
+others meet their ids by a join on (language, word) with one row a block of
+text and word, in which no key is hot.
 The quotient ranges follow the number of words, so a merge stays small. The
 permutation leaves no hot range, and a repeated n-gram is one counter.
 
@@ -45,8 +46,10 @@ from .common import FOLD, byte_class, group_starts, mix, placed, release, staged
 
 #: Contract values: longest phrase, least frequency, phrases of a language.
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Words that may each hold over 1 / HEAD of all words; bytes of text in a block; words for each range of quotients.
-HEAD, BLOCK, RANGE = 4096, 1 << 20, 1 << 21
+#: At most HEAD words of HEAD_BYTES each, those that hold over 1 / HEAD of all words, are sent to the tasks.
+HEAD, HEAD_BYTES = 1 << 20, 64
+#: Bytes of text in a block; words for each range of quotients.
+BLOCK, RANGE = 1 << 20, 1 << 21
 #: The bitmap over frequent grams has 2 to this many bits (8 MB).
 MAP_BITS = 26
 #: Entries that a task gathers before it hands filters on.
@@ -275,26 +278,24 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def _index(batches: Iterator[pa.RecordBatch], head: dict[str, dict[str, int]], maybe: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Per block and word, its places; a first row has the places and ids of all words of the head."""
+    """Per block a row of codes (one more than the id of each word of the head, by place; zero elsewhere), and a row of places for each other word."""
     task = TaskContext.get().partitionId() << 32
     for number, (lang, words, which, at) in enumerate(_blocks(batches)):
         texts, known = words.to_pylist(), head.get(lang, {})
         ids = np.array([known.get(w, -1) for w in texts], np.int32)
-        of_head = ids[which] >= 0
         keep = (ids < 0) & _may_hold(maybe, [_text_hashes([lang] * len(texts), texts)])
         by_word = np.argsort(np.where(keep, np.arange(len(texts)), len(texts))[which], kind="stable")
         sizes = np.bincount(which, minlength=len(texts))[keep]
-        first, n = int(of_head.sum()), len(sizes)
-        offsets = np.concatenate(([0], first + np.concatenate(([0], np.cumsum(sizes))))).astype(np.int32)
-        places = np.concatenate((at[of_head], at[by_word][: int(sizes.sum())])).astype(np.int32)
-        id_offsets = np.full(n + 2, first, np.int32)
-        id_offsets[0] = 0
+        codes = np.zeros(int(at[-1]) + 2, np.int32)
+        codes[at] = ids[which] + 1
+        n = len(sizes)
+        offsets = np.concatenate(([0, 0], np.cumsum(sizes))).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(1 + n, task | number)), pa.array([lang] * (1 + n), pa.string()),
              pa.concat_arrays([pa.nulls(1, pa.string()), words.cast(pa.string()).filter(pa.array(keep))]),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(places)),
-             pa.ListArray.from_arrays(pa.array(id_offsets), pa.array(ids[which][of_head]))],
-            names=["block", "lang", "word", "at", "ids"])
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(at[by_word][: int(sizes.sum())].astype(np.int32))),
+             pa.array([codes.tobytes(), *[None] * n], pa.binary())],
+            names=["block", "lang", "word", "at", "codes"])
 
 
 def _text_hashes(langs: list[str], texts: list[str]) -> np.ndarray:
@@ -332,22 +333,17 @@ def _bitmap(rows: DataFrame, hashed) -> np.ndarray:
 # ------------------------------------------------------------- encoded blocks
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of each block in order, one more than the id; zero where a piece or a run of frequent words ends."""
+    """The codes of each block, with the ids of its other words at their places."""
     for table in whole_groups(batches, ["block"]):
-        at, ids, one = table.column("at").combine_chunks(), table.column("ids").combine_chunks(), table.column("id").to_numpy()
-        sizes = pc.list_value_length(at).to_numpy(zero_copy_only=False).astype(np.int64)
-        places, n_ids = at.flatten().to_numpy(), pc.list_value_length(ids).to_numpy(zero_copy_only=False)
-        values = np.repeat(one, sizes)
-        values[np.repeat(n_ids > 0, sizes)] = ids.flatten().to_numpy()
-        starts = group_starts(table, ["block"])
-        ends = np.append(np.cumsum(sizes), 0)
+        at, known = table.column("at").combine_chunks(), table.column("codes").combine_chunks()
+        ends, places = np.cumsum(np.append(0, np.asarray(pc.list_value_length(at)).astype(np.int64))), np.asarray(at.flatten())
+        values = np.repeat(np.asarray(table.column("id")) + 1, np.diff(ends))
+        starts, first = group_starts(table, ["block"]), np.flatnonzero(np.asarray(known.is_valid()))
         out = []
-        for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True):
-            x, y = (int(ends[a - 1]) if a else 0), int(ends[b - 1])
-            if y > x:
-                codes = np.zeros(int(places[x:y].max()) + 2, np.int32)
-                codes[places[x:y]] = values[x:y] + 1
-                out.append(codes.tobytes())
+        for a, b, row in zip(starts, [*starts[1:], table.num_rows], first, strict=True):
+            codes = np.frombuffer(known[int(row)].as_buffer(), np.int32).copy()
+            codes[places[ends[a]: ends[b]]] = values[ends[a]: ends[b]]
+            out.append(codes.tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["codes"])
 
 
@@ -355,21 +351,19 @@ def encode(docs: DataFrame, words: DataFrame, total: int) -> DataFrame:
     """Staged blocks of ids (``codes``), from ``words`` (lang, word, f, id)."""
     sc = docs.sparkSession.sparkContext
     head: dict[str, dict[str, int]] = {}
-    top = words.filter(F.col("f") * HEAD > total)  # fewer than HEAD rows
-    for r in top.select("lang", "word", "id").collect():
+    often = (F.col("f") * HEAD > total) & (F.octet_length("word") <= HEAD_BYTES)
+    for r in words.filter(often).select("lang", "word", "id").collect():  # fewer than HEAD short words
         head.setdefault(r["lang"], {})[r["word"]] = r["id"]
-    rest = words.filter(F.col("f") * HEAD <= total).select("lang", "word", F.col("id").cast("int"))
+    rest = words.filter(~often).select("lang", "word", F.col("id").cast("int"))
 
     def hashed(batch: pa.RecordBatch) -> list[np.ndarray]:
         return [_text_hashes(batch.column("lang").to_pylist(), batch.column("word").to_pylist())]
 
     maybe, head_ = sc.broadcast(_bitmap(rest.select("lang", "word"), hashed)), sc.broadcast(head)
-    indexed = _texts(docs).mapInArrow(
-        lambda batches: _index(batches, head_.value, maybe.value), "block long, lang string, word string, at array<int>, ids array<int>")
-    none = F.array().cast("array<int>")
-    indexed = staged(indexed, "phrases-index")
-    joined = indexed.filter(F.col("word").isNotNull()).join(rest, ["lang", "word"]).select("block", "at", none.alias("ids"), "id")
-    every = joined.unionByName(indexed.filter(F.col("word").isNull()).select("block", "at", "ids", F.lit(0).alias("id")))
+    indexed = staged(_texts(docs).mapInArrow(
+        lambda batches: _index(batches, head_.value, maybe.value), "block long, lang string, word string, at array<int>, codes binary"), "phrases-index")
+    joined = indexed.filter(F.col("word").isNotNull()).join(rest, ["lang", "word"]).select("block", "at", "codes", "id")
+    every = joined.unionByName(indexed.filter(F.col("word").isNull()).select("block", "at", "codes", F.lit(0).alias("id")))
     blocks = every.repartition("block").sortWithinPartitions("block").mapInArrow(_assemble, "codes binary")
     out = staged(blocks, "phrases-codes")
     release(indexed)

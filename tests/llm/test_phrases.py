@@ -56,7 +56,7 @@ AWKWARD = [("en", None), (None, ""), (None, None), ("en", " \t\n.,;"), ("en", "n
 
 @pytest.mark.parametrize("least, top", [(2, 2000), (5, 7)])
 def test_awkward_rows(spark, monkeypatch, least, top):
-    monkeypatch.setattr(phrases, "HEAD", 12)  # some words are sent along, others joined
+    monkeypatch.setattr(phrases, "HEAD", 12)  # few words are sent along, others joined
     docs = AWKWARD * 2 + texts(random.Random(least), 150)
     df = spark.createDataFrame([(*r, "w", 1, 2, "g") for r in docs], "lang string, text string, word string, id int, f int, gram string").repartition(5)
     got = [tuple(r) for r in phrases.collocations(df, least=least, top=top).collect()]
