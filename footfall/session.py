@@ -60,6 +60,49 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/footfall/{name}-{uuid.uuid4().hex[:12]}"
 
 
+class HadoopPath:
+    """A path with the Hadoop file system it is in."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self._gateway = spark.sparkContext._gateway
+        self.path = self._jvm.org.apache.hadoop.fs.Path(path)
+        self.fs = self.path.getFileSystem(self._conf)
+
+    def read(self) -> str:
+        stream = self.fs.open(self.path)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, text: str) -> None:
+        """A new file; the folders above it are made."""
+        stream = self.fs.create(self.path, False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def rename_if_free(self, target: str) -> bool:
+        """Rename in one step, unless ``target`` exists."""
+        fs = self._jvm.org.apache.hadoop.fs
+        rename = getattr(fs, "Options$Rename")
+        options = self._gateway.new_array(rename, 1)
+        options[0] = rename.valueOf("NONE")
+        there = self.fs.makeQualified(fs.Path(target))
+        try:
+            fs.FileContext.getFileContext(there.toUri(), self._conf).rename(self.fs.makeQualified(self.path), there, options)
+        except Exception as e:
+            if "FileAlreadyExists" in str(e):
+                return False
+            raise
+        return True
+
+
+def hadoop_path(spark: SparkSession, path: str) -> HadoopPath:
+    return HadoopPath(spark, path)
+
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of staged rows through the Hadoop file system it is in."""

@@ -1,29 +1,30 @@
 """Running totals and incrementally maintained rankings over a count stream.
 
-Per micro-batch (``foreachBatch``):
+Both tables are versioned (``versioned.VersionedTable``): a batch becomes
+visible by one commit record and not before, so a crash at any point leaves the
+old totals or the new ones. Per micro-batch (``foreachBatch``):
 
 1. ``delta``: the batch summed per (period, sensor) — partial aggregation,
    so a hot sensor collapses map-side.
-2. Merge: the totals table is read only in the period partitions the batch
-   touches; partitions that already carry this batch of this writer (a re-run
-   after a failure) are skipped; ``current + delta`` is re-summed per key.
-   The stamp names the writer (the checkpoint) beside the batch id, so a new
-   checkpoint over an old table starts its own count. One writer at a time.
-3. The merged partitions are staged under the checkpoint folder, then
-   swapped in with dynamic partition overwrite (only touched partitions are
-   rewritten).
-4. Top-n of the touched periods is ranked from the totals table as it then
-   stands, so a crash between the two writes is made good by the re-run. A
-   ``row_number`` on the stream itself is rejected by Spark, hence ranking
-   inside the batch.
-5. The staged rows are deleted.
-
-Every key may be null and is compared null-safe.
+2. If a record of the totals table already names this batch of this writer (a
+   re-run after a failure), nothing is merged again. The writer is the
+   checkpoint, so a new checkpoint over an old table starts its own count.
+3. Otherwise ``current + delta`` is re-summed per key, where ``current`` is
+   read in the touched periods only, straight from the files that the record
+   names; the sums are written to new files and published.
+4. Top-n of the touched periods is ranked from the totals as published and
+   published in turn, unless its record names the batch too. A ``row_number``
+   on the stream itself is rejected by Spark, hence ranking inside the batch.
+
+Two writers may share a table: the slower one finds its version taken and
+merges again on top of the other's. Every key may be null and is compared
+null-safe.
 
 No state store is involved, so nothing grows with the number of keys ever
 seen: the totals table is the state, and each batch costs in proportion to
 the periods it touches. Late rows are simply merged into their period (the
-reference keeps late data too).
+reference keeps late data too). Files of replaced versions stay for readers
+of ``KEEP`` versions and are deleted after.
 """
 
 from __future__ import annotations
@@ -36,26 +37,28 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from ..operators.rank import MEASURE, PERIOD_KEYS, period_keys, top_n
 from ..schemas import COUNTS_SCHEMA
 from ..session import delete_path
-from .ingest import ensure_table, null_safe, read_touched, stage, trigger_args
+from .ingest import stage, trigger_args
+from .versioned import Conflict, VersionedTable
 
 KEY = "sensor_id"
-BATCH = "applied_batch"
-WRITER = "applied_by"
+#: Versions whose files stay for readers that began with them; how often older ones are deleted.
+KEEP, VACUUM_EVERY = 16, 32
 
 
 def totals_schema(period: str = "day") -> StructType:
     types = {f.name: f.dataType for f in COUNTS_SCHEMA.fields}
-    keys = period_keys(period)
-    return StructType([StructField(k, types[k], True) for k in keys] + [
+    return StructType([StructField(k, types[k], True) for k in period_keys(period)] + [
         StructField(KEY, StringType(), True),
         StructField(MEASURE, LongType(), True),
-        StructField(BATCH, LongType(), True),
-        StructField(WRITER, StringType(), True),
     ])
 
 
-def top_schema(period: str = "day") -> StructType:
-    return StructType([f for f in totals_schema(period).fields if f.name not in (BATCH, WRITER)])
+#: A ranking has the columns of the totals.
+top_schema = totals_schema
+
+
+def totals_table(spark: SparkSession, path: str, period: str = "day") -> VersionedTable:
+    return VersionedTable(spark, path, totals_schema(period), period_keys(period))
 
 
 def period_delta(counts: DataFrame, period: str = "day") -> DataFrame:
@@ -65,18 +68,40 @@ def period_delta(counts: DataFrame, period: str = "day") -> DataFrame:
 
 
 def read_totals(spark: SparkSession, totals_path: str, period: str = "day") -> DataFrame:
-    keys = period_keys(period)
-    return spark.read.schema(totals_schema(period)).parquet(totals_path).select(*keys, KEY, MEASURE)
+    """The totals as last published (empty before the first batch)."""
+    return totals_table(spark, totals_path, period).read()
 
 
 def read_top_n(spark: SparkSession, top_path: str, period: str = "day") -> DataFrame:
-    keys = period_keys(period)
-    return spark.read.schema(top_schema(period)).parquet(top_path).select(*keys, KEY, MEASURE)
-
-
-def _overwrite_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
-    (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys).parquet(path))
+    return totals_table(spark, top_path, period).read()
+
+
+def _merge(table: VersionedTable, delta: DataFrame, touched: list[tuple], writer: str, batch_id: int) -> None:
+    """Publish the totals of the touched periods with ``delta`` added, unless this batch is published."""
+    while True:
+        state = table.state()
+        if state.published(writer, batch_id):
+            return
+        current = table.read(state, touched)
+        merged = current.unionByName(delta).groupBy(*table.keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
+        try:
+            table.replace(merged, state, writer, batch_id, touched)
+            return
+        except Conflict:
+            continue
+
+
+def _rank(totals: VersionedTable, top: VersionedTable, touched: list[tuple], writer: str, batch_id: int, n: int) -> None:
+    """Publish the ranking of the touched periods as the totals now stand, unless this batch's is published."""
+    while True:
+        state = top.state()
+        if state.published(writer, batch_id):
+            return
+        try:
+            top.replace(top_n(totals.read(only=touched), totals.keys, n), state, writer, batch_id, touched)
+            return
+        except Conflict:
+            continue
 
 
 def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root: str,
@@ -87,26 +112,20 @@ def merge_batch(counts: DataFrame, batch_id: int, totals_path: str, staging_root
     ``writer`` names the sequence that ``batch_id`` counts in (default: ``staging_root``).
     """
     spark = counts.sparkSession
-    keys = period_keys(period)
     writer = writer or staging_root
     root = f"{staging_root.rstrip('/')}/batch={batch_id}"
     delta = stage(period_delta(counts, period), f"{root}/delta")
-    touched = [tuple(r) for r in delta.select(*keys).distinct().collect()]
+    # The periods of one batch: a line a day, as the commit record has.
+    touched = [tuple(r) for r in delta.select(*period_keys(period)).distinct().collect()]
     if touched:
-        schema = totals_schema(period)
-        current = read_touched(spark, totals_path, schema, keys, touched)
-        # At most one row per touched partition (a list already on the driver),
-        # so broadcasting it is bounded.
-        done = F.broadcast(current.filter((F.col(WRITER) == writer) & (F.col(BATCH) >= batch_id)).select(*keys).distinct())
-        merged = (null_safe(current.select(*keys, KEY, MEASURE).unionByName(delta.select(*keys, KEY, MEASURE)), done, keys, "left_anti")
-                  .groupBy(*keys, KEY).agg(F.sum(MEASURE).alias(MEASURE))
-                  .withColumns({BATCH: F.lit(batch_id).cast("long"), WRITER: F.lit(writer)}))
-        # Stage first: a job may not overwrite the partitions it is reading.
-        staged = stage(merged, f"{root}/merged").select(*[f.name for f in schema.fields])
-        _overwrite_partitions(staged, totals_path, keys)
+        tables = [totals_table(spark, totals_path, period)]
+        _merge(tables[0], delta, touched, writer, batch_id)
         if top_path is not None:
-            now = read_touched(spark, totals_path, schema, keys, touched)
-            _overwrite_partitions(top_n(now.drop(BATCH, WRITER), keys, n), top_path, keys)
+            tables.append(totals_table(spark, top_path, period))
+            _rank(*tables, touched, writer, batch_id, n)
+        if batch_id % VACUUM_EVERY == VACUUM_EVERY - 1:
+            for t in tables:
+                t.vacuum(KEEP)
     delete_path(spark, root)
 
 
@@ -114,13 +133,9 @@ def maintain_totals_and_top_n(counts: DataFrame, totals_path: str, checkpoint: s
                               top_path: str | None = None, period: str = "day", n: int = 10,
                               trigger: str | None = "availableNow") -> StreamingQuery:
     """Start the streaming query that keeps totals (and top-n) per period."""
-    spark = counts.sparkSession
     if period not in PERIOD_KEYS:
         raise ValueError(f"unknown period {period!r}")
     keys = period_keys(period)
-    ensure_table(spark, totals_path, totals_schema(period), keys)
-    if top_path is not None:
-        ensure_table(spark, top_path, top_schema(period), keys)
     staging = f"{checkpoint.rstrip('/')}/staging"
     return (counts.select(*keys, KEY, MEASURE).writeStream
             .option("checkpointLocation", checkpoint)

@@ -1,0 +1,159 @@
+"""Crash-safe publishing of totals: a writer killed at any step leaves the old totals or the new ones."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import pytest
+
+from footfall.streaming import totals as tot
+from footfall.streaming.versioned import SNAPSHOT_EVERY, Conflict, VersionedTable
+
+DAY = "year int, month string, mdate int, sensor_id string, hourly_counts bigint"
+
+
+class Killed(Exception):
+    pass
+
+
+def day(spark, *rows):
+    return spark.createDataFrame(list(rows), DAY)
+
+
+def total(spark, path):
+    return sorted(((r.mdate, r.sensor_id, r.hourly_counts) for r in tot.read_totals(spark, path).collect()), key=str)
+
+
+def merge(spark, tmp_path, batch, *rows, top=True):
+    tot.merge_batch(day(spark, *rows), batch, str(tmp_path / "totals"), str(tmp_path / "stage"), str(tmp_path / "top") if top else None, writer="w")
+
+
+STEPS = ("before data", "after data", "before record", "torn draft", "before rename", "after rename", "before ranking", "before ranking record")
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_killed_at_any_step(spark, tmp_path, monkeypatch, step):
+    merge(spark, tmp_path, 0, (2020, "05", 1, "s", 5), (2020, "05", 2, "s", 1))
+    calls = {"n": 0}
+
+    def dies(obj, name, after=False, nth=1):
+        plain = getattr(obj, name)
+
+        def run(*a, **k):
+            calls["n"] += 1
+            if calls["n"] == nth:
+                if after:
+                    plain(*a, **k)
+                raise Killed(step)
+            return plain(*a, **k)
+
+        monkeypatch.setattr(obj, name, run)
+
+    from footfall.session import HadoopPath
+
+    if step == "torn draft":  # the draft of the record is half written
+        plain = HadoopPath.write
+        monkeypatch.setattr(HadoopPath, "write", lambda self, text: (plain(self, text[: len(text) // 2]), (_ for _ in ()).throw(Killed()))[0])
+    else:
+        dies(*{
+            "before data": (VersionedTable, "_write"), "after data": (VersionedTable, "_write", True),
+            "before record": (VersionedTable, "_publish"), "before rename": (HadoopPath, "rename_if_free"),
+            "after rename": (HadoopPath, "rename_if_free", True), "before ranking": (tot, "_rank"),
+            "before ranking record": (VersionedTable, "_publish", False, 2)}[step])
+    with pytest.raises(Killed):
+        merge(spark, tmp_path, 1, (2020, "05", 1, "s", 7))
+    monkeypatch.undo()
+    old, new = [(1, "s", 5), (2, "s", 1)], [(1, "s", 12), (2, "s", 1)]
+    done = step in ("after rename", "before ranking", "before ranking record")
+    path = str(tmp_path / "totals")
+    assert total(spark, path) == (new if done else old)  # never neither
+    for _ in range(2):  # the re-run, and one more
+        merge(spark, tmp_path, 1, (2020, "05", 1, "s", 7))
+        assert total(spark, path) == new
+        assert sorted(r.hourly_counts for r in tot.read_top_n(spark, str(tmp_path / "top")).collect()) == [1, 12]
+    merge(spark, tmp_path, 2, (2020, "05", 1, "s", 1))
+    assert total(spark, path) == [(1, "s", 13), (2, "s", 1)]
+
+
+def test_killed_process_loses_nothing(tmp_path):
+    """The same with a process that really ends, in the middle of publishing."""
+    import subprocess
+    import sys
+
+    code = """
+import os, sys
+from footfall.session import HadoopPath, local_session
+from footfall.streaming import totals as tot
+spark = local_session(1)
+df = lambda n: spark.createDataFrame([(2020, "05", 1, "s", n)], "year int, month string, mdate int, sensor_id string, hourly_counts bigint")
+at = sys.argv[1]
+if sys.argv[2] == "first":
+    tot.merge_batch(df(5), 0, at + "/totals", at + "/stage", writer="w")
+    HadoopPath.rename_if_free = lambda *a: os._exit(9)
+tot.merge_batch(df(7), 1, at + "/totals", at + "/stage", writer="w")
+print([r.hourly_counts for r in tot.read_totals(spark, at + "/totals").collect()])
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {"PYTHONPATH": root}
+
+    def run(step):
+        return subprocess.run([sys.executable, "-c", code, str(tmp_path), step], capture_output=True, text=True, timeout=180, env=env)
+
+    assert run("first").returncode == 9
+    again = run("again")
+    assert again.stdout.strip().endswith("[12]"), again.stderr[-500:]
+
+
+def test_two_writers_of_one_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "totals")
+    merge(spark, tmp_path, 0, (2020, "05", 1, "s", 5), top=False)
+    plain, raced = VersionedTable._write, []
+
+    def other_first(self, rows, where):
+        plain(self, rows, where)
+        if not raced:  # while this one writes, the other publishes
+            raced.append(1)
+            tot.merge_batch(day(spark, (2020, "05", 1, "s", 100)), 0, path, str(tmp_path / "other"), writer="other")
+
+    monkeypatch.setattr(VersionedTable, "_write", other_first)
+    merge(spark, tmp_path, 1, (2020, "05", 1, "s", 7), top=False)
+    assert total(spark, path) == [(1, "s", 112)]
+    table = tot.totals_table(spark, path)
+    state = table.state()
+    assert state.version == 3 and state.writers == {"w": 1, "other": 0}
+    with pytest.raises(Conflict):
+        table.replace(day(spark, (2020, "05", 1, "s", 0)), table.state(1), "late", 0, [(2020, "05", 1)])
+    assert total(spark, path) == [(1, "s", 112)]
+
+
+def test_only_touched_partitions_are_read(spark, tmp_path):
+    for i in range(4):
+        merge(spark, tmp_path, i, (2020, "05", i, "s", i), top=False)
+    table = tot.totals_table(spark, str(tmp_path / "totals"))
+    files = table.read(only=[(2020, "05", 2), (2020, "05", 9)]).inputFiles()
+    assert len(files) == 1 and "mdate=2" in files[0]
+    assert table.read(only=[(1999, "01", 1)]).count() == 0
+
+
+def test_snapshots_old_versions_and_vacuum(spark, tmp_path):
+    n, path = SNAPSHOT_EVERY + 3, str(tmp_path / "t")
+    table = VersionedTable(spark, path, tot.totals_schema(), ["year", "month", "mdate"])
+    state = table.state()
+    for i in range(n):
+        state = table.replace(day(spark, (2020, "05", i % 3, "s", i)), state, "w", i, [(2020, "05", i % 3)])
+    want = sorted(r.hourly_counts for r in table.read().collect())
+    assert want == [n - 3, n - 2, n - 1] and table.state() == state
+    assert [r.hourly_counts for r in table.read(table.state(1)).collect()] == [0]  # as of a version
+    opened = []
+    table._record = lambda v, plain=table._record: (opened.append(v), plain(v))[1]
+    assert table.state().version == n and len(opened) == n - SNAPSHOT_EVERY + 1
+    stray = f"{path}/data/commit=stray"
+    day(spark, (2020, "05", 1, "s", -1)).write.partitionBy("year", "month", "mdate").parquet(stray)
+    assert table.vacuum(keep=2) > 0 and os.path.exists(stray)  # perhaps a writer at work
+    table.vacuum(keep=2, grace_hours=-1)
+    assert not os.path.exists(stray)
+    assert sorted(r.hourly_counts for r in table.read().collect()) == want
+    assert sorted(r.hourly_counts for r in table.read(table.state(n - 1)).collect()) == [n - 4, n - 3, n - 2]
+    assert len(glob.glob(f"{path}/data/commit=*")) == 4
+    assert table.state() == state
