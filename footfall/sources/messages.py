@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.messages import decode_page, page_records, provenance_key, strict_page
+from ..functions.messages import decode_page, page_rows, provenance_key, strict_page
 from ..schemas import DEFAULT_TOPIC
 from .counts import normalize_counts
 
@@ -54,8 +54,7 @@ def decode_pages(messages: DataFrame, normalize: bool = True, malformed: str = "
         raise ValueError("malformed must be 'raise' or 'reject'")
     prov = [c for c in PROVENANCE if c in messages.columns]
     page = strict_page("value") if malformed == "raise" else decode_page("value")
-    decoded = messages.select(*prov, page.alias("_page"))
-    records = decoded.select(*prov, page_records("_page"))
+    records = page_rows(messages, page, *prov)
     if normalize:
         records = normalize_counts(records, keep=prov)
     if len(prov) == 3:

@@ -129,3 +129,24 @@ def test_hot_keys_give_exact_results(spark):
     deduped = dedup_records(base.withColumnRenamed("id", "x").withColumnRenamed("rid", "id"))
     assert deduped.count() == n - n // 3 + 1
 
+
+
+def test_pages_are_made_without_a_shuffle(spark):
+    from footfall.sinks.messages import encode_pages
+
+    records = spark.range(0, 2500, 1, 3).select(F.col("id").cast("string").alias("id"), F.lit("s").alias("sensor_id"))
+    pages = encode_pages(records, page_size=100)
+    assert "Exchange" not in pages._jdf.queryExecution().executedPlan().toString()
+    once = sorted(tuple(r) for r in pages.collect())
+    assert once == sorted(tuple(r) for r in pages.collect())  # a task that runs again makes the same pages
+    assert len({r[0] for r in once}) == len(once) == 27 and max(r[1].count(b"{") for r in once) == 100
+
+
+def test_page_keys_survive_another_order_in_the_partition(spark):
+    from footfall.sinks.messages import encode_pages
+
+    rows = [(str(i), str(i % 7)) for i in range(500)]
+    a = spark.createDataFrame(rows, "id string, sensor_id string").coalesce(1)
+    b = spark.createDataFrame(rows[::-1], "id string, sensor_id string").coalesce(1)
+    pages = [sorted(tuple(r) for r in encode_pages(x, page_size=64).collect()) for x in (a, b)]
+    assert pages[0] == pages[1]

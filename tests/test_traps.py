@@ -176,12 +176,13 @@ def test_quoted_and_bare_numbers_json(spark, tmp_path):
     assert rows["2"].hourly_counts == 41 and rows["2"].year == 2021 and rows["2"].month is None
 
 
-def test_two_arrays_in_one_file_reads_only_first(spark, tmp_path):
-    # T16: documented reader behaviour; the landing sink never writes this.
+def test_two_arrays_in_one_file_are_rejected(spark, tmp_path):
+    # T16: a multi-line reader would keep the first and lose the second silently.
     page = [{"id": "1"}, {"id": "2"}]
     p = tmp_path / "two.json"
     p.write_text(json.dumps(page) + json.dumps(page))
-    assert read_counts_json(spark, str(p)).count() == 2
+    with pytest.raises(Exception, match="malformed record in .*two.json"):
+        read_counts_json(spark, str(p)).count()
     # One page per line (the landing layout) reads every record.
     q = tmp_path / "lines.json"
     q.write_text(json.dumps(page) + "\n" + json.dumps([{"id": "3"}]) + "\n")
