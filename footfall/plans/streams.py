@@ -73,6 +73,15 @@ def stream_restart_replay(spark, sf_dir):
     return _records(spark.read.schema(LANDED_SCHEMA).parquet(landing))
 
 
+@query("stream_ingest_ledger", EVENT_RECORDS_SQL)
+def stream_ingest_ledger(spark, sf_dir):
+    """Ingest with the key ledger as memory, every message delivered twice in other micro-batches."""
+    inbox, landing = build_inbox(spark, sf_dir), shared_dir(spark, "landing")
+    q = ing.ingest(ing.read_message_files(spark, inbox, max_files_per_trigger=4), landing, shared_dir(spark, "ingest-ckpt"), mode="ledger", buckets=8)
+    q.awaitTermination()
+    return _records(spark.read.schema(LANDED_SCHEMA).parquet(landing))
+
+
 DAY_EVENT_TOTALS = f"""
 WITH e AS ({S.EVENT_RECORDS})
 SELECT year, month, mdate, sensor_id, CAST(SUM(hourly_counts) AS BIGINT) AS hourly_counts

@@ -120,6 +120,50 @@ class PagedReader(DataSourceReader):
         return _batches(self.options, partition, self.factory)
 
 
+def _marks(client, end: int, key: str) -> list[list]:
+    """[index, key] of records 1, 2, 4, 8, ... before ``end``: a few dozen, whatever the feed's size."""
+    out, back = [], 1
+    while back <= end:
+        got = client.fetch(end - back, 1)
+        if got:
+            out.append([end - back, str(got[0].get(key))])
+        back *= 2
+    return out
+
+
+def _find(client, wanted: str, near: int, reach: int, key: str) -> int | None:
+    """Index of the record ``wanted`` within ``reach`` of ``near``."""
+    at = max(0, near - reach)
+    stop = near + reach + 1
+    while at < stop:
+        got = client.fetch(at, stop - at)
+        if not got:
+            return None
+        for i, r in enumerate(got[: stop - at]):
+            if str(r.get(key)) == wanted:
+                return at + i
+        at += len(got)
+    return None
+
+
+def _resume(client, position: int, marks: list[list], key: str, page_size: int) -> int:
+    """The index to go on from, so that no record that moved or was put in is missed.
+
+    The nearest mark that stands where it stood shows that nothing changed
+    before it. Records put in before the last one move it up; the marks
+    further back tell from where on. Records taken out move it down, and then
+    records after the old position have moved before it.
+    """
+    if not marks:
+        return position
+    for index, wanted in marks:
+        got = client.fetch(index, 1)
+        if got and str(got[0].get(key)) == wanted:
+            # Unchanged up to here: if this is the last record read, go on after it, else from here.
+            return position if index == position - 1 else index
+    return 0  # even the mark farthest back has moved
+
+
 class PagedStreamReader(DataSourceStreamReader):
     def __init__(self, options, factory=None):
         self.options = dict(options)
@@ -127,7 +171,10 @@ class PagedStreamReader(DataSourceStreamReader):
         self.page_size = int(self.options.get("page_size", 1000))
         self.start = int(self.options.get("start", 0))
         self.per_partition = int(self.options.get("pages_per_partition", 1))
-        self.planned = None  # end of the last offset handed to Spark (driver side)
+        self.cap = int(self.options.get("max_records_per_trigger", 0))
+        self.until = int(self.options["until"]) if "until" in self.options else None
+        self.key = self.options.get("key")
+        self.planned = None  # last offset handed to Spark (driver side)
 
     def initialOffset(self):
         return {"offset": self.start}
@@ -137,14 +184,29 @@ class PagedStreamReader(DataSourceStreamReader):
         # query, and re-plans the last checkpointed batch (``partitions``)
         # before asking on a restart, so ``planned`` is the current position
         # whenever it is set, and ``start`` is it otherwise.
-        position = self.start if self.planned is None else self.planned
-        end = _end(_client(self.options, self.factory), self.start, position)
-        self.planned = max(end, position)
-        return {"offset": self.planned}
+        last = self.planned or self.initialOffset()
+        position = int(last["offset"])
+        client = _client(self.options, self.factory)
+        end = _end(client, self.start, 0 if self.key else position)
+        if self.until is not None:
+            end = min(end, self.until)
+        begin = position
+        if self.key and self.planned:
+            begin = max(self.start, min(_resume(client, position, last.get("marks", []), self.key, self.page_size), end))
+        if end <= position and begin >= min(position, end):
+            return last  # nothing new: the end never falls
+        if self.cap:
+            end = min(end, begin + self.cap)
+        if self.key:
+            end_at = {"offset": end, "from": begin, "marks": _marks(client, end, self.key)}
+        else:
+            end_at = {"offset": end}
+        self.planned = end_at
+        return end_at
 
     def partitions(self, start, end):
-        self.planned = max(self.planned or 0, int(end["offset"]))
-        return _pages(int(start["offset"]), int(end["offset"]), self.page_size, self.per_partition)
+        self.planned = end
+        return _pages(int(end.get("from", start["offset"])), int(end["offset"]), self.page_size, self.per_partition)
 
     def read(self, partition):
         return _batches(self.options, partition, self.factory)
@@ -152,7 +214,8 @@ class PagedStreamReader(DataSourceStreamReader):
     def commit(self, end):
         # The durable position lives in the query checkpoint; keep the
         # reader's view in step with it.
-        self.planned = max(self.planned or 0, int(end["offset"]))
+        if self.planned is None:
+            self.planned = end
 
 
 class PagedDataSource(DataSource):

@@ -17,6 +17,10 @@ a failure finds its rows already landed and appends nothing (idempotent). The
 anti-join reads one column of that table per micro-batch, so take few, large
 batches. The query checkpoint makes a restart resume where it stopped.
 
+``mode="ledger"`` keeps that memory in a ledger of keys beside the table
+(``ledger.KeyLedger``): a batch opens only the buckets and files that can hold
+one of its ids, so its cost does not grow with what has landed.
+
 ``mode="state"`` keeps the seen ids in the query's state store instead
 (``dropDuplicates`` on the provenance key and the record, optionally bounded
 by a watermark): look-ups by key, for tables too large to scan a column of
@@ -34,7 +38,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..schemas import COUNTS_SCHEMA
+from ..session import delete_path
 from ..sources.messages import PROVENANCE, decode_pages, dedup_records, page_rejects, record_identity
+from .ledger import BUCKETS, SAME, KeyLedger, with_keys
 
 # File-inbox form of a Kafka record (value as UTF-8 text).
 MESSAGE_FILE_SCHEMA = StructType([
@@ -84,9 +90,6 @@ def dedup_stream(records: DataFrame, key: str = "id", watermark: str | None = No
     return marked.drop(*SAME)
 
 
-SAME = ["_same_id", "_same_row"]
-
-
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Semi or anti join on keys that may be null."""
     return left.join(right, reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys]), how)
@@ -179,33 +182,65 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id") ->
      .write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing_path))
 
 
+def land_through_ledger(records: DataFrame, landing_path: str, ledger: KeyLedger, writer: str, batch_id: int, staging: str, key: str = "id") -> None:
+    """``land_new_records`` with the ledger as memory: cost follows the batch, not the landing table."""
+    spark = records.sparkSession
+    root = f"{staging.rstrip('/')}/batch={batch_id}"
+    batch = dedup_records(records.select(*LANDED_COLUMNS), key)
+    keyed = stage(with_keys(batch, record_identity(batch, key), ledger.state().buckets), root)
+
+    def append(fresh: DataFrame) -> None:
+        (fresh.select(*LANDED_COLUMNS).hint("rebalance", *LANDING_PARTITIONS)
+         .write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(landing_path))
+
+    def landed(fresh: DataFrame) -> DataFrame:
+        days = [tuple(r) for r in fresh.select(*LANDING_PARTITIONS).distinct().collect()]
+        rows = read_touched(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS, days).select(*LANDED_COLUMNS)
+        return rows.select(*record_identity(rows, key))
+
+    ledger.land(keyed, writer, batch_id, append, landed)
+    delete_path(spark, root)
+
+
 def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
            trigger: str | None = "availableNow", mode: str = "table",
-           watermark: str | None = None, rejects_path: str | None = None) -> StreamingQuery:
+           watermark: str | None = None, rejects_path: str | None = None,
+           ledger_path: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """messages -> decode -> dedup -> landing table (parquet, by day).
 
-    A malformed page stops the query, unless ``rejects_path`` (table mode) names
-    a folder that gets such messages, one sub-folder per micro-batch.
+    ``mode="table"`` looks ids up in the landing table itself, ``"ledger"`` in a
+    ledger beside it (``ledger_path``, default ``<landing_path>_ledger``), which
+    a landing table must have had from its first batch on; ``"state"`` in the
+    query's state store. A malformed page stops the query, unless
+    ``rejects_path`` (not in mode "state") names a folder that gets such
+    messages, one sub-folder per micro-batch.
     """
     spark = messages.sparkSession
     if mode == "state":
         if rejects_path is not None:
-            raise ValueError("rejects_path needs mode='table'")
+            raise ValueError("rejects_path needs mode='table' or 'ledger'")
         # Message-level dedup must precede decoding: after it, one message is many rows.
         deduped = dedup_stream(decode_pages(messages.dropDuplicates(PROVENANCE)), "id", watermark)
         return (deduped.select(*LANDED_COLUMNS).writeStream.format("parquet")
                 .option("path", landing_path).option("checkpointLocation", checkpoint)
                 .partitionBy(*LANDING_PARTITIONS).outputMode("append")
                 .trigger(**trigger_args(trigger)).start())
-    if mode != "table":
-        raise ValueError("mode must be 'table' or 'state'")
+    if mode not in ("table", "ledger"):
+        raise ValueError("mode must be 'table', 'ledger' or 'state'")
     ensure_table(spark, landing_path, LANDED_SCHEMA, LANDING_PARTITIONS)
+    ledger = KeyLedger(spark, ledger_path or f"{landing_path.rstrip('/')}_ledger", buckets)
+
+    def put(records: DataFrame, batch_id: int) -> None:
+        if mode == "ledger":
+            land_through_ledger(records, landing_path, ledger, checkpoint, batch_id, f"{checkpoint.rstrip('/')}/staging")
+        else:
+            land_new_records(records, landing_path)
 
     def land(batch: DataFrame, batch_id: int) -> None:
         if rejects_path is None:
-            land_new_records(decode_pages(batch), landing_path)
+            put(decode_pages(batch), batch_id)
             return
-        land_new_records(decode_pages(batch, malformed="reject"), landing_path)
+        put(decode_pages(batch, malformed="reject"), batch_id)
         page_rejects(batch).write.mode("overwrite").json(f"{rejects_path.rstrip('/')}/batch={batch_id}")
 
     return (messages.writeStream
