@@ -15,10 +15,25 @@ planned end fails the task. The batch reader reads ``[start, end)``; the stream
 reader keeps its position in the query checkpoint (restart resumes, nothing is
 re-read), and its end never falls, even if the feed shrinks.
 
+A feed that puts records in before the position, or takes some out, moves the
+others, and a number alone then skips or repeats records (T19). With the option
+``key`` (the name of an id field) the stream's position also holds the ids of
+the last, second, fourth, eighth ... record before it. At each poll these
+show up to where the feed is unchanged, and reading goes on from there. What is
+read again is dropped downstream by id (``dedup_records``, ``ingest``). Only a
+record put in and another taken out between the same two marks can hide each
+other.
+
+``max_records_per_trigger`` bounds what one trigger takes; with an interval
+trigger the rest follows in the next ones. Spark plans an ``availableNow`` run
+from a single position of a Python source, so such a run is one step;
+``read_in_steps`` fixes the end first and takes steps until it is reached.
+
 Options: ``client`` (required), ``page_size`` (records per API call,
 default 1000), ``pages_per_partition`` (API pages fetched in sequence by one
 task, default 1 — raise it for large backfills so tasks stay coarse),
-``start`` (default 0); any option prefixed ``client.`` is passed to the factory as a
+``start`` (default 0), ``key`` and ``max_records_per_trigger`` (streams only,
+see above), ``until`` (stream: end that is not passed); any option prefixed ``client.`` is passed to the factory as a
 keyword.
 """
 
@@ -131,37 +146,19 @@ def _marks(client, end: int, key: str) -> list[list]:
     return out
 
 
-def _find(client, wanted: str, near: int, reach: int, key: str) -> int | None:
-    """Index of the record ``wanted`` within ``reach`` of ``near``."""
-    at = max(0, near - reach)
-    stop = near + reach + 1
-    while at < stop:
-        got = client.fetch(at, stop - at)
-        if not got:
-            return None
-        for i, r in enumerate(got[: stop - at]):
-            if str(r.get(key)) == wanted:
-                return at + i
-        at += len(got)
-    return None
-
-
-def _resume(client, position: int, marks: list[list], key: str, page_size: int) -> int:
-    """The index to go on from, so that no record that moved or was put in is missed.
+def _resume(client, position: int, marks: list[list], start: int, key: str) -> int:
+    """The index to go on from, so that no record that was put in or moved is missed.
 
-    The nearest mark that stands where it stood shows that nothing changed
-    before it. Records put in before the last one move it up; the marks
-    further back tell from where on. Records taken out move it down, and then
-    records after the old position have moved before it.
+    Marks are looked at from the farthest back on. Up to the last one that
+    stands where it stood the feed is unchanged; from there it is read again.
     """
-    if not marks:
-        return position
-    for index, wanted in marks:
+    unchanged = start
+    for index, wanted in reversed(marks):
         got = client.fetch(index, 1)
-        if got and str(got[0].get(key)) == wanted:
-            # Unchanged up to here: if this is the last record read, go on after it, else from here.
-            return position if index == position - 1 else index
-    return 0  # even the mark farthest back has moved
+        if not got or str(got[0].get(key)) != wanted:
+            return unchanged
+        unchanged = index
+    return position
 
 
 class PagedStreamReader(DataSourceStreamReader):
@@ -192,7 +189,7 @@ class PagedStreamReader(DataSourceStreamReader):
             end = min(end, self.until)
         begin = position
         if self.key and self.planned:
-            begin = max(self.start, min(_resume(client, position, last.get("marks", []), self.key, self.page_size), end))
+            begin = min(_resume(client, position, last.get("marks", []), self.start, self.key), end)
         if end <= position and begin >= min(position, end):
             return last  # nothing new: the end never falls
         if self.cap:
@@ -206,7 +203,8 @@ class PagedStreamReader(DataSourceStreamReader):
 
     def partitions(self, start, end):
         self.planned = end
-        return _pages(int(end.get("from", start["offset"])), int(end["offset"]), self.page_size, self.per_partition)
+        begin = min(int(end.get("from", start["offset"])), int(start["offset"]))
+        return _pages(begin, int(end["offset"]), self.page_size, self.per_partition)
 
     def read(self, partition):
         return _batches(self.options, partition, self.factory)
@@ -235,6 +233,27 @@ class PagedDataSource(DataSource):
         return PagedStreamReader(self.options, type(self).client_factory)
 
 
+def read_in_steps(spark, options: dict, start_query, max_records: int, client=None) -> list[int]:
+    """Read what the feed holds now in ``availableNow`` runs of at most ``max_records`` records each.
+
+    ``start_query`` starts a checkpointed query with trigger ``availableNow`` on
+    the stream it is given. The end is fixed before the first step; records
+    that come meanwhile are left to the next call. Returns the records of each
+    step. ``client``: the factory given to ``register``.
+    """
+    options = {k: str(v) for k, v in options.items()}
+    end = _end(_client(options, client), int(options.get("start", 0)))
+    steps = []
+    while True:
+        stream = spark.readStream.format(SOURCE_NAME).options(**options, until=str(end), max_records_per_trigger=str(max_records)).load()
+        query = start_query(stream)
+        query.awaitTermination()
+        n = sum(p["numInputRows"] for p in query.recentProgress)
+        if not n:
+            return steps
+        steps.append(n)
+
+
 def register(spark, client=None) -> None:
     """Make ``spark.read.format('paged')`` / ``readStream.format('paged')`` available.
 
