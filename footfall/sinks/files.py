@@ -14,15 +14,16 @@ def write_csv(df: DataFrame, path: str, single: bool = True, mode: str = "overwr
               header: bool = True, order_by: list | None = None) -> None:
     """Write ``df`` as CSV with a header.
 
-    ``single=True`` produces one part file (SNK-1): the finished rows go through
-    an exchange to one task, so everything before it stays parallel. ``order_by``
-    sorts that file. The rows must fit one task; use ``single=False`` (SNK-3)
-    for large outputs.
+    ``single=True`` produces one part file (SNK-1). Everything before it stays
+    parallel. With ``order_by`` the rows are range-partitioned first and one
+    task then writes range after range, so it never holds or sorts more than
+    one range; without, it streams the rows as they come. ``single=False``
+    (SNK-3) also writes in parallel; take it for large outputs.
     """
-    if single:
+    if single and order_by:
+        df = df.orderBy(*order_by).coalesce(1)
+    elif single:
         df = df.repartition(1)
-        if order_by:
-            df = df.sortWithinPartitions(*order_by)
     elif order_by:
         df = df.orderBy(*order_by)
     df.write.mode(mode).option("header", header).csv(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 from footfall.operators import change as ch
 from footfall.operators.enrich import enrich
 from footfall.operators.rank import top_n_per_period
@@ -150,3 +152,19 @@ def test_page_keys_survive_another_order_in_the_partition(spark):
     b = spark.createDataFrame(rows[::-1], "id string, sensor_id string").coalesce(1)
     pages = [sorted(tuple(r) for r in encode_pages(x, page_size=64).collect()) for x in (a, b)]
     assert pages[0] == pages[1]
+
+
+def test_single_csv_is_written_range_by_range(spark, tmp_path):
+    import glob
+
+    from footfall.sinks.files import write_csv
+
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("k"), F.when(F.col("id") % 3 == 0, F.lit("a, b")).alias("v"))
+    plain, ranged = str(tmp_path / "a"), str(tmp_path / "b")
+    df.repartition(1).sortWithinPartitions("k").write.option("header", True).csv(plain)
+    write_csv(df, ranged, order_by=["k"])
+    (one,), (two,) = glob.glob(f"{plain}/part-*"), glob.glob(f"{ranged}/part-*")
+    with open(one, "rb") as f, open(two, "rb") as g:
+        assert f.read() == g.read()
+    plan = df.orderBy("k").coalesce(1)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "SinglePartition" not in plan
