@@ -118,3 +118,14 @@ def stream_top10_per_month(spark, sf_dir):
     """Month ranking answered from the day totals the streaming job keeps."""
     totals, _ = run_totals(spark, sf_dir, with_top=False)
     return top_n_per_period(tot.read_totals(spark, totals, "day"), None, "month")
+
+
+@query("stream_log_totals", DAY_EVENT_TOTALS)
+def stream_log_totals(spark, sf_dir):
+    """Messages -> landing log, compacted while a follower is half way -> day totals (STR-7)."""
+    inbox, log = build_inbox(spark, sf_dir), ing.landing_log(spark, shared_dir(spark, "landing-log"))
+    totals, checkpoint = shared_dir(spark, "totals"), shared_dir(spark, "follow-ckpt")
+    ing.ingest_to_log(ing.read_message_files(spark, inbox, max_files_per_trigger=4), log.path, shared_dir(spark, "ingest-ckpt"), buckets=8).awaitTermination()
+    log.compact(least=2)
+    tot.follow_landing(log, totals, checkpoint, most=1)
+    return tot.read_totals(spark, totals, "day")

@@ -40,6 +40,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from ..schemas import COUNTS_SCHEMA
 from ..session import delete_path
 from ..sources.messages import PROVENANCE, decode_pages, dedup_records, page_rejects, record_identity
+from .landing import LandingLog
 from .ledger import BUCKETS, SAME, KeyLedger, with_keys
 
 # File-inbox form of a Kafka record (value as UTF-8 text).
@@ -250,6 +251,32 @@ def ingest(messages: DataFrame, landing_path: str, checkpoint: str,
             .start())
 
 
+def landing_log(spark: SparkSession, path: str) -> LandingLog:
+    """The landing table with a record a batch (``landing.LandingLog``)."""
+    return LandingLog(spark, path, LANDED_SCHEMA, LANDING_PARTITIONS)
+
+
+def ingest_to_log(messages: DataFrame, log_path: str, checkpoint: str, trigger: str | None = "availableNow",
+                  ledger_path: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """messages -> decode -> look-up in the key ledger -> landing log.
+
+    A batch lands by its record and is entered in the ledger after. If it is
+    broken off in between, the re-run finds the record and only enters the keys.
+    """
+    spark = messages.sparkSession
+    log, ledger = landing_log(spark, log_path), KeyLedger(spark, ledger_path or f"{log_path.rstrip('/')}_ledger", buckets)
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        root = f"{checkpoint.rstrip('/')}/staging/batch={batch_id}"
+        records = dedup_records(decode_pages(batch).select(*LANDED_COLUMNS))
+        keyed = stage(with_keys(records, record_identity(records), ledger.state().buckets), root)
+        nothing = spark.createDataFrame([], StructType([StructField(c, StringType(), True) for c in SAME]))
+        ledger.land(keyed, checkpoint, batch_id, lambda fresh: log.append(fresh.select(*LANDED_COLUMNS), checkpoint, batch_id), lambda fresh: nothing)
+        delete_path(spark, root)
+
+    return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land).trigger(**trigger_args(trigger)).start()
+
+
 def landing_stream(spark: SparkSession, landing_path: str, schema: StructType = LANDED_SCHEMA,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Read the landing table incrementally (STR-7 hand-off to aggregates).

@@ -38,6 +38,7 @@ from ..operators.rank import MEASURE, PERIOD_KEYS, period_keys, top_n
 from ..schemas import COUNTS_SCHEMA
 from ..session import delete_path
 from .ingest import stage, trigger_args
+from .landing import LandingLog
 from .versioned import Conflict, VersionedTable
 
 KEY = "sensor_id"
@@ -143,3 +144,12 @@ def maintain_totals_and_top_n(counts: DataFrame, totals_path: str, checkpoint: s
             .trigger(**trigger_args(trigger))
             .start())
 
+
+
+def follow_landing(log: LandingLog, totals_path: str, checkpoint: str, top_path: str | None = None,
+                   period: str = "day", n: int = 10, most: int = 64) -> int:
+    """Bring totals (and top-n) up to the last record of a landing log; returns the number of batches taken."""
+    staging = f"{checkpoint.rstrip('/')}/staging"
+    keys = period_keys(period)
+    return log.follow(checkpoint, lambda rows, version: merge_batch(
+        rows.select(*keys, KEY, MEASURE), version, totals_path, staging, top_path, period, n, checkpoint), most)
