@@ -20,7 +20,8 @@ Bodies are not moved: a resolved record names the record that holds its body.
 Defined results: ``resolution`` is full (a response), resolved, mismatch
 (validators differ), unverified (nothing to compare) or missing (no earlier
 response). Equal instants: the response with the largest record_id counts. A
-null URL or date matches nothing. Repeated records are answered each. Empty
+null URL or date matches nothing, and neither does a URL without scheme and
+host (its canonical URL is null). Repeated records are answered each. Empty
 tables give an empty result; extra columns are ignored.
 """
 
@@ -44,13 +45,17 @@ RECORD_SCHEMA = "record_id string, url string, captured timestamp, kind string,
 
 
 def canonical_url(url: Column) -> Column:
-    """Host in lower case without www. and default port, path without its last slash, sorted query without tracking, no scheme or fragment."""
+    """Host in lower case without www. and default port, path without its last slash, sorted query without tracking, no scheme or fragment.
+
+    Null for a URL without scheme and host, which so matches no other.
+    """
     rest = F.regexp_replace(F.trim(url), r"#.*$", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(rest, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), r"^www\.|:(80|443)$", "")
     path = F.regexp_replace(F.regexp_extract(rest, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), r"/+$", "")
     query = F.regexp_extract(rest, r"\?(.*)$", 1)
     asked = F.sort_array(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^{_TRACKING}$")))
-    return F.concat(host, path, F.when(F.size(asked) > 0, F.concat(F.lit("?"), F.array_join(asked, "&"))).otherwise(""))
+    whole = F.concat(host, path, F.when(F.size(asked) > 0, F.concat(F.lit("?"), F.array_join(asked, "&"))).otherwise(""))
+    return F.when(host != "", whole)
 
 
 def _name(line: Column) -> Column:

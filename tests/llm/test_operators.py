@@ -502,6 +502,16 @@ def test_revisits(spark):
     assert not revisits.resolve_revisits(recs.limit(0)).count()
 
 
+def test_urls_without_a_host_match_nothing(spark):
+    urls = ["site-one.org/x", "other.net/y", "/x", "", "?q=1", "http:///x", "//h/x", "mailto:a@b", None]
+    rows_ = [(f"{kind[0]}{i}", u, 100 + 100 * (kind == "revisit"), kind, ['ETag: "1"'], "d") for i, u in enumerate(urls) for kind in ("response", "revisit")]
+    recs = spark.createDataFrame(rows_, "record_id string, url string, s long, kind string, headers array<string>, body_digest string").withColumn("captured", F.timestamp_seconds("s"))
+    got = revisits.resolve_revisits(recs).collect()
+    assert len(got) == len(rows_) and all(r["canonical_url"] is None for r in got)
+    assert {r["resolution"] for r in got if r["source_id"] is None} == {"missing"}
+    assert sum(r["resolution"] == "missing" for r in got) == len(urls)
+
+
 def test_revisits_by_brute_force(spark):
     records = revisits.records_from_pages(spark.read.parquet(f"{SF}/pages.parquet")).withColumn("c", revisits.canonical_url(F.col("url")))
     # The same records with few URLs and few dates, so that many meet.
