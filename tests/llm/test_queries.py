@@ -17,7 +17,8 @@ def test_query(spark, duck, name):
     df = queries.QUERIES[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     table, times = TABLE.get(name, ("documents", 1))
-    assert len(rows) == times * spark.read.parquet(f"{SF}/{table}.parquet").count()
+    if name != "op11_collocations":  # rows of phrases
+        assert len(rows) == times * spark.read.parquet(f"{SF}/{table}.parquet").count()
     if name in queries.ORACLE_SQL:
         res = duck.execute(queries.ORACLE_SQL[name])
         cols = [d[0] for d in res.description]
