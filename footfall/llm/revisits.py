@@ -45,17 +45,18 @@ RECORD_SCHEMA = "record_id string, url string, captured timestamp, kind string,
 
 
 def canonical_url(url: Column) -> Column:
-    """Host in lower case without www. and default port, path without its last slash, sorted query without tracking, no scheme or fragment.
-
-    Null for a URL without scheme and host, which so matches no other.
-    """
+    """Host in lower case without www. and default port, path without its last slash, sorted query without tracking, no scheme or fragment."""
     rest = F.regexp_replace(F.trim(url), r"#.*$", "")
     host = F.regexp_replace(F.lower(F.regexp_extract(rest, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), r"^www\.|:(80|443)$", "")
     path = F.regexp_replace(F.regexp_extract(rest, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), r"/+$", "")
     query = F.regexp_extract(rest, r"\?(.*)$", 1)
     asked = F.sort_array(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^{_TRACKING}$")))
-    whole = F.concat(host, path, F.when(F.size(asked) > 0, F.concat(F.lit("?"), F.array_join(asked, "&"))).otherwise(""))
-    return F.when(host != "", whole)
+    return F.concat(host, path, F.when(F.size(asked) > 0, F.concat(F.lit("?"), F.array_join(asked, "&"))).otherwise(""))
+
+
+def _key(url: Column) -> Column:
+    """Canonical URL; null without scheme and host, so that such URLs match no other."""
+    return F.when(F.trim(url).rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]"), canonical_url(url))
 
 
 def _name(line: Column) -> Column:
@@ -86,7 +87,7 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     ``kind`` is "response" or "revisit"; ``source_id`` is the record that holds the body.
     """
     rec = records.select(
-        "record_id", canonical_url(F.col("url")).alias("canonical_url"), F.col("captured").cast("timestamp").alias("captured"),
+        "record_id", _key(F.col("url")).alias("canonical_url"), F.col("captured").cast("timestamp").alias("captured"),
         "kind", F.coalesce("headers", F.array().cast("array<string>")).alias("headers"), "body_digest")
     micros = F.unix_micros("captured")
     rec = rec.withColumn("t", micros).withColumn("bucket", F.floor(F.col("t") / F.lit(bucket_seconds * 1_000_000)))
