@@ -27,8 +27,9 @@ its range, and the partners that a range lacks also there. Every task walks its
 sorted pages; those of one path wait for the next path in a temporary file, so a
 handful of pages are in memory.
 
-Defined results: null or empty html gives an empty text. A null URL is host ""
-and path "". Equal pages are each answered. A page without a partner keeps all
+Defined results: null or empty html gives an empty text. White space is what
+Python's ``str.split`` takes for it, so a no-break space becomes a space too. A
+tag in which the page is cut is no text. A null URL is host "" and path "". Equal pages are each answered. A page without a partner keeps all
 lines but those the markup excludes. An empty table gives an empty result;
 extra columns are ignored.
 """
@@ -84,10 +85,20 @@ _MARKED = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments complementary contentinfo consent cookie cookies footer "
     "hidden login masthead menu modal nav navbar navigation newsletter notice notification overlay popup promo related replies search share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription toolbar widget".split())
+#: Class words that mark as they are, and what may stand before and after a marked word in one.
+_MARKED_WHOLE = frozenset("site-header site-top topbar top-bar commentlist sharedaddy".split())
+_BEFORE = frozenset("site top main page global primary secondary left right bottom post entry article blog user users reader readers single".split())
+_AFTER = frozenset(
+    "area author authors avatar bar block body box button buttons child children container content count date depth even footer form group header heading icon "
+    "icons inline inner item items label left level link links list main meta metadata odd outer panel parent reply right row section text thread time title top "
+    "tools wrap wrapper".split())
 
 #: A tag that never ends runs to the end of the page, so that no text is looked through twice.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)(?:>|(\Z))|<[!?][^>]*+(?:>|(\Z))", re.S)
+#: A page cut before a tag's name, and inside a tag: nothing but a name, or attributes with values.
+_CUT = re.compile(r"</?\Z")
+_CUT_TAG = re.compile(r"</?[^\s=]*+(?:\s*+|[^=]*+=.*+)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 _UNSEEN = re.compile(r"display\s*:\s*none")
 _PARTS = re.compile(r"[-_]+")
@@ -97,9 +108,17 @@ _PAGE = frozenset("html body".split())
 
 
 def _marked(word: str) -> bool:
-    """Whether all parts of a class word are marked words or numbers: ``cookie-banner`` and ``ad-1``, not ``has-sidebar``."""
+    """Whether a class word is a marked word with nothing but a place before it and parts of such an element after it.
+
+    ``cookie-banner``, ``ad-1``, ``main-menu`` and ``comment-list`` are; ``has-sidebar``,
+    ``share-price`` and ``content-sidebar-wrap`` are not.
+    """
+    if word in _MARKED_WHOLE:
+        return True
     parts = [x for x in _PARTS.split(word) if x and not x.isdigit()]
-    return bool(parts) and _MARKED.issuperset(parts)
+    while len(parts) > 1 and parts[0] in _BEFORE:
+        del parts[0]
+    return bool(parts) and parts[0] in _MARKED and all(x in _MARKED or x in _AFTER for x in parts[1:])
 
 
 def _excluded(tag: str, attributes: str) -> int | None:
@@ -207,10 +226,12 @@ def lines_of(page: str) -> list[tuple[int, str]]:
 
     at = 0
     while m := _TOKEN.search(page, at):
-        if m[4] is not None or m[5] is not None:
-            break
         buf.append(page[at: m.start()])
         at = m.end()
+        if m[4] is not None or m[5] is not None:
+            if m[2] is not None and not _CUT_TAG.fullmatch(m[0]) and buf[-1].strip():
+                buf.append(m[0])  # words after a smaller-than sign
+            break
         if m[2] is None:
             continue
         tag, closing, attributes = m[2].lower(), bool(m[1]), m[3]
@@ -257,7 +278,7 @@ def lines_of(page: str) -> list[tuple[int, str]]:
         elif tag in ("article", "main") and role is None and outer != BOILER and (outer in (ARTICLE, OTHER) or not opened.last("article")):
             role = ARTICLE
         opened.push(tag, role)
-    buf.append(page[at:] if not page[at:].lstrip().startswith("<") else "")
+    buf.append(_CUT.sub("", page[at:]))  # nothing is left after a cut tag
     end_block()
     sizes = [sum(len(out[i][1]) for i, _ in form) for form in forms]
     every = sum(sizes) + sum(len(x) for role, x in out if role != BOILER)

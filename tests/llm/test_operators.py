@@ -413,6 +413,23 @@ def test_articles_in_marked_elements():
         assert seen(page) == text, page
 
 
+def test_comments_and_menus_inside_articles():
+    for word in ("comment-list", "comment-body", "comment_content", "menu-item", "main-menu", "share-buttons", "user-comments", "site-header", "topbar", "comments-area"):
+        assert seen(f"<article><p>Own words</p>one<ul class='x {word}'><li>Nice post</ul><p>two</p></article>") == "Own words one two", word
+        assert seen(f"<div>Own words</div><div class={word}><p>Nice post</p></div>") == "Own words", word
+    for word in ("share-price", "related-work", "content-sidebar-wrap", "has-sidebar", "no-comments", "comment-free", "post-content", "entry-header", "post", "2-1"):
+        assert seen(f"<article><div class='{word}'>Own words</div></article>") == "Own words", word
+    assert seen("<div class=comment-list><article>Not in an article</article></div>") == "Not in an article"
+
+
+def test_pages_cut_inside_a_tag():
+    for page, text in (
+        ('<p>Hello <a href="x', "Hello"), ('<p>Hello <a href="x y" ti', "Hello"), ("<p>Hello <a", "Hello"), ("<p>Hello</", "Hello"), ("<p>Hello <", "Hello"),
+        ("<p>Hello <!-- x", "Hello"), ("<p>Hello <!DOC", "Hello"), ('<a href="x', ""), ("<p>1 < 2", "1 < 2"), ("<p>Hello</p", "Hello"), ("Hello <script>x", "Hello"),
+    ):
+        assert seen(page) == text, page
+
+
 def test_differencing_decides_unmarked_lines_beside_articles(spark):
     def page(i):
         return f"<div>Shared top bar</div><div>Main text of page {i} in a plain div</div><article>Card {i}</article><article>Common card</article><div>Foot</div>"
