@@ -9,6 +9,11 @@ word by word; a run of ``SPAN`` equal words or more is a hit. Items of fewer
 words than ``SPAN`` have no guaranteed gram, so documents are scanned for all
 runs of just those lengths.
 
+Places of a text at which a gram has the same surroundings extend alike. They
+are one entry on either side of the join, so a text of one repeated word (or of
+a repeated phrase) gives a few entries, and two such texts a few matches, not
+one for each pair of places. The places wait with their document.
+
 A bitmap of fixed size (``FILTER_BITS``), filled from the benchmark's grams by
 an aggregation, lets tasks drop grams that no item has before anything is
 shuffled. Its false positives cost rows in the join, never results, and its
@@ -37,8 +42,8 @@ SPAN, GRAM = 10, 5
 #: Bits of the benchmark bitmap (one megabyte).
 FILTER_BITS = 23
 
-_GRAMS = "array<struct<span:int,fp:long,at:int,left:int,ctx:string>>"
-_GRAM_TYPE = pa.struct([("span", pa.int32()), ("fp", pa.int64()), ("at", pa.int32()), ("left", pa.int32()), ("ctx", pa.string())])
+_GRAMS = "array<struct<span:int,fp:long,left:int,ctx:string,places:array<int>>>"
+_GRAM_TYPE = pa.struct([("span", pa.int32()), ("fp", pa.int64()), ("left", pa.int32()), ("ctx", pa.string()), ("places", pa.list_(pa.int32()))])
 
 
 def _winnow(g: np.ndarray, doc: np.ndarray, span: int, gram: int) -> np.ndarray:
@@ -85,18 +90,23 @@ def _scan(column: pa.Array, lengths: tuple[int, ...], short_whole: bool, bitmap:
     spans = np.concatenate([np.full(len(at), k, np.int32) for k, at, _ in found])
     at = np.concatenate([at for _, at, _ in found])
     fps = np.concatenate([fp for _, _, fp in found])
-    order = np.argsort(doc[at], kind="stable")
-    spans, at, fps = spans[order], at[order], fps[order]
     side = np.where(spans == span, span - gram, 0)
     size = np.where(spans == span, gram, spans)
     lo = np.maximum(at - side, first[doc[at]])
     hi = np.minimum(at + size + side, first[doc[at]] + count[doc[at]])
     raw = data.tobytes().lower()
-    ctx = [" ".join([raw[s:e].decode() for s, e in zip(starts[a:b], ends[a:b], strict=True)]) for a, b in zip(lo, hi, strict=True)]
+    same: dict[tuple, list[int]] = {}
+    for d, k, fp, left, p, a, b in zip(*(x.tolist() for x in (doc[at], spans, fps.view(np.int64), at - lo, at - first[doc[at]], lo, hi)), strict=True):
+        ctx = b" ".join([raw[s:e] for s, e in zip(starts[a:b], ends[a:b], strict=True)])
+        same.setdefault((d, k, fp, left, ctx), []).append(p)
+    found_in = np.array([key[0] for key in same], np.int64)
+    order = np.argsort(found_in, kind="stable")
+    keys, places = list(same), list(same.values())
+    keys, places = [keys[i] for i in order], [places[i] for i in order]
     flat = pa.StructArray.from_arrays(
-        [pa.array(spans, pa.int32()), pa.array(fps.view(np.int64)), pa.array((at - first[doc[at]]).astype(np.int32)),
-         pa.array((at - lo).astype(np.int32)), pa.array(ctx, pa.string())], fields=list(_GRAM_TYPE))
-    per = np.concatenate(([0], np.cumsum(np.bincount(doc[at], minlength=n)))).astype(np.int32)
+        [pa.array([x[1] for x in keys], pa.int32()), pa.array([x[2] for x in keys], pa.int64()), pa.array([x[3] for x in keys], pa.int32()),
+         pa.array([x[4].decode() for x in keys], pa.string()), pa.array(places, pa.list_(pa.int32()))], fields=list(_GRAM_TYPE))
+    per = np.concatenate(([0], np.cumsum(np.bincount(found_in, minlength=n)))).astype(np.int32)
     return count, pa.ListArray.from_arrays(pa.array(per), flat)
 
 
@@ -142,7 +152,7 @@ def _bitmap(grams: DataFrame, bits: int) -> bytes:
 def _extend(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordBatch]:
     """Extend each gram match over equal words to both sides; keep runs of the wanted length."""
     for batch in batches:
-        rid, item, lo, hi = [], [], [], []
+        rid, nth, item, before, after = [], [], [], [], []
         for r in batch.to_pylist():
             a, b, i, j = r["ctx"].split(" "), r["item_ctx"].split(" "), r["left"], r["item_left"]
             size = gram if r["span"] > r["short"] else r["span"]
@@ -156,42 +166,53 @@ def _extend(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordB
                 right += 1
             if left + right >= r["span"]:
                 rid.append(r["rid"])
+                nth.append(r["nth"])
                 item.append(r["item_id"])
-                lo.append(r["at"] - left)
-                hi.append(r["at"] + right)
+                before.append(left)
+                after.append(right)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rid, pa.int64()), pa.array(item, pa.string()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
-            names=["rid", "item_id", "lo", "hi"])
+            [pa.array(rid, pa.int64()), pa.array(nth, pa.int32()), pa.array(item, pa.string()), pa.array(before, pa.int32()), pa.array(after, pa.int32())],
+            names=["rid", "nth", "item_id", "before", "after"])
 
 
 def scan_hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """Documents (rid, doc_id, text_key, n_words) and hit runs (rid, item_id, lo, hi): words lo to hi - 1 of document rid."""
+    """Documents (rid, doc_id, text_key, n_words, grams) and hits (rid, nth, item_id, before, after).
+
+    A hit holds at every place p of ``grams[nth].places`` of document ``rid``: its words
+    p - before to p + after - 1 are also the item's.
+    """
     sc = docs.sparkSession.sparkContext
     how = {"span": span, "gram": gram, "bits": bits}
     items = staged(
         _scanned(benchmark, "item_id", "string", lengths=(), short_whole=True, **how)
-        .select(F.coalesce("id", F.lit("")).alias("item_id"), F.inline("grams")).distinct(), "winnow-items")
+        .select(F.coalesce("id", F.lit("")).alias("item_id"), F.inline("grams")).drop("places").distinct(), "winnow-items")
     bitmap = sc.broadcast(_bitmap(items, bits))
     short = tuple(sorted(r["span"] for r in items.filter(F.col("span") < span).select("span").distinct().collect()))  # below SPAN values
     scanned = staged(
         _scanned(docs, "doc_id", "long", lengths=short, short_whole=False, bitmap=bitmap, **how)
         .withColumn("rid", F.monotonically_increasing_id()).withColumnRenamed("id", "doc_id"), "winnow-documents")
-    found = scanned.select("rid", F.inline("grams"))
+    met = scanned.select("rid", F.posexplode("grams").alias("nth", "g")).select("rid", "nth", "g.span", "g.fp", "g.left", "g.ctx")
     other = items.select("item_id", "span", "fp", F.col("left").alias("item_left"), F.col("ctx").alias("item_ctx"))
-    joined = found.join(other, ["span", "fp"]).withColumn("short", F.lit(span - 1))
-    hits = joined.mapInArrow(lambda batches: _extend(batches, gram), "rid long, item_id string, lo int, hi int")
-    return scanned.drop("grams"), staged(hits, "winnow-hits")
+    joined = met.join(other, ["span", "fp"]).withColumn("short", F.lit(span - 1))
+    hits = joined.mapInArrow(lambda batches: _extend(batches, gram), "rid long, nth int, item_id string, before int, after int")
+    return scanned, staged(hits, "winnow-hits")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """Per document: doc_id, text_key, n_words, n_hit, n_items, items_sha256, contaminated."""
     scanned, hits = scan_hits(docs, benchmark, span, gram)
-    hit_words = hits.select("rid", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("w")).distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit"))
+    # Of all hits at the same places the words before and after reach as far as the longest; each hit covers its place.
+    reach = hits.groupBy("rid", "nth").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    spread = scanned.select("rid", F.posexplode("grams").alias("nth", "g")).select("rid", "nth", F.col("g.places").alias("places"))
+    runs = spread.join(reach, ["rid", "nth"]).select("rid", F.explode("places").alias("p"), "before", "after")
+    hit_words = (
+        runs.select("rid", F.explode(F.sequence(F.col("p") - F.col("before"), F.col("p") + F.col("after") - 1)).alias("w"))
+        .distinct().groupBy("rid").agg(F.count(F.lit(1)).alias("n_hit")))
     hit_items = hits.select("rid", "item_id").distinct().groupBy("rid").agg(F.sort_array(F.collect_list("item_id")).alias("items"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items = F.coalesce("items", F.array().cast("array<string>"))
     return (
-        scanned.join(hit_words, "rid", "left").join(hit_items, "rid", "left")
+        scanned.drop("grams").join(hit_words, "rid", "left").join(hit_items, "rid", "left")
         .select("doc_id", "text_key", "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                 F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
     )
@@ -200,5 +221,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
 def keep_clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """The rows of ``docs``, unchanged, in which no benchmark window occurs."""
     scanned, hits = scan_hits(docs, benchmark, span, gram)
-    bad = scanned.join(hits.select("rid").distinct(), "rid", "left_semi").select(*identity(F.col("doc_id"), F.col("text_key"))).distinct()
+    bad = scanned.drop("grams").join(hits.select("rid").distinct(), "rid", "left_semi").select(*identity(F.col("doc_id"), F.col("text_key"))).distinct()
     return with_identity(docs).join(bad, IDENTITY, "left_anti").select(docs.columns)

@@ -142,6 +142,18 @@ def test_winnowing_guarantee(spark):
     same(got.drop("text_key").collect(), brute.contamination(docs, items))
 
 
+def test_matches_of_repeated_words_grow_with_the_words(spark):
+    for phrase in ("same", "same old", "it goes on and on"):
+        counts = []
+        for n in (300, 1200):
+            docs = [(1, " ".join([phrase] * n)), (2, f"a start {' '.join([phrase] * n)} an end"), (3, phrase)]
+            items = [("i", " ".join([phrase] * n)), ("j", f"{' '.join([phrase] * 9)} x {' '.join([phrase] * n)} y")]
+            a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+            counts.append(winnow.scan_hits(a, b)[1].count())
+            same(winnow.contamination(a, b).drop("text_key").collect(), brute.contamination(docs, items))
+        assert counts[0] == counts[1] < 2000, counts
+
+
 def test_simhash(docs):
     got = simhash.near_duplicates(docs).drop("text_key").collect()
     pairs = texts(docs)
