@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import IDENTITY, SPACED_WORD, identity, staged, text_key, with_identity
+from .common import IDENTITY, SPACED_WORD, identity, placed, staged, text_key, with_identity
 
 #: Contract values: weights of the sources in turn, and the most a source is repeated.
 WEIGHTS, MAX_EPOCHS = (1, 2, 3), 3
@@ -141,11 +141,24 @@ def mix(docs: DataFrame, bins: int = BINS, weights: tuple[int, ...] = WEIGHTS, s
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, range-sorted by training time.
 
-    Rows of equal id and text share one plan entry for each of them; such a
-    group is planned together, so it comes out as often as its entries say.
+    Rows of equal id and text are one row here, which comes out as often as the
+    plans of them all say.
     """
     plan = mix(docs, **how).select(*identity(F.col("doc_id"), F.col("text_key")), F.explode("times").alias("_mix_time"))
-    # Equal rows: their times together, to be dealt to a single one of them.
-    plan = plan.groupBy(IDENTITY).agg(F.sort_array(F.collect_list("_mix_time")).alias("_mix_times"))
     rows = with_identity(docs).dropDuplicates(IDENTITY).join(plan, IDENTITY)
-    return rows.withColumn("_mix_time", F.explode("_mix_times")).orderBy("_mix_time", *IDENTITY).select(docs.columns)
+    return rows.orderBy("_mix_time", F.col("doc_id").cast("long"), "_row_key").select(docs.columns)
+
+
+def with_positions(mixed: DataFrame) -> DataFrame:
+    """``mixed`` (of ``mix``) and the array ``positions``: the place of each copy of a row in training, from 0.
+
+    All copies are range-sorted by time, id and size; ranges are numbered by the
+    counts of the ranges before, so positions are exact and without gaps.
+    """
+    key = ["doc_id", "text_key", "size"]
+    plan = staged(mixed.withColumn("_row", F.monotonically_increasing_id()), "mixing-rows")  # written, so that a row keeps its number
+    copies = plan.select(F.lit(0).alias("_all"), "_row", *key, F.explode("times").alias("_time"))
+    order = placed(copies, "_all", ["_time", *key], "mixing-order")
+    found = order.groupBy("_row").agg(F.sort_array(F.collect_list("place")).alias("positions"))  # MAX_EPOCHS copies a row at most
+    none = F.array().cast("array<bigint>")
+    return plan.join(found, "_row", "left").withColumn("positions", F.coalesce("positions", none)).drop("_row")

@@ -121,7 +121,7 @@ FROM o JOIN crc USING (rid)
 
 _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _MIX = f"""
-WITH d AS (
+WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id, source, CAST({_SIZE} AS BIGINT) AS size,
     CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
@@ -140,13 +140,23 @@ e AS (
   SELECT *, greatest(least(goal - before, size), 0) AS t0, greatest(least(goal - before - source_size, size), 0) AS t1, greatest(least(goal - before - 2 * source_size, size), 0) AS t2 FROM o),
 x AS (
   SELECT *, CAST(t0 * 2 >= size AND t0 > 0 OR size = 0 AS INTEGER) AS w0, CAST(t1 * 2 >= size AND t1 > 0 AS INTEGER) AS w1, CAST(t2 * 2 >= size AND t2 > 0 AS INTEGER) AS w2,
-    least(greatest(before / greatest(target, 1e-300), 0.0), 1.0) AS y FROM e)
+    least(greatest(before / greatest(target, 1e-300), 0.0), 1.0) AS y FROM e),
+c AS (
+  SELECT rid, doc_id, size, rank, least(greatest((before + k * source_size) / greatest(target, 1e-300), 0.0), 1.0) AS y
+  FROM x, (SELECT unnest([0, 1, 2]) AS k) WHERE CASE k WHEN 0 THEN w0 WHEN 1 THEN w1 ELSE w2 END = 1),
+t AS (
+  SELECT rid, doc_id, size, least(CASE rank % 3
+    WHEN 0 THEN 2 * y / (1.5 + sqrt(greatest(2.25 - 2 * y, 0.0)))
+    WHEN 1 THEN y
+    ELSE CASE WHEN y < 0.375 THEN 2 * y / (0.5 + sqrt(0.25 + 2 * y)) ELSE 0.5 + 2 * (y - 0.375) / (1 + sqrt(1 + 2 * (y - 0.375))) END END, 1.0) AS t FROM c),
+p AS (SELECT rid, string_agg(CAST(p AS VARCHAR), ',' ORDER BY p) AS positions FROM (SELECT rid, row_number() OVER (ORDER BY t, doc_id, size) - 1 AS p FROM t) GROUP BY rid)
 SELECT doc_id, size, source_size, target, CAST(t0 + t1 + t2 AS BIGINT) AS taken, CAST(w0 + w1 + w2 AS BIGINT) AS copies,
   CASE WHEN w0 = 1 THEN round(CASE rank % 3
     WHEN 0 THEN 2 * y / (1.5 + sqrt(greatest(2.25 - 2 * y, 0.0)))
     WHEN 1 THEN y
-    ELSE 2 * y / (0.5 + sqrt(0.25 + 2 * y)) END, 6) END AS first_time
-FROM x
+    ELSE 2 * y / (0.5 + sqrt(0.25 + 2 * y)) END, 6) END AS first_time,
+  coalesce(positions, '') AS positions
+FROM x LEFT JOIN p USING (rid)
 """
 
 _PHRASES = rf"""

@@ -71,8 +71,9 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round(F.get("times", F.lit(0)), 6).alias("first_time"))
+    mixed = mixing.with_positions(mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", F.round(F.get("times", F.lit(0)), 6).alias("first_time"),
+                        F.array_join("positions", ",").alias("positions"))
 
 
 @query

@@ -17,7 +17,9 @@ does for any input, and at most ``6 * shards * FINE`` rows a round are collected
 
 A row's shard follows from its own hash and the cut hashes: no join, texts are
 not shuffled. Slots are numbered within (shard, id bin) and offset by the
-counts of the bins before, so no shard is numbered in one task.
+counts of the bins before, so no shard is numbered in one task. With ``order``
+the slots of a shard follow that order instead: rows are range-sorted by shard
+and order, and numbered by what each range holds of a shard.
 
 Defined results: a null text has size 1 and CRC 0 and forms a group of its own,
 apart from the empty text. Equal rows share a shard and take different slots.
@@ -29,10 +31,11 @@ from __future__ import annotations
 
 import bisect
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import placed, staged
 
 #: Contract values.
 SHARDS, LAW = 8, "bytes"
@@ -133,11 +136,28 @@ def minimax_cuts(totals: DataFrame, bin_ends: list[int], largest: int, shards: i
                 known.add(last, min(a + (cell + 1) * w - 1, b))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), slot_digits: int = SLOT_BIN_DIGITS) -> DataFrame:
+def file_order(docs: DataFrame) -> tuple[Column, ...]:
+    """Order in which the rows of a table read from Parquet stand in its files; nothing for other frames.
+
+    Spark numbers the files of a written frame by its partitions, so a sorted frame
+    that was written has its order again; a scan alone does not keep it.
+    """
+    try:
+        meta = docs.metadataColumn("_metadata")
+        name = meta["file_name"]
+        order = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), name, meta["row_index"]
+        docs.select(*order)
+    except AnalysisException:
+        return ()
+    return order
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), slot_digits: int = SLOT_BIN_DIGITS,
+          order: tuple[Column, ...] = ()) -> DataFrame:
     """Per row: doc_id, size, text_crc32, shard, slot, and the columns ``carry`` of ``docs``.
 
     Sizes are UTF-8 bytes plus 1. Only rows without texts are shuffled, unless
-    ``carry`` names them. Slots follow the bins of the id hash, then text hash and id.
+    ``carry`` names them. Slots follow ``order``, or the bins of the id hash, then text hash and id.
     """
     spark = docs.sparkSession
     text = F.col("text").cast("string")
@@ -147,6 +167,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), sl
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.encode(F.coalesce(text, F.lit("")), "UTF-8")).alias("text_crc32"),
         _hash(text).alias("key"),
+        *(c.alias(f"_order_{i}") for i, c in enumerate(order)),
     )
     plain = light.select("doc_id", "size", "key")
     groups = staged(plain.groupBy("key").agg(F.sum("size").alias("size")).withColumn("bin", _bin(F.col("key"))), "shard-groups")
@@ -168,6 +189,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, carry: tuple[str, ...] = (), sl
     keys = {r["upto"]: r["key"] for r in totals.filter(F.col("upto").isin(inner)).collect()}  # shards - 1 rows at most
     cut_keys = [keys[c] for c in cuts[:-1]]
     number = sum((F.when(F.col("key") > k, 1).otherwise(0) for k in cut_keys), F.lit(0))
+    if order:
+        rows = placed(light.withColumn("shard", number), "shard", [f"_order_{i}" for i in range(len(order))], "shard-slots")
+        return rows.select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), F.col("place").alias("slot"),
+                           *(F.col(f"_carry_{i}").alias(c) for i, c in enumerate(carry)))
     slot_bin = F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, slot_digits)
     dealt = light.withColumn("shard", number).withColumn("bin", slot_bin)
     counts = plain.select(number.alias("shard"), slot_bin.alias("bin")).groupBy("shard", "bin").count()

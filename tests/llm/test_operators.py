@@ -309,6 +309,17 @@ def test_mix_order_follows_the_schedules(spark):
     assert not early
 
 
+def test_positions(docs):
+    mixed = mixing.mix(docs)
+    got = mixing.with_positions(mixed).collect()
+    assert sorted(str(tuple(r)[:-1]) for r in got) == sorted(str(tuple(r)) for r in mixed.collect())
+    assert all(len(r["positions"]) == r["copies"] for r in got)
+    copies = sorted((p, t, r["doc_id"]) for r in got for p, t in zip(r["positions"], r["times"]))
+    assert [p for p, _, _ in copies] == list(range(len(copies)))
+    order = [(t, d is not None, d or 0) for _, t, d in copies]
+    assert order == sorted(order)
+
+
 def test_mixed_rows(awkward):
     out = mixing.mixed_rows(awkward)
     assert out.columns == awkward.columns

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from footfall.llm import quality
+from footfall.llm import mixing, quality, sharding
+from footfall.llm.common import staged
 from pyspark.sql import functions as F
 
 from . import brute
@@ -43,6 +44,24 @@ def test_pipeline(spark):
     assert sorted((r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in seen[4].collect()) == sorted((d, *w) for (d, _), w in zip(rows, want))
 
 
+def test_slots_follow_the_training_order(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plan = mixing.with_positions(mixing.mix(docs)).select("doc_id", F.explode("positions").alias("p")).orderBy("p").collect()
+    mixed = staged(mixing.mixed_rows(docs).withColumn("_metadata", F.lit("x")), "test-mixed")  # a clashing name
+    got = sharding.shard(mixed, carry=("text", "_metadata"), order=sharding.file_order(mixed)).collect()
+    of = {r["doc_id"]: r["shard"] for r in got}
+    want = {k: [] for k in range(sharding.SHARDS)}
+    for r in plan:
+        want[of[r["doc_id"]]].append(r["doc_id"])
+    for k, ids in want.items():
+        rows = sorted((r["slot"], r["doc_id"]) for r in got if r["shard"] == k)
+        assert rows == list(enumerate(ids))
+    assert {r["_metadata"] for r in got} == {"x"} and len(got) == len(plan)
+    assert sharding.file_order(docs) and not sharding.file_order(docs.groupBy("doc_id").count())
+    plain = sharding.shard(mixed).select("doc_id", "shard").distinct().collect()
+    assert {r["doc_id"]: r["shard"] for r in plain} == of
+
+
 def test_pipeline_on_no_documents(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
