@@ -7,7 +7,9 @@ shared folder and read again as the next one's input, which is then deleted.
 Defined results, besides the operators' own: null and empty texts fail the
 quality rules. Rows with a null id are told apart by their text. Repeated rows
 (equal id and text) are one document from the second stage on; the mix may
-repeat it. Null sources are mixed as one source. Extra columns are carried
+repeat it. Slots keep the training order of the mix within each shard; of a
+frame that was not read from files the order isn't known, there the hash of the
+id orders the slots. Null sources are mixed as one source. Extra columns are carried
 through, except that the last stage's own columns (size, text_crc32, shard,
 slot) replace columns of those names. An empty table stays empty.
 """
@@ -41,9 +43,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard and slot."""
+    """Every row with its shard and slot; the slots of a shard follow the training order in which the mix was written."""
     carry = tuple(c for c in docs.columns if c not in ("doc_id", "size", "text_crc32", "shard", "slot"))
-    return sharding.shard(docs, carry=carry)
+    return sharding.shard(docs, carry=carry, order=sharding.file_order(docs))
 
 
 STAGES = [
