@@ -3,13 +3,17 @@
 Regular expressions propose spans; a validator of the kind confirms or drops
 them (Luhn for cards, mod-97 for bank accounts, part and digit ranges for
 addresses and phone numbers). Each confirmed span has a score: that of its
-kind, raised if a word of the kind's context stands shortly before it. The
-base kinds pass by their validator alone; kinds that are mostly noise without
-context (numbers of a national phone, secrets) need the context to pass.
+kind, raised if a word of the kind's context stands whole within
+``CONTEXT_CHARS`` on either side. Items of a list share a label: a match that
+follows another one of its kind within that distance and within the sentence
+has the context that this one has. The base kinds pass by their validator
+alone; kinds that are mostly noise without context (numbers of a national
+phone, secrets) need the context to pass.
 
 Spans come from two aligned arrays: the matches of a pattern and the texts
 between them. Running lengths of both give code point offsets, so a text is
-never searched match by match. Patterns use possessive quantifiers and start
+never searched match by match; the surroundings of a span are cut from blocks of
+the text, not from its start. Patterns use possessive quantifiers and start
 only where a run of their characters starts (or the last match ended), so
 they take linear time on any text and match what the plain form matches.
 
@@ -24,8 +28,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Characters before a span in which context words count, and the score a span needs.
+#: Characters on either side of a span in which context words count (below TEXT_BLOCK), and the score a span needs.
 CONTEXT_CHARS, THRESHOLD = 40, 0.5
+#: Characters of the blocks from which surroundings are cut.
+TEXT_BLOCK = 256
 #: Matches whose running lengths are added up together.
 RUN_BLOCK = 128
 
@@ -110,38 +116,69 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _running(values: Column, block: int = RUN_BLOCK) -> Column:
-    """Running totals of an array of numbers.
+def _running(values: Column, block: int = RUN_BLOCK, combine=lambda a, x: a + x) -> Column:
+    """Running totals of an array of numbers, by an associative ``combine`` to which 0 is neutral.
 
     Each block is summed on from the total of the blocks before it. A plain
     aggregation that appends to one array would copy it at every item.
     """
     def summed(items: Column, first: Column) -> Column:
         """``first``, and the running totals that follow from it."""
-        return F.aggregate(items, F.array(first), lambda done, x: F.concat(done, F.array(F.element_at(done, -1) + x)))
+        return F.aggregate(items, F.array(first), lambda done, x: F.concat(done, F.array(combine(F.element_at(done, -1), x))))
 
     def over(v: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(block))
         return _let(F.transform(starts, lambda i: F.slice(v, i, F.lit(block))), by_block)
 
     def by_block(blocks: Column) -> Column:
-        firsts = summed(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda a, x: a + x)), F.lit(0))
+        firsts = summed(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), combine)), F.lit(0))
         return F.flatten(F.zip_with(blocks, F.slice(firsts, 1, F.size(blocks)), lambda b, first: F.slice(summed(b, first), F.lit(2), F.size(b))))
 
     return _let(values, over)
 
 
+#: What a match tells of its list: LABEL if a context word is near it, APART if no list goes on with it.
+LABEL, APART = 1, 2
+
+
+def _go_on(before: Column, match: Column) -> Column:
+    """State of a list after a match: the label stays until a match stands apart."""
+    return F.when(match >= APART, match).otherwise(before.bitwiseOR(match))
+
+
+def _near(blocks: Column, start: Column, stop: Column, context: str) -> Column:
+    """Whether a context word stands whole in the text shortly before ``start`` or after ``stop``."""
+    def cut(at: Column, size: Column) -> Column:
+        i = F.floor(at / TEXT_BLOCK).cast("int")
+        two = F.concat(F.get(blocks, i), F.coalesce(F.get(blocks, i + 1), F.lit("")))
+        return F.coalesce(F.substr(two, at - i * TEXT_BLOCK + 1, size), F.lit(""))
+
+    # One character more, so that a word that goes on beyond the window is told and taken off.
+    wide = F.lit(CONTEXT_CHARS + 1)
+    left = cut(F.greatest(start - wide, F.lit(0)), F.least(start, wide))
+    left = F.when(start > CONTEXT_CHARS, F.regexp_replace(left, r"^\w+", "")).otherwise(left)
+    right = cut(stop, wide)
+    right = F.when(F.length(right) > CONTEXT_CHARS, F.regexp_replace(right, r"\w+$", "")).otherwise(right)
+    return F.concat(left, F.lit("\n"), right).rlike(context)
+
+
 def _spans(text: Column, kind: Kind, threshold: float) -> Column:
     """Array of (kind, start, end, score) of the confirmed spans of a kind, by start."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
     both = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, b: F.struct(
-        m.alias("match"), F.length(b).alias("skip"), F.length(m).alias("size"), F.right(b, F.lit(CONTEXT_CHARS)).alias("context")))
+        m.alias("match"), F.length(b).alias("skip"), F.length(m).alias("size"),
+        ((F.length(b) > CONTEXT_CHARS) | b.rlike(r"[.!?]\s|\n\s*\n")).alias("apart")))
     placed = _let(both, lambda b: F.zip_with(b, _running(F.transform(b, lambda x: x["skip"] + x["size"])), lambda x, stop: F.struct(
-        x["match"].alias("match"), (stop - x["size"]).alias("start"), stop.alias("stop"), x["context"].alias("context"))))
-    scored = F.transform(F.filter(placed, lambda s: _valid(kind.name, s["match"])), lambda s: F.struct(
-        F.lit(kind.name).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"),
-        F.least(F.lit(kind.score) + F.when(s["context"].rlike(kind.context), CONTEXT_GAIN).otherwise(0.0), F.lit(1.0)).alias("score")))
+        x["match"].alias("match"), (stop - x["size"]).alias("start"), stop.alias("stop"), x["apart"].alias("apart"))))
+    blocks = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{TEXT_BLOCK}}}"), F.lit(0))
+    told = _let(blocks, lambda t: F.transform(placed, lambda s: F.struct(s.alias("s"), (
+        F.when(_near(t, s["start"], s["stop"], kind.context), LABEL).otherwise(0) + F.when(s["apart"], APART).otherwise(0)).alias("told"))))
+    labelled = _let(told, lambda v: F.zip_with(v, _running(F.transform(v, lambda x: x["told"]), combine=_go_on), lambda x, state: F.struct(
+        x["s"].alias("s"), (state.bitwiseAND(F.lit(LABEL)) == LABEL).alias("context"))))
+    scored = F.transform(F.filter(labelled, lambda x: _valid(kind.name, x["s"]["match"])), lambda x: F.struct(
+        F.lit(kind.name).alias("kind"), x["s"]["start"].alias("start"), x["s"]["stop"].alias("stop"),
+        F.least(F.lit(kind.score) + F.when(x["context"], CONTEXT_GAIN).otherwise(0.0), F.lit(1.0)).alias("score")))
     passed = scored if kind.base else F.filter(scored, lambda s: s["score"] >= threshold)
     none = F.array().cast("array<struct<kind:string,start:int,stop:int,score:double>>")
     return F.when(text.rlike(kind.needs), passed).otherwise(none)
@@ -159,9 +196,10 @@ def _listed(spans: Column) -> Column:
 
 
 def span_digest(found: DataFrame, kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
-    """doc_id, the number of spans of each base kind, base_sha256 and spans."""
+    """doc_id, the number of spans of each base kind, base_sha256, spans, and their scores in hundredths in the same order."""
     base = [F.col(f"spans_{k.name}") for k in kinds if k.base]
     every = [F.col(f"spans_{k.name}") for k in kinds]
     return found.select(
         "doc_id", *(F.size(f"spans_{k.name}").cast("long").alias(f"n_{k.name}") for k in kinds if k.base),
-        F.sha2(_listed(F.concat(*base)), 256).alias("base_sha256"), _listed(F.concat(*every)).alias("spans"))
+        F.sha2(_listed(F.concat(*base)), 256).alias("base_sha256"), _listed(F.concat(*every)).alias("spans"),
+        F.array_join(F.transform(F.concat(*every), lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",").alias("scores"))

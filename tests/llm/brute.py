@@ -181,3 +181,24 @@ def pii(t):
                 spans.append(f"{kind}:{m.start()}:{m.end()}")
         counts.append(n)
     return (*counts, ",".join(spans))
+
+
+def pii_scores(text, kind, chars=40):
+    """(start, end, score) of every match of a kind, by slices of the text and a walk along the matches."""
+    import regex
+
+    out, last, label = [], 0, False
+    for m in regex.finditer(kind.pattern, text or "", flags=regex.ASCII):
+        s, e = m.span()
+        left, right = text[max(0, s - chars): s], text[e: e + chars]
+        if s > chars and regex.match(r"\w", text[s - chars - 1], flags=regex.ASCII):
+            left = regex.sub(r"^\w+", "", left, flags=regex.ASCII)
+        if e + chars < len(text) and regex.match(r"\w", text[e + chars], flags=regex.ASCII):
+            right = regex.sub(r"\w+$", "", right, flags=regex.ASCII)
+        gap = text[last:s]
+        if len(gap) > chars or regex.search(r"[.!?]\s|\n\s*\n", gap):
+            label = False
+        label = label or any(regex.search(kind.context, x, flags=regex.ASCII) for x in (left, right))
+        out.append((s, e, min(1.0, kind.score + 0.4 * label)))
+        last = e
+    return out

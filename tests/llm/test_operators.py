@@ -234,6 +234,36 @@ def test_personal_data_further_kinds(awkward):
     assert [x.split(":")[0] for x in found[14].split(",")] == ["iban", "national_phone", "secret"]
 
 
+def test_context_of_personal_data(spark):
+    one, two, three = "555-111-2222", "555-333-4444", "555-555-6666"
+    docs = [
+        (0, f"phone {one} or {two}"), (1, f"{one} is my phone"), (2, f"call {one}, {two}, {three}, {one} and {two}"), (3, f"call {one}. Part numbers in stock of our shop are {two}"),
+        (4, f"telephone{'x' * 30} {one}"), (5, f"{'x' * 300} phone {one} {'y ' * 30}{two}"), (6, f"{one} and then a long way to the word that is phone"), (7, f"tele{'-' * 36}phone {one}"),
+        (8, f"{one} {'.' * 34} phones")]
+    found = pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "spans_national_phone").collect()
+    assert {d: [docs[d][1][s["start"]: s["stop"]] for s in spans] for d, spans in found} == {
+        0: [one, two], 1: [one], 2: [one, two, three, one, two], 3: [one], 4: [], 5: [one], 6: [], 7: [one], 8: []}
+
+
+def test_scores_by_brute_force(spark):
+    rnd = random.Random(8)
+    parts = ["555-111-2222", "(555) 111-2222", "a.b@c.de", "1.2.3.4", "+1 555 111 2222", "phone", "Tel:", "mail", "server", "😀", "words of no meaning here", ". ", "\n\n", ", ", " or ", "x" * 33,
+             "abcdefghij0123456789ABCDEFGHIJ_-+/xyz", "access key", "password=", "\t", "telephone", "y" * 250]
+    docs = [(i, "".join(rnd.choice(parts) + rnd.choice([" ", " ", ""]) for _ in range(rnd.randint(0, 40)))) for i in range(400)]
+    found = pii.personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    kinds = {k.name: k for k in pii.KINDS}
+    for r in found:
+        for name in ("email", "ip", "phone", "national_phone", "secret"):
+            kind, text = kinds[name], docs[r["doc_id"]][1]
+            want = [x for x in brute.pii_scores(text, kind) if kind.base or x[2] >= pii.THRESHOLD]
+            if name == "secret":
+                want = [x for x in want if any(c.isdigit() for c in text[x[0]: x[1]])]
+            got = [(s["start"], s["stop"], round(s["score"], 6)) for s in r[f"spans_{name}"]]
+            if kind.base:  # validators are tested elsewhere
+                want = [x for x in want if x[:2] in {g[:2] for g in got}]
+            assert got == [(a, b, round(c, 6)) for a, b, c in want], (name, got, want, text[max(0, got[0][0] - 45): got[0][1] + 45] if got else text)
+
+
 def test_account_numbers_before_capital_words(spark):
     ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "FR14 2004 1010 0505 0001 3M02 606"]
     after = ["", " BIC COBADEFF", " 00 USD", " I paid", " X", " 12", ", B", " DE89 3704 0044 0532 0130 00", " AB12 " + ibans[0]]
