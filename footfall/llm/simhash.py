@@ -8,12 +8,11 @@ lengths whose budget is zero make a join key: those segments must be equal.
 The longer lengths prune pairs before the full Hamming check.
 
 Only distinct fingerprints take part, so exact copies cost nothing. A key
-held by more than ``PAIR_LIMIT`` fingerprints is not paired up: its members
-go through their one-bit neighbours instead. Two fingerprints are at most two
-bits apart exactly if they share a point at most one bit from each, so
-linking every member to the least member around each such point gives the
-same components, with 65 rows a fingerprint instead of all pairs. Nothing is
-capped or dropped.
+held by more than ``PAIR_LIMIT`` fingerprints is split by further segments of
+the ring: the longest chain with a budget of one bit becomes the key, own bits
+on one side, own bits and each one flipped on the other. So a hot key meets the
+chain's budget by its join, and its members are not paired with each other.
+Nothing is capped or dropped, for any ``max_bits``.
 
 Components are found by alternating large-star and small-star steps over the
 links, each written to the shared folder.
@@ -41,7 +40,7 @@ from .common import IDENTITY, identity, pieces, release, staged, text_key, with_
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
 #: Ring segments (five with two bits: two neighbouring segments, 25 or 26 bits, make the key).
 SEGMENTS = 5
-#: A key with more fingerprints than this goes through one-bit neighbours instead of pairs.
+#: A key with more fingerprints than this is split by a longer chain.
 PAIR_LIMIT = 16
 
 _CHUNK = 1 << 15
@@ -96,12 +95,7 @@ def _chain_masks(start: int, masks: list[int]) -> list[int]:
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENTS, pair_limit: int = PAIR_LIMIT) -> DataFrame:
-    """Links (a < b) over distinct fingerprints ``fp`` that give the components of distance <= ``max_bits``.
-
-    Pairs from small keys are all pairs within the distance; large keys give a
-    star around each shared one-bit neighbour (``max_bits`` 2; another bound
-    has no such exact form and pairs every key).
-    """
+    """All pairs a < b of the distinct fingerprints ``fp`` that differ in at most ``max_bits`` bits."""
     masks, budgets = _ring(max_bits, segments)
     zero = sum(b == 0 for b in budgets)
     if not zero:
@@ -113,8 +107,6 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENT
     )
     load = keyed.groupBy("start", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = staged(keyed.join(load, ["start", "key"]), "simhash-keys")  # few: keys of a single fingerprint go
-    exact = max_bits == 2
-    small = shared.filter(F.col("n") <= pair_limit) if exact else shared
     diff = F.col("l.fp").bitwiseXOR(F.col("r.fp"))
     chain = F.lit(False)
     for i, c in enumerate(chains):
@@ -122,18 +114,23 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENT
         for m, budget in zip(c[zero:-1], budgets[zero:-1], strict=True):
             fits &= F.bit_count(diff.bitwiseAND(F.lit(m))) <= budget
         chain |= fits
-    pairs = (
-        small.alias("l").join(small.alias("r"), ["start", "key"]).filter("l.fp < r.fp")
-        .filter(chain).filter(F.bit_count(diff) <= max_bits)
-        .select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
-    )
-    if not exact:
-        return pairs.distinct()
-    near = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)))
-    points = shared.filter(F.col("n") > pair_limit).select("fp").distinct().select("fp", F.explode(near).alias("point"))
-    least = points.groupBy("point").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    stars = points.join(least, "point").filter("fp > a").select("a", F.col("fp").alias("b"))
-    return pairs.unionByName(stars).distinct()
+
+    def near(left: DataFrame, right: DataFrame) -> DataFrame:
+        met = left.alias("l").join(right.alias("r"), ["start", "key"]).filter("l.fp < r.fp")
+        return met.filter(chain).filter(F.bit_count(diff) <= max_bits).select(F.col("l.fp").alias("a"), F.col("r.fp").alias("b"))
+
+    small = shared.filter(F.col("n") <= pair_limit)
+    pairs = near(small, small)
+    if max_bits:
+        longest = sum(b <= 1 for b in budgets) - 1  # the last chain whose budget is one bit
+        own = F.col("fp").bitwiseAND(F.element_at(F.array(*(F.lit(c[longest]) for c in chains)), F.col("start") + 1))
+        flips = F.array(*(
+            F.array(*(F.lit(_signed(x)) for x in (0, *(1 << i for i in range(64) if (c[longest] ^ c[zero - 1]) >> i & 1)))) for c in chains))
+        hot = shared.filter(F.col("n") > pair_limit).select("fp", "start", own.alias("key"))
+        flipped = hot.select("fp", "start", F.explode(
+            F.transform(F.element_at(flips, F.col("start") + 1), lambda f: F.col("key").bitwiseXOR(f))).alias("key"))
+        pairs = pairs.unionByName(near(hot, flipped))
+    return pairs.distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
