@@ -4,7 +4,8 @@ Each rule votes good (+1), bad (-1) or abstains (0) on a document.
 Expectation-maximisation estimates, without labels, the shares of good
 documents and of the kinds of junk, and for each of them how often each rule
 votes bad. The posterior probability of being good replaces all-must-pass
-filtering.
+filtering: a rule whose bad votes no other rule bears out turns out to be wrong
+on good documents, and a document that only such rules call bad is kept.
 
 The data enter EM only as counts of vote patterns: at most 3 ** len(RULES)
 of them, whatever the number of documents, counted over all rows by one
@@ -42,7 +43,14 @@ RULES = (
     ("bang_share", 0.08, 0.30),
     ("mark_word_share", 0.05, 0.20),
     ("word_length_excess", 0.0, 6.0),
+    ("symbol_end_share", 0.02, 0.10),
+    ("open_line_share", 0.05, 0.30),
+    ("short_line_share", 0.15, 0.30),
 )
+#: Characters that end a line of prose, and the words that a line needs in order not to be short.
+LINE_ENDS, SHORT_LINE = ".!?:;\"')\u2026\u3002\uff01\uff1f\u201d\u2019", 5
+#: Lines from which shares of lines are judged.
+MIN_LINES = 3
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURE_SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, pattern int"
@@ -70,12 +78,14 @@ def _repeat_words(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc[hit], minlength=n)
 
 
-def _lines(text: str | None) -> tuple[int, int]:
-    """Lines with a word, and those of them that equal an earlier line."""
+def _lines(text: str | None) -> tuple[int, int, int, int]:
+    """Lines with a word; those of them that equal an earlier line, do not end as prose does, have few words."""
     if not text:
-        return 0, 0
+        return 0, 0, 0, 0
     lines = [x for x in text.split("\n") if x.strip(_BLANK)]
-    return len(lines), len(lines) - len(set(lines))
+    ends = sum(x.rstrip(_BLANK)[-1] not in LINE_ENDS for x in lines)
+    short = sum(len(x.split(None, SHORT_LINE - 1)) < SHORT_LINE for x in lines)
+    return len(lines), len(lines) - len(set(lines)), ends, short
 
 
 def _measure(column: pa.Array) -> dict[str, np.ndarray]:
@@ -85,7 +95,7 @@ def _measure(column: pa.Array) -> dict[str, np.ndarray]:
     n_words = np.bincount(doc, minlength=n)
     repeat = _repeat_words(word_hashes(data, starts, ends, fold=False), doc, n)
     sign = np.concatenate(([0], np.cumsum(_SIGN[data], dtype=np.int64)))
-    lines = np.array([_lines(x) for x in column.to_pylist()], np.int64).reshape(n, 2)
+    lines = np.array([_lines(x) for x in column.to_pylist()], np.int64).reshape(n, 4)
     out = {
         "n_words": n_words,
         "word_chars": per_text(SPACED[data] & _HEAD[data], offs),
@@ -96,14 +106,18 @@ def _measure(column: pa.Array) -> dict[str, np.ndarray]:
     w = np.maximum(n_words, 1)
     upper, lower = per_text(_UPPER[data], offs), per_text(_LOWER[data], offs)
     length = out["word_chars"] / w
+    line_share = np.where(lines[:, :1] >= MIN_LINES, lines[:, 1:] / np.maximum(lines[:, :1], 1), np.nan)
     value = {
         "symbols_per_word": out["n_symbols"] / w,
         "repeat_share": repeat / w,
-        "duplicate_line_share": np.where(lines[:, 0] >= 3, lines[:, 1] / np.maximum(lines[:, 0], 1), np.nan),
+        "duplicate_line_share": line_share[:, 0],
         "upper_share": np.where(upper + lower >= 20, upper / np.maximum(upper + lower, 1), np.nan),
         "bang_share": np.bincount(doc[data[ends - 1] == 0x21], minlength=n) / w,
         "mark_word_share": np.bincount(doc[sign[ends] == sign[starts]], minlength=n) / w,
         "word_length_excess": np.maximum(np.maximum(2.0 - length, length - 12.0), 0.0),
+        "symbol_end_share": np.bincount(doc[_SYMBOL[data[ends - 1]]], minlength=n) / w,
+        "open_line_share": line_share[:, 1],
+        "short_line_share": line_share[:, 2],
     }
     pattern = np.zeros(n, np.int64)
     for name, good, bad in RULES:
@@ -133,18 +147,23 @@ def features(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class VoteModel:
-    """Class 0 is good, class r + 1 is junk of the kind that rule r is made for.
+    """Class 0 is good, each other class a kind of junk.
 
-    ``share``: of each class; ``bad[c][r]``: how often rule r, when it votes, says bad on class c.
+    ``share``: of each class; ``bad[c][r]``: how often rule r, when it votes, says bad on class c;
+    ``kinds``: of each kind of junk, the rule that it began with.
     """
 
     share: tuple[float, ...]
     bad: tuple[tuple[float, ...], ...]
+    kinds: tuple[int, ...]
 
     def good(self, pattern: int) -> float:
         """Posterior probability that a document with these votes is good."""
-        votes = np.array([[pattern // 3 ** (len(RULES) - 1 - r) % 3 - 1 for r in range(len(RULES))]])
-        return float(_posterior(votes, np.array(self.share), np.array(self.bad))[0, 0])
+        return float(_posterior(_votes([pattern]), np.array(self.share), np.array(self.bad))[0, 0])
+
+
+def _votes(patterns: list[int]) -> np.ndarray:
+    return np.array([[p // 3 ** (len(RULES) - 1 - r) % 3 - 1 for r in range(len(RULES))] for p in patterns]).reshape(-1, len(RULES))
 
 
 def _posterior(votes: np.ndarray, share: np.ndarray, bad: np.ndarray) -> np.ndarray:
@@ -153,40 +172,53 @@ def _posterior(votes: np.ndarray, share: np.ndarray, bad: np.ndarray) -> np.ndar
     return p / p.sum(axis=1, keepdims=True)
 
 
+#: Prior of the shares: nine good documents and one of junk; of a rule's false alarms: half a bad vote in fifty; of a kind's votes: a tenth of one.
+PRIOR_GOOD, PRIOR_JUNK, PRIOR_FALSE, PRIOR_VOTES, PRIOR_KIND = 9.0, 1.0, 0.5, 50.0, 0.1
+
+
+def _em(votes: np.ndarray, n: np.ndarray, kinds: list[int], rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares and bad-vote rates of good documents and of ``kinds``, from the first guess that rule r finds kind r."""
+    own = np.where(np.eye(len(RULES), dtype=bool)[kinds], 0.9, 0.1).reshape(len(kinds), len(RULES))
+    prior = np.array([PRIOR_GOOD] + [PRIOR_JUNK / max(len(kinds), 1)] * len(kinds))
+    share, bad = prior / prior.sum(), np.vstack([np.full(len(RULES), PRIOR_FALSE / PRIOR_VOTES), own])
+    for _ in range(rounds):
+        before = bad
+        w = n[:, None] * _posterior(votes, share, bad)
+        mass = w.sum(axis=0) + prior
+        junk = mass[1:] * min(1.0, mass[0] / max(mass[1:].sum(), 1e-300))  # at most half of all
+        share = np.concatenate((mass[:1], junk)) / (mass[0] + junk.sum())
+        said, voted = w.T @ (votes == -1), w.T @ (votes != 0)
+        false = np.clip((said[0] + PRIOR_FALSE) / (voted[0] + PRIOR_VOTES), 1e-6, 0.5)
+        hit = np.clip((said[1:] + PRIOR_KIND * own) / (voted[1:] + PRIOR_KIND), false, 0.999)
+        bad = np.vstack([false, hit])
+        if np.abs(bad - before).max() < 1e-10:
+            break
+    return share, bad
+
+
 def fit(counts: dict[int, int], rounds: int = 300) -> VoteModel:
     """EM over pattern counts, without labels.
 
-    Junk comes in kinds that trip different rules, so there is one junk class
-    per rule; votes are independent within a class. Rules are held to be better
-    than chance: on good documents at most one vote in a hundred is a false alarm,
-    a kind's own rule finds at least half of it, no rule says bad more rarely
-    on junk than on good documents, and junk is at most half of all. So a
-    document without any bad vote stays good.
+    Junk comes in kinds that trip different rules, so EM begins with one kind
+    per rule; votes are independent within a class. Nothing but votes tells a
+    kind of junk from a rule's false alarms, so a kind must be borne out: some rule other
+    than its own calls most of it bad. Kinds that none bears out are given up
+    (their documents are good ones with a false alarm) and EM runs again
+    on the others, until all left are borne out. Rules are held to be better than chance: on good
+    documents at most half of a rule's votes are bad, on no kind of junk fewer
+    than on good documents, and junk is at most half of all. So a document without any
+    bad vote is always good.
     """
-    n_rules = len(RULES)
-    own = np.eye(n_rules, dtype=bool)
-    share = np.array([0.9] + [0.1 / n_rules] * n_rules)
-    bad = np.vstack([np.full(n_rules, 0.005), np.where(own, 0.9, 0.1)])
     patterns = sorted(counts)
-    if patterns:
-        votes = np.array([[p // 3 ** (n_rules - 1 - r) % 3 - 1 for r in range(n_rules)] for p in patterns])
-        n = np.array([counts[p] for p in patterns], float)
-        for _ in range(rounds):
-            before = bad
-            w = n[:, None] * _posterior(votes, share, bad)
-            mass = w.sum(axis=0) + np.array([9.0] + [1.0 / n_rules] * n_rules)
-            junk = min(float(mass[1:].sum() / mass.sum()), 0.5)
-            share = np.concatenate(([1 - junk], np.maximum(junk * mass[1:] / mass[1:].sum(), 1e-9)))
-            share /= share.sum()
-            said = w.T @ (votes == -1)
-            voted = w.T @ (votes != 0)
-            false = np.clip((said[0] + 1) / (voted[0] + 100), 1e-6, 0.01)
-            hit = (said[1:] + np.where(own, 0.9, 0.1)) / (voted[1:] + 1)
-            hit = np.clip(hit, np.where(own, 0.5, np.maximum(false, 1e-4)), 0.999)
-            bad = np.vstack([false, hit])
-            if np.abs(bad - before).max() < 1e-10:
-                break
-    return VoteModel(tuple(map(float, share)), tuple(tuple(map(float, x)) for x in bad))
+    votes, n = _votes(patterns), np.array([counts[p] for p in patterns], float)
+    kinds = list(range(len(RULES)))
+    while True:
+        share, bad = _em(votes, n, kinds, rounds)
+        borne = [k for k, rates in zip(kinds, bad[1:], strict=True) if max(np.delete(rates, k)) > 0.5]
+        if borne == kinds:
+            break
+        kinds = borne
+    return VoteModel(tuple(map(float, share)), tuple(tuple(map(float, x)) for x in bad), tuple(kinds))
 
 
 def _verdicts(measured: DataFrame) -> tuple[VoteModel, dict[int, float]]:

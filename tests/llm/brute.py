@@ -101,6 +101,83 @@ def quality(t):
             len(w) < 50 or 100 * len(rep) > 50 * len(w))
 
 
+def quality_votes(t):
+    """One vote a rule: -1 bad, 1 good, 0 none."""
+    t = t or ""
+    w = SPACED.findall(t)
+    if not w:
+        return [0] * 10
+    n_words, chars, symbols, _, repeat, _ = quality(t)
+    whole = [x for x in t.split("\n") if SPACED.search(x)]
+    lines = [x.strip(" \t\n\x0b\x0c\r") for x in whole]
+    upper, lower = len(re.findall("[A-Z]", t)), len(re.findall("[a-z]", t))
+
+    def share(flags):
+        return sum(flags) / len(lines) if len(lines) >= 3 else None
+
+    value = [
+        (symbols / n_words, 0.05, 0.30),
+        (repeat / n_words, 0.20, 0.40),
+        (share(x in whole[:i] for i, x in enumerate(whole)), 0.15, 0.40),
+        (upper / (upper + lower) if upper + lower >= 20 else None, 0.25, 0.60),
+        (sum(x.endswith("!") for x in w) / n_words, 0.08, 0.30),
+        (sum(not re.search(r"[0-9A-Za-z]|[^\x00-\x7f]", x) for x in w) / n_words, 0.05, 0.20),
+        (max(2 - chars / n_words, chars / n_words - 12, 0), 0.0, 6.0),
+        (sum(x[-1] in "#*$%&|<>" for x in w) / n_words, 0.02, 0.10),
+        (share(x[-1] not in ".!?:;\"')…。！？”’" for x in lines), 0.05, 0.30),
+        (share(len(x.split()) < 5 for x in lines), 0.15, 0.30),
+    ]
+    return [0 if v is None else -1 if v > bad else 1 if v <= good else 0 for v, good, bad in value]
+
+
+def em_kept(votes):
+    """Whether the posterior of each document's votes says good: EM over documents, one after the other."""
+    if not votes:
+        return []
+    rules = range(len(votes[0]))
+    voting = [v for v in votes if any(v)]
+    kinds = list(rules)
+
+    def posterior(v, classes):
+        p = []
+        for share, rates in classes:
+            x = share
+            for r in rules:
+                x *= rates[r] if v[r] == -1 else 1 - rates[r] if v[r] == 1 else 1
+            p.append(x)
+        return [x / sum(p) for x in p]
+
+    while True:
+        first = [[0.9 if r == k else 0.1 for r in rules] for k in kinds]
+        prior = [9.0] + [1 / len(kinds) for _ in kinds]
+        classes = [(p / sum(prior), rates) for p, rates in zip(prior, [[0.01] * len(rules), *first])]
+        for _ in range(300):
+            weights = [posterior(v, classes) for v in voting]
+            mass = [sum(w[c] for w in weights) + prior[c] for c in range(len(classes))]
+            junk = sum(mass[1:])
+            if junk > mass[0]:
+                mass = mass[:1] + [x * mass[0] / junk for x in mass[1:]]
+            after = []
+            for c in range(len(classes)):
+                rates = []
+                for r in rules:
+                    said = sum(w[c] for w, v in zip(weights, voting) if v[r] == -1)
+                    cast = sum(w[c] for w, v in zip(weights, voting) if v[r])
+                    if c == 0:
+                        rates.append(min(max((said + 0.5) / (cast + 50), 1e-6), 0.5))
+                    else:
+                        rates.append(min(max((said + 0.1 * first[c - 1][r]) / (cast + 0.1), after[0][1][r]), 0.999))
+                after.append((mass[c] / sum(mass), rates))
+            moved = max(abs(x - y) for a, b in zip(after, classes) for x, y in zip(a[1], b[1]))
+            classes = after
+            if moved < 1e-10:
+                break
+        borne = [k for k, (_, rates) in zip(kinds, classes[1:]) if any(rates[r] > 0.5 for r in rules if r != k)]
+        if borne == kinds:
+            return [posterior(v, classes)[0] >= 0.5 for v in votes]
+        kinds = borne
+
+
 def minimax(sizes, k):
     """Smallest capacity for k runs, and the run number of each size."""
     def runs(c):

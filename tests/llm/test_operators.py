@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,16 +162,33 @@ def test_simhash(docs):
     same(got, [(d, f"{f:016x}", c) for (d, _), f, c in zip(pairs, fps, brute.components([d for d, _ in pairs], fps))])
 
 
-@pytest.mark.parametrize("limit", [2, 16, 1000])
-def test_links_give_the_components(spark, limit):
+def near_pairs(signed, max_bits):
+    v = np.array(signed, np.int64).view(np.uint64)
+    for i, x in enumerate(v):
+        close = np.flatnonzero(np.bitwise_count(v[i + 1:] ^ x) <= max_bits) + i + 1
+        yield from ((min(signed[i], signed[j]), max(signed[i], signed[j])) for j in close)
+
+
+@pytest.mark.parametrize("max_bits,segments,limit", [(1, 4, 1), (2, 5, 1), (2, 5, 16), (2, 5, 1000), (3, 5, 1), (3, 7, 16), (5, 6, 1)])
+def test_links_are_all_near_pairs(spark, max_bits, segments, limit):
     rnd = random.Random(7)
-    centres = [rnd.getrandbits(64) for _ in range(40)]
+    centres = [rnd.getrandbits(64) for _ in range(20)]
     fps = {c ^ (1 << rnd.randrange(64)) ^ (1 << rnd.randrange(64)) for c in centres for _ in range(rnd.choice([1, 3, 60]))}
     signed = sorted(simhash._signed(x) for x in fps)
-    distinct = spark.createDataFrame([(x,) for x in signed], "fp long")
-    tree = dict(map(tuple, simhash.components(simhash.links(distinct, pair_limit=limit)).select("node", "root").collect()))
-    want = brute.components(signed, [x % 2**64 for x in signed])
-    assert [tree.get(x, x) for x in signed] == want
+    found = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), max_bits, segments, limit)
+    assert sorted(map(tuple, found.collect())) == sorted(near_pairs(signed, max_bits))
+
+
+@pytest.mark.parametrize("max_bits", [2, 3])
+def test_links_of_a_key_with_ten_thousand_fingerprints(spark, max_bits):
+    rnd = random.Random(9)
+    high, signed = rnd.getrandbits(26) << 38, set()
+    while len(signed) < 10_000:  # the last 26 bits of the ring are equal: one key holds them all
+        signed.add(simhash._signed(high | rnd.getrandbits(38)))
+    signed = sorted({*signed, *(simhash._signed(x % 2**64 ^ 1 << rnd.randrange(38) ^ 1 << rnd.randrange(38)) for x in list(signed)[:300])})
+    found = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long"), max_bits)
+    want = sorted(near_pairs(signed, max_bits))
+    assert len(want) > 200 and sorted(map(tuple, found.collect())) == want
 
 
 def test_keep_one(awkward):
@@ -298,12 +316,41 @@ def test_quality_agrees_with_labels(spark):
     assert n.get((0, True), 0) <= 0.02 * (n.get((0, False), 0) + 1)
 
 
+def test_quality_verdicts_by_brute_force(docs):
+    votes = [brute.quality_votes(t) for _, t in texts(docs)]
+    failed = [brute.quality(t)[-1] for _, t in texts(docs)]
+    got = quality.judge(docs).select("doc_id", "kept").collect()
+    same(got, [(d, not f and k) for (d, _), f, k in zip(texts(docs), failed, brute.em_kept(votes))])
+
+
+def test_posterior_is_not_all_must_pass(spark):
+    """Good documents that one rule alone calls bad are kept, junk that rules agree on goes."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    voted_bad = {d for d, t in texts(docs) if -1 in brute.quality_votes(t)}
+    judged = [r for r in quality.judge(docs).collect() if not r["base_failed"]]
+    rescued = [r["doc_id"] for r in judged if r["kept"] and r["doc_id"] in voted_bad]
+    assert len(rescued) > 30 and {labels.get(d, 1) for d in rescued} == {1}
+    assert all(r["kept"] for r in judged if r["doc_id"] not in voted_bad)
+
+
 def test_em_keeps_documents_without_bad_votes():
     good = 3 ** len(quality.RULES) - 1
     for counts in ({good: 1000}, {good: 10, good - 2: 990}, {good // 2: 5}, {}):
         assert quality.fit(counts).good(good) >= 0.5
 
 
+def test_em_weighs_rules_by_agreement():
+    good, bad = 3 ** len(quality.RULES) - 1, [2 * 3 ** r for r in range(len(quality.RULES))]
+    # The last rule errs on a third of all; two others agree on a tenth of them.
+    model = quality.fit({good: 600, good - bad[0]: 300, good - bad[3] - bad[5]: 100})
+    assert model.good(good - bad[0]) > 0.9 and model.good(good - bad[3] - bad[5]) < 0.1
+    assert set(model.kinds) == {len(quality.RULES) - 1 - 3, len(quality.RULES) - 1 - 5}
+    # A rule that no other bears out decides nothing, however rare its bad votes are.
+    assert quality.fit({good: 990, good - bad[4]: 10}).good(good - bad[4]) > 0.5
+
+
 def test_targets_and_taken(docs):
     got = mixing.mix(docs)
     sizes = {}
