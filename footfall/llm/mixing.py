@@ -15,7 +15,7 @@ rows is never in one task. Results do not depend on the number of bins.
 
 Defined results: a null or empty text has size 0, takes nothing and stays in
 the mix once. A null source is a source of its own, last in order. Rows with
-equal ids are ordered by size and text. Repeated rows count each. An empty
+equal ids are ordered by size and text; rows without an id stand where the hash of their text puts them. Repeated rows count each. An empty
 table gives an empty result. Extra columns are ignored by ``mix`` and kept by
 ``mixed_rows``.
 """
@@ -48,7 +48,8 @@ def _sized(docs: DataFrame, bins: int) -> DataFrame:
         text_key(F.col("text").cast("string")).alias("text_key"),
         source.isNull().alias("no_source"), F.coalesce(source, F.lit("")).alias("source"),
         F.regexp_count(text, F.lit(SPACED_WORD)).cast("long").alias("size"),
-    ).withColumn("place", F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")).withColumn(
+        F.md5(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.concat(F.lit("text "), text)).cast("binary")).alias("hash"),
+    ).withColumn("place", F.conv(F.substring("hash", 1, 15), 16, 10).cast("long")).drop("hash").withColumn(
         "bin", F.shiftright(F.shiftright("place", 29) * bins, 31))  # bins are runs of the order by place
 
 
@@ -57,27 +58,37 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
 
     Water filling in closed form: in the order of cap over weight, the first
     source that its level leaves below its cap sets the level for all later ones.
-    The windows run over the sources alone.
+    There may be any number of sources: they are ranked, and summed up in that
+    order, by ranges and the totals of the ranges before; one row, that
+    first source's, is collected.
     """
-    everything = Window.partitionBy(F.lit(0))
-    by_name = everything.orderBy("no_source", "source")
-    weighted = sizes.withColumn("rank", F.row_number().over(by_name) - 1)
+    listed = staged(sizes.select(F.lit(0).alias("_all"), "no_source", "source", "source_size"), "mixing-sources")
+    ranked = placed(listed, "_all", ["no_source", "source"], "mixing-ranks").withColumnRenamed("place", "rank")
     w = F.element_at(F.array(*map(F.lit, weights)), F.pmod("rank", F.lit(len(weights))).cast("int") + 1).cast("double")
     cap = (F.col("source_size") * max_epochs).cast("double")
-    weighted = weighted.withColumn("w", w).withColumn("cap", cap).withColumn("ratio", F.col("cap") / F.col("w"))
-    order = everything.orderBy("ratio", "rank")
-    total = F.sum("source_size").over(everything).cast("double")
-    before = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rest = F.sum("w").over(order.rowsBetween(0, Window.unboundedFollowing))
-    filled = weighted.withColumn("left_over", total - before).withColumn("rest", rest)
+    weighted = ranked.select("no_source", "source", "source_size", "rank", w.alias("w"), cap.alias("cap")).withColumn("ratio", F.col("cap") / F.col("w"))
+    run = staged(weighted.repartitionByRange("ratio", "rank").withColumn("_part", F.spark_partition_id()), "mixing-ratios")
+    parts = run.groupBy("_part").agg(F.sum("cap").alias("cap"), F.sum("w").alias("w"), F.sum("source_size").alias("size"))
+    everything = Window.partitionBy(F.lit(0))  # a row for each range
+    earlier = everything.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0.0)
+    start = parts.select(
+        "_part", (F.sum("size").over(everything).cast("double") - F.coalesce(F.sum("cap").over(earlier), none)).alias("left_at"),
+        (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(earlier), none)).alias("rest_at"))
+    within = Window.partitionBy("_part").orderBy("ratio", "rank").rowsBetween(Window.unboundedPreceding, -1)
+    filled = (
+        run.withColumn("cap_before", F.coalesce(F.sum("cap").over(within), none)).withColumn("w_before", F.coalesce(F.sum("w").over(within), none))
+        .join(start, "_part")
+        .select("ratio", "rank", (F.col("left_at") - F.col("cap_before")).alias("left_over"), (F.col("rest_at") - F.col("w_before")).alias("rest")))
     # The free sources' common level is (left_over / rest) of the first free one.
-    free = F.col("left_over") / F.col("rest") <= F.col("ratio")
-    first_free = F.min(F.when(free, F.struct("ratio", "rank", "left_over", "rest"))).over(everything)
-    filled = filled.withColumn("level", first_free)
-    here = F.struct("ratio", "rank")
-    is_free = here >= F.struct(F.col("level.ratio").alias("ratio"), F.col("level.rank").alias("rank"))
-    target = F.when(is_free, F.least(F.col("w") * F.col("level.left_over") / F.col("level.rest"), F.col("cap"))).otherwise(F.col("cap"))
-    return filled.select("no_source", "source", "source_size", "rank", target.alias("target"))
+    free = filled.filter(F.col("left_over") / F.col("rest") <= F.col("ratio"))
+    level = free.agg(F.min(F.struct("ratio", "rank", "left_over", "rest")).alias("first")).first()["first"]
+    target = F.col("cap")
+    if level is not None:
+        later = (F.col("ratio") > level["ratio"]) | ((F.col("ratio") == level["ratio"]) & (F.col("rank") >= level["rank"]))
+        filled_to = F.least(F.col("w") * F.lit(level["left_over"]) / F.lit(level["rest"]), F.col("cap"))
+        target = F.when(later, filled_to).otherwise(F.col("cap"))
+    return run.select("no_source", "source", "source_size", "rank", target.alias("target"))
 
 
 def _segments(schedules) -> Column:

@@ -123,7 +123,7 @@ _SIZE = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 _MIX = f"""
 WITH d AS MATERIALIZED (
   SELECT row_number() OVER () AS rid, doc_id, source, CAST({_SIZE} AS BIGINT) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place FROM documents),
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text ' || coalesce(text, ''))), 1, 15) AS BIGINT) AS place FROM documents),
 s0 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM s0),
 s2 AS (SELECT *, CAST(rank % 3 + 1 AS DOUBLE) AS w, CAST(3 * source_size AS DOUBLE) AS cap FROM s1),

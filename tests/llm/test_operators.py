@@ -374,6 +374,23 @@ def test_targets_and_taken(docs):
     assert a == b
 
 
+def test_targets_of_many_sources(spark):
+    rnd = random.Random(3)
+    sizes = {f"host{i}": rnd.choice([0, 1, 7, 50, 400, 10 ** 7]) for i in range(3000)} | {None: 90, "é": 1, "": 5}
+    given = spark.createDataFrame([(s is None, s or "", n) for s, n in sizes.items()], "no_source boolean, source string, source_size long")
+    want = brute.targets(sizes)
+    plan = mixing.source_targets(given).collect()
+    got = {None if r["no_source"] else r["source"]: r["target"] for r in plan}
+    assert len(plan) == len(want) and all(abs(got[s] - want[s]) <= 1e-6 * (1 + want[s]) for s in want)
+    assert sorted(r["rank"] for r in plan) == list(range(len(want)))
+
+
+def test_rows_without_id_are_spread(spark):
+    docs = spark.createDataFrame([(None, f"w{i} " * 3, "s") for i in range(3000)], "doc_id long, text string, source string")
+    assert mixing._sized(docs, 64).select("bin").distinct().count() == 64
+    assert mixing.mix(docs).agg(F.sum("taken")).first()[0] == 9000
+
+
 def test_mix_order_follows_the_schedules(spark):
     docs = spark.createDataFrame([(i, "w " * 50, f"s{i % 3}") for i in range(3000)], "doc_id long, text string, source string")
     early = {r["source_size"]: r for r in []}
