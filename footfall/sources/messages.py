@@ -92,16 +92,22 @@ def dedup_records(records: DataFrame, key: str = "id") -> DataFrame:
     """One row per record id, batch side (T19: overlapping pages).
 
     Keeps the copy from the earliest message (smallest topic, partition,
-    offset; then the smallest full row) with ``min_by`` in a grouped
+    offset; then the smallest full row) with ``min`` in a grouped
     aggregation: partial aggregation keeps one candidate per id per task, so a
     hot id costs no more than any other and the choice is deterministic.
     Records without an id are kept, except full copies (``record_identity``).
     """
+    return identified_records(records, key).select(*records.columns)
+
+
+def identified_records(records: DataFrame, key: str = "id") -> DataFrame:
+    """``dedup_records`` with the columns of ``record_identity``, by which its rows stay partitioned.
+
+    A join on these columns needs no further shuffle. Each column is shuffled
+    once: the struct that ranks the copies is also the row that is kept.
+    """
     prov = [c for c in PROVENANCE if c in records.columns]
-    others = [c for c in records.columns if c != key]
-    if not others:
-        return records.select(key).distinct()
-    rank = F.struct(*[F.col(c) for c in prov], *[F.col(c) for c in others])
-    marked = records.select("*", record_identity(records, key)[1])
-    best = marked.groupBy(key, "_same_row").agg(F.min_by(F.struct(*others), rank).alias("_r"))
-    return best.select(key, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*records.columns)
+    ranked = prov + [c for c in records.columns if c not in (*prov, key)] + [key]
+    marked = records.select(F.struct(*ranked).alias("_r"), *record_identity(records, key))
+    best = marked.groupBy("_same_id", "_same_row").agg(F.min("_r").alias("_r"))
+    return best.select(*[F.col(f"_r.{c}").alias(c) for c in records.columns], "_same_id", "_same_row")

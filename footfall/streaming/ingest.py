@@ -3,7 +3,7 @@
 message stream (Kafka, or a file inbox of Kafka-shaped rows)
   -> decode pages -> typed count records
   -> per micro-batch (``foreachBatch``):
-       dedup by id inside the batch (``min_by`` aggregation: skew-safe,
+       dedup by id inside the batch (``min`` aggregation: skew-safe,
        deterministic: the copy from the earliest message wins)
        -> left-anti join with the ids of the landing table
        -> append to the landing table (parquet, partitioned by day)
@@ -39,7 +39,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from ..schemas import COUNTS_SCHEMA
 from ..session import delete_path
-from ..sources.messages import PROVENANCE, decode_pages, dedup_records, page_rejects, record_identity
+from ..sources.messages import PROVENANCE, decode_pages, dedup_records, identified_records, page_rejects, record_identity
 from .landing import LandingLog
 from .ledger import BUCKETS, SAME, KeyLedger, with_keys
 
@@ -170,8 +170,7 @@ def land_new_records(records: DataFrame, landing_path: str, key: str = "id") ->
     column alone, and whole rows only where the id is null), append.
     """
     spark = records.sparkSession
-    batch = dedup_records(records.select(*LANDED_COLUMNS), key)
-    batch = batch.select("*", *record_identity(batch, key))
+    batch = identified_records(records.select(*LANDED_COLUMNS), key)
     landed = spark.read.schema(LANDED_SCHEMA).parquet(landing_path).select(*LANDED_COLUMNS)
     ids = landed.filter(F.col(key).isNotNull()).select(F.col(key).alias("_same_id"), F.lit("").alias("_same_row"))
     nameless = landed.filter(F.col(key).isNull())

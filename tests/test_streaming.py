@@ -304,3 +304,28 @@ def test_four_reports_from_streamed_totals_equal_batch(spark, tmp_path):
         a, b = streamed[key], batch[key]
         assert a.count() == b.count() > 0, key
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), key
+
+
+def test_restart_replay_writes_what_it_reads(spark, tmp_path, monkeypatch):
+    """A first delivery, a re-delivery and, for the restart, a replay of every message; none after it."""
+    from footfall.plans import streams
+
+    spark.sql("select id as event_id, timestamp_ntz'2020-05-01 13:00:00' as ts, id % 3 as user_id, 'a' as event_type, 1.5D as value from range(0, 1200, 1, 1)").write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(streams, "shared_dir", lambda spark, name: str(tmp_path / name))
+    got = streams.stream_restart_replay(spark, str(tmp_path))
+    assert sorted(int(r.id) for r in got.collect()) == list(range(1200))
+    sent = spark.read.schema(ing.MESSAGE_FILE_SCHEMA).json(str(tmp_path / "inbox")).groupBy("topic", "partition", "offset").count()
+    assert [r["count"] for r in sent.collect()] == [3, 3, 3]
+
+
+def test_deduplication_shuffles_each_column_once(spark):
+    from footfall.sources.messages import dedup_records, identified_records, record_identity
+
+    rows = [("1", "b", "t", 0, 2), ("1", "a", "t", 0, 1), ("", "c", "t", 0, 1), (None, "c", "t", 0, 1), (None, "c", "t", 0, 1), (None, "c", "t", 0, 2), ("1", "A", None, None, None)]
+    df = spark.createDataFrame(rows, "id string, day string, topic string, partition int, offset bigint").repartition(3)
+    assert sorted(map(str, (tuple(r) for r in dedup_records(df).collect()))) == sorted(map(str, [rows[6], rows[2], rows[3], rows[5]]))
+    shuffled = dedup_records(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "min_by" not in shuffled
+    batch, landed = identified_records(df), df.select(*record_identity(df))
+    plan = batch.join(landed.hint("merge"), ["_same_id", "_same_row"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # of the aggregate and of what has landed
