@@ -19,6 +19,7 @@ from ..session import shared_dir
 from ..sources import tables as tb
 from ..sources.counts import read_counts_csv, read_counts_json, read_sensors, split_counts_csv, split_counts_json
 from ..sources.messages import decode_pages, dedup_messages, dedup_records, page_rejects
+from ..streaming.ingest import stage
 from ..schemas import COUNT_CSV_COLUMNS, SENSOR_COLUMNS
 from . import sql as S
 from .registry import query
@@ -147,16 +148,18 @@ SELECT 'csv', CAST(count(*) AS BIGINT), true FROM lineitem
 """)
 def file_rejects(spark, sf_dir):
     """Files in which every whole page or line is followed by a torn one: good rows and rejects of one scan each (SRC-2, SRC-3)."""
+    def with_torn(df, torn):
+        return df.select(F.explode(F.array("value", torn)).alias("value"))
+
     pages = encode_pages(to_feed_records(tb.event_counts(spark, sf_dir)), page_size=PAGE_SIZE).select(F.col("value").cast("string").alias("value"))
-    torn = pages.withColumn("value", F.expr("substring(value, 1, char_length(value) - 2)"))
+    pages = stage(pages, shared_dir(spark, "pages"))  # encoded once, read twice
     at = shared_dir(spark, "torn-json")
-    pages.unionByName(torn).write.text(at)
+    with_torn(pages, F.expr("substring(value, 1, char_length(value) - 2)")).write.text(at)
     parts = [("json", pages, *split_counts_json(spark, at, multi_line=False))]
     header = ",".join(COUNT_CSV_COLUMNS)
     lines = spark.read.text(_feed_csv(spark, sf_dir)).filter(F.col("value") != header)
-    torn = lines.withColumn("value", F.substring_index("value", ",", 4))
     at = shared_dir(spark, "torn-csv")
-    lines.unionByName(torn).select(F.col("value").alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(at)
+    with_torn(lines, F.substring_index("value", ",", 4)).select(F.col("value").alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(at)
     parts.append(("csv", lines, *split_counts_csv(spark, at)))
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("format"), F.lit(i).alias("part"), "n")
               for name, *frames in parts for i, df in enumerate(frames)]

@@ -77,10 +77,11 @@ _CORRUPT = "_corrupt_record"
 
 
 def _csv_rows(spark: SparkSession, path: str | list[str], infer: bool) -> DataFrame:
-    """Text fields of a CSV, ``file``, and the line in ``text`` where it has too few or too many fields.
+    """Text fields of a CSV, and ``file`` and the line in ``text`` where it has too few or too many fields.
 
     Every column is parsed whatever is selected later: with pruning, a line
-    would be bad or good depending on the query.
+    would be bad or good depending on the query. ``file`` is no metadata column:
+    the scan would copy every row once more to append it.
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
     schema = RAW_COUNT_CSV_SCHEMA
@@ -88,7 +89,9 @@ def _csv_rows(spark: SparkSession, path: str | list[str], infer: bool) -> DataFr
         schema = reader.option("inferSchema", True).csv(path).schema
     schema = StructType([*schema.fields, StructField(_CORRUPT, StringType(), True)])
     raw = reader.schema(schema).option("enforceSchema", False).option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
-    return raw.select(*(F.col(f.name).alias(f.name.lower()) for f in schema.fields[:-1]), F.col("_metadata.file_path").alias("file"), F.col(_CORRUPT).alias("text"))
+    # In the form of _metadata.file_path.
+    file = F.when(F.col(_CORRUPT).isNotNull(), F.replace(F.input_file_name(), F.lit(":///"), F.lit(":/")))
+    return raw.select(*(F.col(f.name).alias(f.name.lower()) for f in schema.fields[:-1]), file.alias("file"), F.col(_CORRUPT).alias("text"))
 
 
 def _json_pages(spark: SparkSession, path: str | list[str], multi_line: bool) -> DataFrame:
@@ -100,10 +103,16 @@ def _json_pages(spark: SparkSession, path: str | list[str], multi_line: bool) ->
 
 
 def _split(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Good rows and rejects of one scan: written once, with a flag, and read twice."""
+    """Good rows and rejects of one scan: written once, with a flag, and read twice.
+
+    The flag is a plain column: a folder per value would sort the rows of each
+    task by it. Of a reject only ``REJECT_COLUMNS`` are written.
+    """
     path = shared_dir(rows.sparkSession, name)
-    flagged = rows.withColumn("rejected", F.col("text").isNotNull())
-    flagged.write.partitionBy("rejected").parquet(path)
+    rejected = F.col("text").isNotNull()
+    kept = [F.col(c) if c in REJECT_COLUMNS else F.when(~rejected, F.col(c)).alias(c) for c in rows.columns]
+    flagged = rows.select(*kept, rejected.alias("rejected"))
+    flagged.write.parquet(path)
     kept = rows.sparkSession.read.schema(flagged.schema).parquet(path)
     return kept.filter(~F.col("rejected")), kept.filter("rejected").select(*REJECT_COLUMNS)
 

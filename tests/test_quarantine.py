@@ -97,3 +97,38 @@ def test_csv_lines(spark, tmp_path, infer):
     assert sorted(r["text"] for r in rejects.collect()) == ["2,torn", "4" + ",x" * 12]
     with pytest.raises(ValueError, match="malformed"):
         read_counts_csv(spark, path, malformed="skip")
+
+
+def test_a_split_keeps_of_rejects_only_their_text(spark, tmp_path, monkeypatch):
+    from footfall.sources import counts as C
+
+    good, torn = '1,"May 01, 2020 01:00:00 PM",2020,May,1,Friday,13,7,"a, b",5', "2,torn"
+    path = write(tmp_path / "a b", f=HEADER + good + "\n" + torn + "\n")
+    monkeypatch.setattr(C, "shared_dir", lambda spark, name: str(tmp_path / name))
+    counts, rejects = split_counts_csv(spark, path)
+    kept = spark.read.parquet(str(tmp_path / "csv-read"))
+    assert not list((tmp_path / "csv-read").glob("rejected=*"))  # folders per flag cost a sort
+    assert kept.filter("rejected").select("id", "text").collect() == [(None, torn)]
+    named = spark.read.text(path).select("_metadata.file_path").distinct().collect()[0][0]
+    assert [tuple(r) for r in rejects.collect()] == [(named, torn)] and counts.count() == 1
+
+
+def test_file_rejects_encodes_each_page_once(spark, tmp_path, monkeypatch):
+    from footfall.plans import io
+
+    spark.sql("select id as event_id, timestamp_ntz'2020-05-01 13:00:00' as ts, id % 3 as user_id, 'a' as event_type, 1.5D as value from range(0, 1200, 1, 1)").write.parquet(str(tmp_path / "events.parquet"))
+    spark.sql("select id as l_orderkey, 1 as l_linenumber, timestamp_ntz'2020-05-01 00:00:00' as l_shipdate, 7L as l_suppkey, 2.0D as l_quantity from range(5)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    made, encode = spark.sparkContext.accumulator(0), io.encode_pages
+
+    def counted(*args, **kw):
+        def note(batches):
+            for b in batches:
+                made.add(b.num_rows)
+                yield b
+
+        pages = encode(*args, **kw)
+        return pages.mapInArrow(note, pages.schema)
+
+    monkeypatch.setattr(io, "encode_pages", counted)
+    assert sorted(tuple(r) for r in io.file_rejects(spark, str(tmp_path)).collect()) == [("csv", 5, True), ("json", 1200, True)]
+    assert made.value == 3
